@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import let, materialize, slices
+from chronoloom.llm.common import let, materialize, slices, small_batches
 
 #: At most so many words, of so many bytes each, are folded ahead and broadcast: 524288 * (64 bytes + 64 ids).
 HOT_WORDS, HOT_BYTES = 1 << 19, 64
@@ -131,6 +131,7 @@ def word_table(docs: DataFrame, text_col: str, ranks: dict[bytes, int], pattern:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
     """(id_col, token_ids array<int>) for every row of docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     table = word_table(docs, text_col, ranks, pattern, hot_words)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:

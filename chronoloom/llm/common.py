@@ -34,6 +34,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Lowers the session's Arrow batches, so that whole long texts stay within a task's memory; never raises them."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < int(spark.conf.get(key, "0").rstrip("bB") or 0) <= most:
+            spark.conf.set(key, str(most))
+
+
 def words(text: Column) -> Column:
     """All words of a text; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

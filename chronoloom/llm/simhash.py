@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import materialize, slices
+from chronoloom.llm.common import materialize, slices, small_batches
 
 SEED, SHINGLE, DISTANCE = 42, 3, 3
 #: Lowest bit and width of each of the six blocks.
@@ -161,6 +161,7 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id_col, fp, text_hash, component_id) for every row: the smallest id among the documents reachable by links."""
+    small_batches(docs.sparkSession)
     marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     last = F.coalesce(F.col(id_col), F.lit(2**63 - 1))
     nodes = materialize(marked.groupBy("fp").agg(F.min(last).alias("rep")), "nodes")
