@@ -37,7 +37,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
     """Lowers the session's Arrow batches, so that whole long texts stay within a task's memory; never raises them."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        if not 0 < int(spark.conf.get(key, "0").rstrip("bB") or 0) <= most:
+        if not 0 < int(spark.conf.get(key).rstrip("bB")) <= most:
             spark.conf.set(key, str(most))
 
 
