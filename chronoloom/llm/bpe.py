@@ -128,23 +128,19 @@ def word_table(docs: DataFrame, text_col: str, ranks: dict[bytes, int], pattern:
     return hot.select("word", let(rank_map(ranks), lambda b: fold_word(F.col("word"), b)).alias("ids")).toArrow()
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
-    """(id_col, token_ids array<int>) for every row of docs."""
-    spark = docs.sparkSession
-    small_batches(spark)
+def encoder(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str, hot_words: int):
+    """Batches of (id, words) -> batches of (id, token_ids), as a function for tasks."""
     table = word_table(docs, text_col, ranks, pattern, hot_words)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
-    sent = spark.sparkContext.broadcast((sink.getvalue().to_pybytes(), ranks))
-    rows = docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words"))
+    sent = docs.sparkSession.sparkContext.broadcast((sink.getvalue().to_pybytes(), ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored, own = sent.value
-        known = pa.ipc.open_stream(stored).read_all().combine_chunks()
-        hot = known.column("word").combine_chunks() if known.num_rows else pa.array([], pa.string())
-        ids = known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.list_(pa.int32()))
-        hot, ids = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (hot, ids))
+        known = pa.ipc.open_stream(stored).read_all()
+        hot = pa.concat_arrays(known.column("word").chunks) if known.num_rows else pa.array([], pa.string())
+        ids = pa.concat_arrays(known.column("ids").chunks) if known.num_rows else pa.array([], pa.list_(pa.int32()))
         starts, values = np.asarray(ids.offsets), np.asarray(ids.values)
         rest: dict[str, list[int]] = {}
         for whole in batches:
@@ -157,7 +153,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                 place = np.asarray(found.fill_null(-1)).astype(np.int64)
                 missing = np.flatnonzero(place < 0)
                 more: list[list[int]] = []
-                if len(rest) > 200_000:
+                if len(rest) > 100_000:
                     rest.clear()
                 for word in distinct.take(pa.array(missing)).to_pylist():
                     if (got := rest.get(word)) is None:
@@ -172,10 +168,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                 ends = np.concatenate([[0], np.cumsum(count)])
                 out = pool[np.repeat(first[at] - ends[:-1], count) + np.arange(ends[-1])]
                 token_ids = pa.ListArray.from_arrays(pa.array(ends[bounds - bounds[0]].astype(np.int32)), pa.array(out, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), token_ids], names=[id_col, "token_ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), token_ids], names=["id", "token_ids"])
+
+    return run
+
 
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
+    """(id_col, token_ids array<int>) for every row of docs."""
+    small_batches(docs.sparkSession)
+    run = encoder(docs, ranks, pattern, text_col, hot_words)
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"{id_col} {kind}, token_ids array<int>")
+    return docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words")).mapInArrow(run, f"{id_col} {kind}, token_ids array<int>")
 
 
 def piece_table(ranks: dict[bytes, int]) -> pa.Array:
@@ -211,30 +214,32 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id")
     return encoded.select(id_col, "token_ids").mapInArrow(run, f"{id_col} {kind}, decoded binary")
 
 
-def round_trip_digests(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256), the decoded bytes made from the ids alone."""
-    sent = encoded.sparkSession.sparkContext.broadcast(ranks)
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256): encodes, then decodes from the ids alone, in one pass over the texts."""
+    small_batches(docs.sparkSession)
+    run = encoder(docs, ranks, pattern, text_col, hot_words)
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_table(sent.value)
         names = pa.array([str(i) for i in range(len(pieces))])
-        for whole in batches:
-            for batch in slices(whole, 1):
-                column = batch.column(1)
-                data, starts = decoded(column, pieces)
-                bounds = np.asarray(column.offsets).astype(np.int64)
-                ids = column.values.slice(bounds[0], bounds[-1] - bounds[0])
-                lists = pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), names.take(ids.cast(pa.int64())))
-                text = pc.binary_join(lists, ",")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(np.diff(bounds), pa.int64()),
-                        pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in text]),
-                        pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(starts[:-1], starts[1:], strict=True)]),
-                    ],
-                    names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for batch in run(batches):
+            column = batch.column(1)
+            data, starts = decoded(column, pieces)
+            bounds = np.asarray(column.offsets).astype(np.int64)
+            ids = column.values.slice(bounds[0], bounds[-1] - bounds[0])
+            lists = pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), names.take(ids.cast(pa.int64())))
+            text = pc.binary_join(lists, ",")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(np.diff(bounds), pa.int64()),
+                    pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in text]),
+                    pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(starts[:-1], starts[1:], strict=True)]),
+                ],
+                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
-    kind = encoded.schema[id_col].dataType.simpleString()
-    return encoded.select(id_col, "token_ids").mapInArrow(run, f"{id_col} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words"))
+    return rows.mapInArrow(digests, f"{id_col} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -18,8 +18,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.round_trip_digests(encoded, ranks)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
