@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_fs(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """File system and path for reads and writes inside tasks: any scheme that Arrow knows, local paths without one."""
+    return pa.fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else path.replace("file:", "file://", 1))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
     """Lowers the session's Arrow batches, so that whole long texts stay within a task's memory; never raises them."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):

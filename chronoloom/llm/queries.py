@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, licenses, mixing, quality, simhash
-from chronoloom.llm.common import materialize, words
+from chronoloom.llm import bpe, html, licenses, media, mixing, quality, rans, sharding, simhash, warc
+from chronoloom.llm.common import materialize, new_path, words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,16 +29,50 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("taken_0") + F.col("taken_1")).alias("taken"), shards.alias("shards"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write(table(spark, sf_dir, "pages"))
+    located = warc.locate(warc.build_index(written), written.select("key"))
+    return warc.fetch(located).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.features(media.store(table(spark, sf_dir, "documents")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    manifest, freq = rans.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
+    return rans.read(manifest, freq)
+
+
+#: Arrivals that the sharding query appends.
+ARRIVALS = 4
+
+
+def op9_shard_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_path(spark, "shards")
+    arrivals = table(spark, sf_dir, "documents").withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)))
+    sharding.append(spark, arrivals, root, "batch")
+    sharding.compact(spark, root)
+    rows = sharding.read(spark, root)
+    return rows.select("doc_id", "source", "n_chars", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.col("_shard").alias("shard"), F.col("_row").alias("shard_row"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -47,8 +81,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op2_mix_sources": op2_mix_sources,
+        "op3_html_text": op3_html_text,
+        "op4_warc_index": op4_warc_index,
         "op5_simhash": op5_simhash,
+        "op6_png_media": op6_png_media,
         "op7_quality_rules": op7_quality_rules,
+        "op8_token_files": op8_token_files,
+        "op9_shard_compaction": op9_shard_compaction,
         "op10_license_scan": op10_license_scan,
     }
 
