@@ -57,6 +57,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows as a local table: partitions are read one after another until n rows are found, nothing is shuffled."""
+    spark, rows = df.sparkSession, df._jdf.takeAsList(n)
+    return DataFrame(spark._jsparkSession.createDataFrame(rows, df._jdf.schema()), spark)
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """df with columns that later filters and projections use by name: a generator of one row keeps them from being copied below."""
     return df.withColumn("_once", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))).select("*", *[f"_once.{n}" for n in columns]).drop("_once")

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import WORD, let, materialize, once, words
+from chronoloom.llm.common import WORD, first_rows, let, materialize, once, words
 
 WINDOW = 5
 #: Rows on which costs and rejections are measured.
@@ -84,7 +84,7 @@ def rules(text_col: str = "text") -> dict[str, Column]:
 
 def cascade_order(docs: DataFrame, checks: dict[str, Column], prepare: Callable[[DataFrame], DataFrame], sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """Rule names by rejected share per second, measured one by one on a written sample."""
-    sample = materialize(prepare(docs.limit(sample_rows)), "quality-sample")
+    sample = materialize(prepare(first_rows(docs, sample_rows)), "quality-sample")
 
     def measured(passed: Column) -> tuple[float, int, int]:
         began = time.perf_counter()

@@ -14,6 +14,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import materialize, new_path, shared_fs, slices, small_batches
+from chronoloom.llm.common import first_rows, materialize, new_path, shared_fs, slices, small_batches
 
 #: Tokens at which a block ends (with the document that reaches it), interleaved states, bits of the frequency total.
 BLOCK_TOKENS, LANES, SCALE = 1 << 18, 1024, 20
@@ -31,8 +32,8 @@ LOW = np.uint64(1 << 31)
 MAGIC = b"RANSTOK1"
 HEAD = "<8sIII"  # magic, version, vocabulary size, crc32 of the frequency table
 BLOCK = "<QIIIII"  # first token, tokens, documents, bytes of document table, bytes of payload, crc32 of both
-#: Distinct pieces whose ids a task keeps.
-TOTAL_WORDS = 200_000
+#: Rows from which the frequent pieces are taken, their number, and bytes of text that are tokenized together.
+SAMPLE_ROWS, HOT_PIECES, SLICE_BYTES = 5_000, 400_000, 16 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -91,21 +92,60 @@ def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.nd
     return out
 
 
+def tokenized(tokenizer, pieces: list[str]) -> Iterator[list[int]]:
+    for at in range(0, len(pieces), 10_000):
+        for found in tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False):
+            yield found.ids
+
+
+def load_tokenizer(definition: str):
+    """One tokenizer for a worker process, on one thread: Spark has dealt out the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("_held_by_definition", {})
+    key = hash(definition)
+    if key not in held:
+        held.clear()
+        held[key] = tokenizers.Tokenizer.from_str(definition)
+    return held[key]
+
+
+def frequent_pieces(docs: DataFrame, definition, text_col: str) -> tuple[bytes, int]:
+    """Arrow bytes of (piece, ids) for the pieces that the first SAMPLE_ROWS rows hold twice: they save time, and change no result."""
+    pieces = first_rows(docs.select(text_col), SAMPLE_ROWS).select(F.explode(F.split(F.col(text_col), r"[\x20\x09-\x0D]+")).alias("piece"))
+    often = pieces.where(F.octet_length("piece").between(1, 64)).groupBy("piece").count().where("count > 1").orderBy(F.desc("count"), "piece").limit(HOT_PIECES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = load_tokenizer(definition.value)
+        for batch in batches:
+            ids = list(tokenized(tokenizer, batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"])
+
+    table = often.select("piece").mapInArrow(run, "piece string, ids array<int>").toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes(), table.num_rows
+
+
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(part, block, first_token within the part, ids binary, doc_ids, lengths): whole documents in ascending id order."""
     small_batches(docs.sparkSession)
     with open(tokenizer_path) as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, definition, text_col))
     keys = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
     rows = docs.select(id_col, text_col).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(definition.value)
+        tokenizer = load_tokenizer(definition.value)
+        stored, n_hot = frequent.value
+        table = pa.ipc.open_stream(stored).read_all()
+        hot = pa.concat_arrays(table.column("piece").chunks) if n_hot else pa.array([], pa.string())
+        hot_ids = pa.concat_arrays(table.column("ids").chunks) if n_hot else pa.array([], pa.list_(pa.int32()))
+        hot_start, hot_pool = np.asarray(hot_ids.offsets).astype(np.int64), np.asarray(hot_ids.values).astype(np.uint32)
         part, block, first = TaskContext.get().partitionId(), 0, 0
-        known: dict[str, list[int]] = {}
         held: list[np.ndarray] = []
         doc_ids, lengths = [], []
 
@@ -119,24 +159,40 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
             block, first, held, doc_ids, lengths = block + 1, first + len(ids), [], [], []
             return out
 
-        for whole in batches:
-            for batch in slices(whole, 1):
+        def together(all_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            waiting, size = [], 0
+            for batch in all_batches:
+                waiting.append(batch)
+                size += batch.nbytes
+                if size >= SLICE_BYTES:
+                    yield pa.concat_batches(waiting)
+                    waiting, size = [], 0
+            if waiting:
+                yield pa.concat_batches(waiting)
+
+        for whole in together(batches):
+            for batch in slices(whole, 1, 2 * SLICE_BYTES):
                 # The tokenizer drops white space and never joins what it parts, so texts are cut there and each
                 # distinct piece is tokenized once.
                 pieces = pc.ascii_split_whitespace(pc.fill_null(batch.column(1), ""))
                 bounds = np.asarray(pieces.offsets).astype(np.int64)
                 coded = pieces.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-                distinct, at = coded.dictionary.to_pylist(), np.asarray(coded.indices)
-                if len(known) > TOTAL_WORDS:
-                    known.clear()
-                new = [x for x in distinct if x not in known]
-                known.update(zip(new, (e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-                found = [known[x] for x in distinct]
-                size = np.fromiter(map(len, found), np.int64, len(found))
-                pool = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
-                start, count = np.cumsum(size) - size, size[at] if len(at) else np.zeros(0, np.int64)
+                distinct, at = coded.dictionary, np.asarray(coded.indices)
+                place = np.asarray(pc.index_in(distinct, value_set=hot.cast(distinct.type)).fill_null(-1)).astype(np.int64)
+                missing = np.flatnonzero(place < 0)
+                rest, size = array("I"), []
+                for ids in tokenized(tokenizer, distinct.take(pa.array(missing)).to_pylist()):
+                    rest.extend(ids)
+                    size.append(len(ids))
+                sizes = np.array(size, np.int64)
+                start, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+                known = np.flatnonzero(place >= 0)
+                start[known], length[known] = hot_start[place[known]], np.diff(hot_start)[place[known]]
+                start[missing], length[missing] = len(hot_pool) + np.cumsum(sizes) - sizes, sizes
+                pool = np.concatenate([hot_pool, np.frombuffer(rest, np.uint32)])
+                count = length[at]
                 ends = np.concatenate([[0], np.cumsum(count)])
-                flat = pool[np.repeat(start[at] - ends[:-1], count) + np.arange(ends[-1])] if len(at) else pool
+                flat = pool[np.repeat(start[at] - ends[:-1], count) + np.arange(ends[-1])]
                 cuts = ends[bounds - bounds[0]]
                 for doc, a, b in zip(batch.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True):
                     held.append(np.append(flat[a:b], np.uint32(end_id)))
