@@ -51,7 +51,7 @@ def speaker_coverage(spark, sf_dir):
 @register(
     "turn_self_overlap",
     f"""WITH {EVENTS_SQL}, {spans_sql("turns", "view")}
-    SELECT a.video_id, a.turn_id, a.speaker, round(coalesce(sum(greatest(0.0, least(a."end", b."end") - greatest(a.start, b.start))), 0.0), 3) AS overlap_s
+    SELECT a.video_id, a.turn_id, a.speaker, round(coalesce(sum(least(a."end", b."end") - greatest(a.start, b.start)) FILTER (b.turn_id IS NOT NULL), 0.0), 3) AS overlap_s
     FROM turns a LEFT JOIN turns b ON a.video_id = b.video_id AND a.speaker <> b.speaker AND b.start <= a."end" AND b."end" >= a.start GROUP BY ALL""",
 )
 def turn_self_overlap(spark, sf_dir):
