@@ -58,9 +58,9 @@ def let(value: Column, body) -> Column:
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows as a local table: partitions are read one after another until n rows are found, nothing is shuffled."""
+    """The first n rows, dealt out again: partitions are read one after another until n rows are found, so a limit shuffles nothing else."""
     spark, rows = df.sparkSession, df._jdf.takeAsList(n)
-    return DataFrame(spark._jsparkSession.createDataFrame(rows, df._jdf.schema()), spark)
+    return DataFrame(spark._jsparkSession.createDataFrame(rows, df._jdf.schema()), spark).repartition(spark.sparkContext.defaultParallelism)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:

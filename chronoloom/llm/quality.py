@@ -22,7 +22,7 @@ from chronoloom.llm.common import WORD, first_rows, let, materialize, once, word
 
 WINDOW = 5
 #: Rows on which costs and rejections are measured.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 500
 
 SYMBOLS = r"[#*$%&|<>]"
 
