@@ -65,7 +65,8 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """df with columns that later filters and projections use by name: a generator of one row keeps them from being copied below."""
-    return df.withColumn("_once", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))).select("*", *[f"_once.{n}" for n in columns]).drop("_once")
+    made = df.withColumn("_once", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+    return made.drop(*columns).select("*", *[f"_once.{n}" for n in columns]).drop("_once")
 
 
 def slices(batch: pa.RecordBatch, column: int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
