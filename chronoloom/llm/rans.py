@@ -33,7 +33,7 @@ MAGIC = b"RANSTOK1"
 HEAD = "<8sIII"  # magic, version, vocabulary size, crc32 of the frequency table
 BLOCK = "<QIIIII"  # first token, tokens, documents, bytes of document table, bytes of payload, crc32 of both
 #: Rows from which the frequent pieces are taken, their number, and bytes of text that are tokenized together.
-SAMPLE_ROWS, HOT_PIECES, SLICE_BYTES = 3_000, 400_000, 16 << 20
+SAMPLE_ROWS, HOT_PIECES, SLICE_BYTES = 10_000, 400_000, 16 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
