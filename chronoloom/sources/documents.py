@@ -78,7 +78,7 @@ def pose_frames(spark: SparkSession, path: str, document: str) -> DataFrame:
 
 def scene_spans(spark: SparkSession, path: str) -> DataFrame:
     """(file, scene, first_frame, end_frame) of scene lists: rows below the one that names Scene Number, frames from zero, end exclusive."""
-    whole = spark.read.option("wholetext", True).text(path).selectExpr("trim(LEADING '﻿' FROM value) AS value", FILE)
+    whole = spark.read.text(path, wholetext=True).selectExpr("trim(LEADING '﻿' FROM value) AS value", FILE)
     lines = F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.transform(F.split(x, ","), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))), lambda c: F.size(c) > 0)
     rows = whole.select("file", lines.alias("lines"))
     heads = F.filter(F.col("lines"), lambda c: F.array_contains(c, "Scene Number"))
