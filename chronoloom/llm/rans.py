@@ -92,10 +92,36 @@ def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.nd
     return out
 
 
+#: Pieces that are tokenized as one text, with a special token between them.
+JOINED = 64
+
+
+def separator(tokenizer) -> tuple[str, int] | None:
+    """A special token that parts a text before anything else looks at it, and its id."""
+    for at, token in tokenizer.get_added_tokens_decoder().items():
+        if token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word):
+            return token.content, at
+    return None
+
+
 def tokenized(tokenizer, pieces: list[str]) -> Iterator[list[int]]:
-    for at in range(0, len(pieces), 10_000):
-        for found in tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False):
-            yield found.ids
+    """The ids of each piece. Pieces share a text, cut at the separator's ids; where a piece holds the separator, each stands alone."""
+    mark, mark_id = separator(tokenizer) or (None, None)
+    step = JOINED if mark else 1
+    for first in range(0, len(pieces), 10_000):
+        groups = [pieces[at : min(at + step, first + 10_000)] for at in range(first, min(first + 10_000, len(pieces)), step)]
+        texts = [mark.join(g) for g in groups] if mark else [g[0] for g in groups]
+        for group, found in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = found.ids
+            if ids.count(mark_id) != len(group) - 1:
+                yield from (x.ids for x in tokenizer.encode_batch_fast(group, add_special_tokens=False))
+                continue
+            at = 0
+            for _ in group[1:]:
+                end = ids.index(mark_id, at)
+                yield ids[at:end]
+                at = end + 1
+            yield ids[at:]
 
 
 def load_tokenizer(definition: str):

@@ -277,3 +277,16 @@ def test_pipeline_stages(spark):
         names.append((name, frame.count()))
     assert names[0][1] < 200 and names[1][1] < names[0][1] and frame.count() > names[1][1]
     assert frame.where(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def test_joined_pieces_tokenize_alone():
+    import public_tokenizers
+    import tokenizers
+
+    from chronoloom.llm import rans
+
+    tokenizer = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = ["a", "<", "<|endoftext|", "<|endoftext|>x", "it's", "é", "́b", "|>", "<|startoftext|>", "", "ÀB1,2", " ", "<|endoftext|>"] * 30
+    assert list(rans.tokenized(tokenizer, pieces)) == [tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
+    clean = [f"w{i}-{i * i}" for i in range(1000)]
+    assert list(rans.tokenized(tokenizer, clean)) == [tokenizer.encode(p, add_special_tokens=False).ids for p in clean]
