@@ -207,9 +207,10 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
                 place = np.asarray(pc.index_in(distinct, value_set=hot.cast(distinct.type)).fill_null(-1)).astype(np.int64)
                 missing = np.flatnonzero(place < 0)
                 rest, size = array("I"), []
-                for ids in tokenized(tokenizer, distinct.take(pa.array(missing)).to_pylist()):
-                    rest.extend(ids)
-                    size.append(len(ids))
+                for lot in range(0, len(missing), 10_000):
+                    for ids in tokenized(tokenizer, distinct.take(pa.array(missing[lot : lot + 10_000])).to_pylist()):
+                        rest.extend(ids)
+                        size.append(len(ids))
                 sizes = np.array(size, np.int64)
                 start, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
                 known = np.flatnonzero(place >= 0)
@@ -218,7 +219,9 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
                 pool = np.concatenate([hot_pool, np.frombuffer(rest, np.uint32)])
                 count = length[at]
                 ends = np.concatenate([[0], np.cumsum(count)])
-                flat = pool[np.repeat(start[at] - ends[:-1], count) + np.arange(ends[-1])]
+                where = np.repeat(start[at] - ends[:-1], count)
+                where += np.arange(ends[-1])
+                flat = pool[where]
                 cuts = ends[bounds - bounds[0]]
                 for doc, a, b in zip(batch.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True):
                     held.append(np.append(flat[a:b], np.uint32(end_id)))
