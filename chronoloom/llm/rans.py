@@ -10,7 +10,9 @@ Defined results: null and empty texts have the end id alone; null ids sort first
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import first_rows, materialize, new_path, shared_fs, slices, small_batches
+from chronoloom.llm.common import materialize, new_path, shared_fs, slices, small_batches
 
 #: Tokens at which a block ends (with the document that reaches it), interleaved states, bits of the frequency total.
 BLOCK_TOKENS, LANES, SCALE = 1 << 18, 1024, 20
@@ -32,8 +34,8 @@ LOW = np.uint64(1 << 31)
 MAGIC = b"RANSTOK1"
 HEAD = "<8sIII"  # magic, version, vocabulary size, crc32 of the frequency table
 BLOCK = "<QIIIII"  # first token, tokens, documents, bytes of document table, bytes of payload, crc32 of both
-#: Rows from which the frequent pieces are taken, their number, and bytes of text that are tokenized together.
-SAMPLE_ROWS, HOT_PIECES, SLICE_BYTES = 3_000, 400_000, 16 << 20
+#: Bytes of text that are tokenized together.
+SLICE_BYTES = 16 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -92,8 +94,52 @@ def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.nd
     return out
 
 
-#: Pieces that are tokenized as one text, with a special token between them.
-JOINED = 64
+#: Pieces that are tokenized as one text, and pieces of one call.
+JOINED, LOT = 64, 10_000
+#: Letters of Latin scripts without marks of their own, ASCII punctuation but the apostrophe; a piece of letters that
+#: punctuation may follow.
+LETTERS = "".join(chr(c) for c in range(0x250) if chr(c).isalpha() and c not in (0xAA, 0xBA, 0x130))
+PUNCTUATION = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27)
+WORD_AND_TAIL = rf"^(?P<head>[{LETTERS}]+)(?P<tail>[{re.escape(PUNCTUATION)}]*)$"
+
+
+def for_words(definition: str):
+    """For words of LETTERS in lower case: the same tokenizer with no normalizer and parted at spaces alone, and which ids
+    end a word. None unless it does as the whole one does on every letter and pair of neighbours in either case, each
+    word's last token and no other has the suffix of a word's end, and punctuation parts from letters."""
+    import tokenizers
+
+    whole, changed = tokenizers.Tokenizer.from_str(definition), json.loads(definition)
+    steps, suffix = (changed["pre_tokenizer"] or {}).get("pretokenizers"), changed["model"].get("end_of_word_suffix")
+    if not steps or not suffix:
+        return None
+    changed["normalizer"] = None
+    changed["pre_tokenizer"]["pretokenizers"] = [{"type": "CharDelimiterSplit", "delimiter": " "}, *[x for x in steps if x["type"] != "Split"]]
+    light = tokenizers.Tokenizer.from_str(json.dumps(changed))
+    ends = np.zeros(whole.get_vocab_size(), bool)
+    ends[[at for token, at in whole.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
+    coded = lambda by, text: by.encode(text, add_special_tokens=False).ids
+    tried = [*LETTERS, *map("".join, zip(LETTERS, LETTERS[1:] + LETTERS[:1], strict=True))]
+    lower = pc.utf8_lower(pa.array(tried)).to_pylist()
+    pieces = [coded(whole, x) for x in tried]
+    same = coded(light, " ".join(lower)) == sum(pieces, []) and all(ids and ends[ids].sum() == 1 and ends[ids[-1]] for ids in pieces)
+    parted = all(coded(whole, "a" + x + y) == coded(whole, "a") + coded(whole, x + y) for x in PUNCTUATION for y in ("", *PUNCTUATION))
+    return (light, ends) if same and parted else None
+
+
+def word_ids(tokenizer, ends: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after another, and the number of each. Words share a text, cut at the ids that end a word."""
+    pools, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for first in range(0, len(words), LOT):
+        lot = words[first : first + LOT]
+        texts = [" ".join(lot[at : at + JOINED]) for at in range(0, len(lot), JOINED)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        last = np.flatnonzero(ends[ids])
+        if len(last) != len(lot) or last[-1] + 1 != len(ids):
+            raise ValueError("a word of letters has not become one word of the tokenizer")
+        pools.append(ids)
+        sizes.append(np.diff(last, prepend=-1))
+    return np.concatenate(pools), np.concatenate(sizes)
 
 
 def separator(tokenizer) -> tuple[str, int] | None:
@@ -108,8 +154,8 @@ def tokenized(tokenizer, pieces: list[str]) -> Iterator[list[int]]:
     """The ids of each piece. Pieces share a text, cut at the separator's ids; where a piece holds the separator, each stands alone."""
     mark, mark_id = separator(tokenizer) or (None, None)
     step = JOINED if mark else 1
-    for first in range(0, len(pieces), 10_000):
-        groups = [pieces[at : min(at + step, first + 10_000)] for at in range(first, min(first + 10_000, len(pieces)), step)]
+    for first in range(0, len(pieces), LOT):
+        groups = [pieces[at : min(at + step, first + LOT)] for at in range(first, min(first + LOT, len(pieces)), step)]
         texts = [mark.join(g) for g in groups] if mark else [g[0] for g in groups]
         for group, found in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = found.ids
@@ -125,7 +171,7 @@ def tokenized(tokenizer, pieces: list[str]) -> Iterator[list[int]]:
 
 
 def load_tokenizer(definition: str):
-    """One tokenizer for a worker process, on one thread: Spark has dealt out the cores."""
+    """One tokenizer for a worker process, on one thread: Spark has dealt out the cores. With it, its form for words."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import tokenizers
 
@@ -133,26 +179,45 @@ def load_tokenizer(definition: str):
     key = hash(definition)
     if key not in held:
         held.clear()
-        held[key] = tokenizers.Tokenizer.from_str(definition)
+        held[key] = tokenizers.Tokenizer.from_str(definition), for_words(definition)
     return held[key]
 
 
-def frequent_pieces(docs: DataFrame, definition, text_col: str) -> tuple[bytes, int]:
-    """Arrow bytes of (piece, ids) for the pieces that the first SAMPLE_ROWS rows hold twice: they save time, and change no result."""
-    pieces = first_rows(docs.select(text_col), SAMPLE_ROWS).select(F.explode(F.split(F.col(text_col), r"[\x20\x09-\x0D]+")).alias("piece"))
-    often = pieces.where(F.octet_length("piece").between(1, 64)).groupBy("piece").count().where("count > 1").orderBy(F.desc("count"), "piece").limit(HOT_PIECES)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(definition.value)
-        for batch in batches:
-            ids = list(tokenized(tokenizer, batch.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"])
-
-    table = often.select("piece").mapInArrow(run, "piece string, ids array<int>").toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes(), table.num_rows
+def gather(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """pool[start : start + length] of every entry, one after another."""
+    ends = np.cumsum(length)
+    where = np.repeat(start - (ends - length), length)
+    where += np.arange(len(where))
+    return pool[where]
+
+
+def piece_ids(tokenizer, by_word, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces, one after another, and the number of each. A word of letters with punctuation after it is
+    looked up as two units, the word in lower case; any other piece is one. Each distinct unit is tokenized once."""
+    parted = pc.extract_regex(pieces, WORD_AND_TAIL if by_word else "^(?P<head>)(?P<tail>)$")
+    simple = np.asarray(pc.is_valid(parted))
+    heads = pc.if_else(parted.is_valid(), pc.utf8_lower(pc.struct_field(parted, "head")), pieces)
+    tails = pc.if_else(parted.is_valid(), pc.struct_field(parted, "tail"), pa.scalar("", pieces.type))
+    coded = pa.concat_arrays([heads, tails]).dictionary_encode()
+    at = np.asarray(coded.indices)
+    is_word = np.zeros(len(coded.dictionary), bool)
+    if by_word:
+        is_word[at[: len(pieces)][simple]] = True
+    words, others = np.flatnonzero(is_word), np.flatnonzero(~is_word)
+    pool, sizes = word_ids(*by_word, coded.dictionary.take(pa.array(words)).to_pylist()) if by_word else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    rest, rest_sizes = array("I"), []
+    for first in range(0, len(others), LOT):
+        for ids in tokenized(tokenizer, coded.dictionary.take(pa.array(others[first : first + LOT])).to_pylist()):
+            rest.extend(ids)
+            rest_sizes.append(len(ids))
+    pool = np.concatenate([pool, np.frombuffer(rest, np.uint32)])
+    length = np.zeros(len(is_word), np.int64)
+    start = np.zeros(len(is_word), np.int64)
+    length[words], length[others] = sizes, np.array(rest_sizes, np.int64)
+    order = np.concatenate([words, others])
+    start[order] = np.cumsum(length[order]) - length[order]
+    units = at.reshape(2, len(pieces)).T
+    return gather(pool, start[units].ravel(), length[units].ravel()), length[units].sum(1)
 
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -160,17 +225,11 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     small_batches(docs.sparkSession)
     with open(tokenizer_path) as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_pieces(docs, definition, text_col))
     keys = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
     rows = docs.select(id_col, text_col).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(definition.value)
-        stored, n_hot = frequent.value
-        table = pa.ipc.open_stream(stored).read_all()
-        hot = pa.concat_arrays(table.column("piece").chunks) if n_hot else pa.array([], pa.string())
-        hot_ids = pa.concat_arrays(table.column("ids").chunks) if n_hot else pa.array([], pa.list_(pa.int32()))
-        hot_start, hot_pool = np.asarray(hot_ids.offsets).astype(np.int64), np.asarray(hot_ids.values).astype(np.uint32)
+        tokenizer, by_word = load_tokenizer(definition.value)
         part, block, first = TaskContext.get().partitionId(), 0, 0
         held: list[np.ndarray] = []
         doc_ids, lengths = [], []
@@ -203,26 +262,11 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
                 pieces = pc.ascii_split_whitespace(pc.fill_null(batch.column(1), ""))
                 bounds = np.asarray(pieces.offsets).astype(np.int64)
                 coded = pieces.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-                distinct, at = coded.dictionary, np.asarray(coded.indices)
-                place = np.asarray(pc.index_in(distinct, value_set=hot.cast(distinct.type)).fill_null(-1)).astype(np.int64)
-                missing = np.flatnonzero(place < 0)
-                rest, size = array("I"), []
-                for lot in range(0, len(missing), 10_000):
-                    for ids in tokenized(tokenizer, distinct.take(pa.array(missing[lot : lot + 10_000])).to_pylist()):
-                        rest.extend(ids)
-                        size.append(len(ids))
-                sizes = np.array(size, np.int64)
-                start, length = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-                known = np.flatnonzero(place >= 0)
-                start[known], length[known] = hot_start[place[known]], np.diff(hot_start)[place[known]]
-                start[missing], length[missing] = len(hot_pool) + np.cumsum(sizes) - sizes, sizes
-                pool = np.concatenate([hot_pool, np.frombuffer(rest, np.uint32)])
+                at = np.asarray(coded.indices)
+                pool, length = piece_ids(tokenizer, by_word, coded.dictionary)
                 count = length[at]
-                ends = np.concatenate([[0], np.cumsum(count)])
-                where = np.repeat(start[at] - ends[:-1], count)
-                where += np.arange(ends[-1])
-                flat = pool[where]
-                cuts = ends[bounds - bounds[0]]
+                flat = gather(pool, (np.cumsum(length) - length)[at], count)
+                cuts = np.concatenate([[0], np.cumsum(count)])[bounds - bounds[0]]
                 for doc, a, b in zip(batch.column(0).to_pylist(), cuts[:-1], cuts[1:], strict=True):
                     held.append(np.append(flat[a:b], np.uint32(end_id)))
                     doc_ids.append(doc)

@@ -290,3 +290,26 @@ def test_joined_pieces_tokenize_alone():
     assert list(rans.tokenized(tokenizer, pieces)) == [tokenizer.encode(p, add_special_tokens=False).ids for p in pieces]
     clean = [f"w{i}-{i * i}" for i in range(1000)]
     assert list(rans.tokenized(tokenizer, clean)) == [tokenizer.encode(p, add_special_tokens=False).ids for p in clean]
+
+
+def test_words_and_tails_tokenize_alone():
+    import random
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from chronoloom.llm import rans
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        tokenizer, by_word = rans.load_tokenizer(file.read())
+    assert by_word
+    draw = random.Random(3)
+    odd = [*"abZÉßœİıΣς,.'\"()-_01 中あ한ª", "'s", "'ll", "́", "J̌", "<|endoftext|>", "</w>", "\xad", "\xa0", "🙂"]
+    pieces = ["", "a", "A,", "<|endoftext|>", *("".join(draw.choices(odd, k=draw.randint(1, 6))).replace(" ", "") for _ in range(3000))]
+    pieces += ["".join(draw.choices(rans.LETTERS, k=draw.randint(1, 9))) + "".join(draw.choices(rans.PUNCTUATION, k=draw.randint(0, 4))) for _ in range(3000)]
+    want = [tokenizer.encode(x, add_special_tokens=False).ids for x in pieces]
+    for form in (by_word, None):
+        pool, length = rans.piece_ids(tokenizer, form, pa.array(pieces))
+        assert [x.tolist() for x in np.split(pool, np.cumsum(length)[:-1])] == want
+    none = rans.piece_ids(tokenizer, by_word, pa.array([], pa.string()))
+    assert not len(none[0]) and not len(none[1])
