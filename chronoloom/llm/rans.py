@@ -35,7 +35,7 @@ MAGIC = b"RANSTOK1"
 HEAD = "<8sIII"  # magic, version, vocabulary size, crc32 of the frequency table
 BLOCK = "<QIIIII"  # first token, tokens, documents, bytes of document table, bytes of payload, crc32 of both
 #: Bytes of text that are tokenized together.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 12 << 20
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -273,6 +273,8 @@ def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
                     lengths.append(int(b - a) + 1)
                     if sum(lengths[-1:]) >= block_tokens or (len(lengths) % 16 == 0 and sum(lengths) >= block_tokens):
                         yield row()
+                del batch, pieces, coded, at, pool, length, count, flat
+                pa.default_memory_pool().release_unused()
         if held:
             yield row()
 
