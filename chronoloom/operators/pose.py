@@ -30,8 +30,17 @@ def present(value: Column) -> Column:
 def normalize(points: DataFrame, keys: list[str], origin: int = ORIGIN, basis: int = BASIS) -> DataFrame:
     """points with basis_state, x_norm, y_norm and value_status: origin at (0, 0), basis at (1, 0), the second axis perpendicular."""
     w = Window.partitionBy(*keys)
-    pick = lambda point, axis: F.max(F.when(F.col("keypoint_id") == point, present(F.col(axis)))).over(w)
-    rows = points.withColumns({"_ox": pick(origin, "x"), "_oy": pick(origin, "y"), "_ix": pick(basis, "x"), "_iy": pick(basis, "y")})
+    return relative(points.withColumns({name: value.over(w) for name, value in joints(origin, basis).items()}), points.columns)
+
+
+def joints(origin: int = ORIGIN, basis: int = BASIS) -> dict[str, Column]:
+    """Aggregates over the points of one body that relative() needs."""
+    pick = lambda point, axis: F.max(F.when(F.col("keypoint_id") == point, present(F.col(axis))))
+    return {"_ox": pick(origin, "x"), "_oy": pick(origin, "y"), "_ix": pick(basis, "x"), "_iy": pick(basis, "y")}
+
+
+def relative(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """columns of points that know their body's joints, with basis_state, x_norm, y_norm and value_status."""
     rows = rows.withColumns({"_vx": F.col("_ix") - F.col("_ox"), "_vy": F.col("_iy") - F.col("_oy")})
     # w = (v.y, -v.x); d = v.x * w.y - w.x * v.y
     rows = rows.withColumn("_d", F.col("_vx") * (-F.col("_vx")) - F.col("_vy") * F.col("_vy"))
@@ -42,4 +51,4 @@ def normalize(points: DataFrame, keys: list[str], origin: int = ORIGIN, basis: i
     y = F.when(fine, F.try_divide(F.col("_vx") * F.col("_ry") - F.col("_rx") * F.col("_vy"), F.col("_d")))
     absent = present(F.col("x")).isNull() | present(F.col("y")).isNull()
     status = F.when(absent, "no_coordinate").when(F.col("basis_state") != "basis_ok", "basis_unusable").otherwise("normalized")
-    return rows.select(*points.columns, "basis_state", x.alias("x_norm"), y.alias("y_norm"), status.alias("value_status"))
+    return rows.select(*columns, "basis_state", x.alias("x_norm"), y.alias("y_norm"), status.alias("value_status"))

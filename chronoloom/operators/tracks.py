@@ -49,6 +49,22 @@ def sighting_runs(sightings: DataFrame, keys: list[str], index: DataFrame) -> Da
     ).drop("_run")
 
 
+#: What selection carries from frame to frame: the chosen face, its challenger, the challenger's frames in a row.
+Held = tuple[int | None, int | None, int]
+
+
+def choose(found: dict[int, float], held: Held, margin: float, frames_needed: int) -> Held:
+    """What is held after a frame whose scored faces are found: the one chosen stays until another leads lastingly."""
+    current, challenger, wins = held
+    best = min(found, key=lambda k: (-found[k], k))
+    if current not in found:
+        return best, None, 0
+    if best == current or found[best] < found[current] + margin:
+        return current, None, 0
+    wins = wins + 1 if best == challenger else 1
+    return (best, None, 0) if wins >= frames_needed else (current, best, wins)
+
+
 def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, margin: float = 0.5, frames_needed: int = 3) -> DataFrame:
     """(keys, scene, frame, track_id): the face that stays chosen until another leads by margin for frames_needed frames.
 
@@ -63,20 +79,10 @@ def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, ma
 
     def walk(island: pd.DataFrame) -> pd.DataFrame:
         island = island.sort_values("frame")
-        current, challenger, wins, out = None, None, 0, []
+        held, out = (None, None, 0), []
         for tracks, scores in zip(island["tracks"], island["scores"], strict=True):
-            found = dict(zip(tracks, scores, strict=True))
-            best = min(found, key=lambda k: (-found[k], k))
-            if current not in found:
-                current, challenger, wins = best, None, 0
-            elif best != current and found[best] >= found[current] + margin:
-                wins = wins + 1 if best == challenger else 1
-                challenger = best
-                if wins >= frames_needed:
-                    current, challenger, wins = best, None, 0
-            else:
-                challenger, wins = None, 0
-            out.append(current)
+            held = choose(dict(zip(tracks, scores, strict=True)), held, margin, frames_needed)
+            out.append(held[0])
         return island[[*keys, "scene", "frame"]].assign(track_id=out)
 
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}

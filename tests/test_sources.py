@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronoloom.operators import pose, tracks
 from chronoloom.sources import raw
 from chronoloom.streaming import frames
 
@@ -47,3 +48,48 @@ def test_streamed_windows_equal_the_batch(spark, tmp_path):
     query = frames.windows(live, *args).writeStream.outputMode("complete").format("memory").queryName("win").trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert sorted(map(tuple, spark.table("win").collect())) == sorted(map(tuple, frames.windows(rows, *args).collect()))
+
+
+def streamed(spark, rows, folder, name, make):
+    """Rows of a query over files that arrive one at a time."""
+    for k, part in enumerate(rows):
+        part.coalesce(1).write.parquet(f"{folder}/{name}/{k}")
+    live = spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("latestFirst", False).parquet(f"{folder}/{name}")
+    query = make(live).writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
+    try:
+        assert query.awaitTermination(120)
+    finally:
+        query.stop()
+    return spark.table(name)
+
+
+def test_streamed_selection_equals_the_batch(spark, tmp_path):
+    import random
+
+    draw, data = random.Random(5), []
+    for video in (1, 2):
+        for frame in range(60):
+            data += [(video, frame // 25, frame, t, draw.choice([0.0, 0.4, 1.0, 1.5, None])) for t in (1, 2, 3) if draw.random() < 0.7]
+    batch = tracks.stable_selection(spark.createDataFrame(data, "video_id int, scene int, frame long, track_id long, score double"), ["video_id"], window=1)
+    by_frame = {(v, f): [] for v in (1, 2) for f in range(60)}
+    for v, _, f, t, s in data:
+        by_frame[v, f].append((t, s))
+    whole = [(v, f // 25, f, 5_000_000 + f * 40_000, seen or None) for (v, f), seen in by_frame.items()]
+    draw.shuffle(whole)
+    whole.sort(key=lambda r: r[2] // 8)  # within eight frames they arrive in any order
+    whole.append((3, None, 999, 999 * 40_000, None))
+    frame = lambda rows: spark.createDataFrame(rows, "video_id int, scene int, frame long, us long, seen array<struct<track_id: long, smoothed: double>>").select("video_id", "scene", "frame", F.timestamp_micros("us").alias("ts"), "seen")
+    parts = [frame(whole[:40]), frame(whole[40:90]), frame(whole[90:]), frame([(1, 0, 3, 5_120_000, None)])]
+    got = streamed(spark, parts, tmp_path, "selection", lambda live: frames.stable_selection(live, ["video_id"], "ts", "1 second"))
+    rows = got.collect()
+    assert len(rows) == 120 and {(r.video_id, r.frame) for r in rows} == set(by_frame)
+    want = sorted((r.video_id, r.scene, r.frame, r.track_id) for r in batch.collect())
+    assert sorted((r.video_id, r.scene, r.frame, r.track_id) for r in rows if r.track_id is not None) == want
+
+
+def test_streamed_pose_equals_the_batch(spark, tmp_path):
+    points = spark.range(400).select((F.col("id") % 2).alias("video_id"), F.timestamp_millis((F.col("id") / 20).cast("int") * 40 + 5000).alias("ts"), (F.col("id") % 10).cast("int").alias("keypoint_id"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 11).cast("double").alias("y"), F.lit(1.0).alias("score"))
+    last = points.limit(1).withColumn("ts", F.timestamp_millis(F.lit(90_000)))
+    got = streamed(spark, [points.where("ts < timestamp_millis(5300)"), points.where("ts >= timestamp_millis(5300)"), last], tmp_path, "pose", lambda live: frames.normalized_pose(live, ["video_id"], "ts", "1 second"))
+    want = pose.normalize(points, ["video_id", "ts"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 400
