@@ -13,7 +13,7 @@ shingle is one shingle; a null id counts as the largest; repeated rows share fin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -174,12 +174,12 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group: the row with the smallest id (then text hash), once if that row repeats.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", find: Callable[[DataFrame, str, str], DataFrame] = groups) -> DataFrame:
+    """One document of each group that find makes: the row with the smallest id (then text hash), once if that row repeats.
 
     The choice needs no text; the texts are shuffled once, to meet it, and the repeats fall within that same layout.
     """
-    found = groups(docs, id_col, text_col)
+    found = find(docs, id_col, text_col)
     chosen = found.groupBy("component_id").agg(F.min(F.struct(F.coalesce(F.col(id_col), F.lit(2**63 - 1)).alias("_id"), F.col("text_hash").alias("_hash"))).alias("_first")).select("_first.*")
     rows = docs.withColumns({"_id": F.coalesce(F.col(id_col), F.lit(2**63 - 1)), "_hash": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
     once = Window.partitionBy("_id", "_hash").orderBy("_id", "_hash")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, mixing, quality, simhash
+from chronoloom.llm import bpe, jaccard, mixing, quality, simhash
 from chronoloom.llm.common import materialize, once, words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs.select(*COLUMNS))
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    return simhash.keep_one(docs.select(*COLUMNS), find=jaccard.groups)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

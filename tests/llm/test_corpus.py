@@ -313,3 +313,42 @@ def test_words_and_tails_tokenize_alone():
         assert [x.tolist() for x in np.split(pool, np.cumsum(length)[:-1])] == want
     none = rans.piece_ids(tokenizer, by_word, pa.array([], pa.string()))
     assert not len(none[0]) and not len(none[1])
+
+
+@pytest.mark.parametrize(("chunk", "first"), [(4096, 2), (8, 1)])
+def test_near_copies_against_all_pairs(spark, chunk, first):
+    from functools import partial
+
+    from chronoloom.llm import jaccard
+
+    rng = np.random.default_rng(17)
+    texts: list[str | None] = [None, "", "two words", "Two  WORDS"]
+    for _ in range(8):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 100)]
+        for _ in range(12):
+            changed = list(base)
+            for at in rng.choice(100, rng.integers(0, 4), replace=False):
+                changed[at] = f"x{rng.integers(0, 10**6)}"
+            texts.append(" ".join(changed))
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (5 * len(sets[i] & sets[j]) >= 4 * union) and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = simhash.keep_one(frame, find=partial(jaccard.groups, chunk=chunk, first=first)).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(label))
+    assert jaccard.groups(frame.where("doc_id > 10000")).count() == 0
+
+
+def test_pipeline_drops_near_copies_of_similarity_080(spark):
+    import corpus_pipeline
+
+    base = [f"word{i}" for i in range(100)]
+    near = [*base[:30], "other", *base[31:70], "another", *base[71:]]
+    rows = [(1, " ".join(base), "en", "a", 0), (2, " ".join(near), "en", "a", 0), (3, " ".join(reversed(base)), "en", "a", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, "").collect()) == [1, 3]
