@@ -4,6 +4,9 @@ A page is cut into blocks at block-level tags. Pass one decides each block on it
 footers, asides, forms or containers whose class, id or role names an advert, sidebar, notice or comments are
 boilerplate, as are blocks of mostly linked text; long blocks are main text if their share of stop words (or, inside an
 article element, their length alone) speaks for it, and boilerplate if the share is low. Short blocks stay ambiguous.
+A name alone never rejects a container with most of the page's dense prose or of its article text; words of readers,
+notices and teasers do while dense prose stands outside. A page whose long blocks hold no stop word goes by length and
+links. An open head ends at the first thing that cannot stand in it.
 Pass two labels those from the nearest decided neighbours on each side: both main text, or inside an article, makes main
 text; headings look at what follows them.
 
@@ -42,6 +45,15 @@ CHROME_WORDS = frozenset(
     "promoted recommended related replies reply respond search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar widget widgets".split()
 )
+#: Words that make a name tell the state of a page, not what the element is.
+STATE_WORDS = frozenset("has no with without".split())
+#: Words of containers that may hold more prose than the main text.
+ASIDE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies copyright disclaimer disqus gdpr newsletter notice notices promo "
+    "promoted recommended related replies reply respond shoutbox sponsor sponsored".split()
+)
+#: Elements that may stand in a head.
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: Elements that never have content.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Frequent words of English, French, German and Spanish.
@@ -65,37 +77,85 @@ _WORD = re.compile(r"\w+")
 class Block:
     """Text of one block and where it stands."""
 
-    __slots__ = ("parts", "linked", "heading", "chrome", "article", "text", "label")
+    __slots__ = ("parts", "linked", "heading", "chrome", "article", "named", "held", "text", "label")
 
-    def __init__(self, heading: bool, chrome: bool, article: bool):
+    def __init__(self, heading: bool, chrome: bool, article: bool, named: tuple[int, ...], held: tuple[int, ...]):
         self.parts: list[str] = []
         self.linked, self.heading, self.chrome, self.article = 0, heading, chrome, article
+        self.named, self.held = named, held
         self.text, self.label = "", ""
 
 
-def marks_chrome(attributes: str) -> bool:
+def chrome_words(attributes: str) -> set[str]:
+    """Words of class, id and role that mark boilerplate."""
+    found: set[str] = set()
     for match in _NAMES.finditer(attributes):
-        if CHROME_WORDS.intersection(_SPLIT.split(next(x for x in match.groups() if x is not None).lower())):
-            return True
-    return bool(attributes and _HIDDEN.search(attributes))
+        for name in next(x for x in match.groups() if x is not None).lower().split():
+            pieces = _SPLIT.split(name)
+            if not STATE_WORDS.intersection(pieces):
+                found |= CHROME_WORDS.intersection(pieces)
+    return found
+
+
+def stop_words(text: str) -> tuple[int, int]:
+    """Stop words and words."""
+    found = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in found), len(found)
+
+
+def weight(text: str) -> int:
+    """Length, with three for a character of a script that writes words in one or two."""
+    return len(text) + 2 * sum(x >= "\u2e80" for x in text)
+
+
+def acquit(found: list[Block], containers: list[tuple[set[str], bool]]) -> None:
+    """Marks the blocks of named containers, except of those that hold the page's prose or its article."""
+    if not containers:
+        return
+    free = [b for b in found if not b.chrome and b.linked <= LINKED * len(b.text)]
+    prose, inside = 0, [0] * len(containers)
+    told, holds = 0, [0] * len(containers)
+    for b in free:
+        stops, words = stop_words(b.text)
+        dense = len(b.text) if len(b.text) >= SHORT and stops >= STOP_LOW * words else 0
+        prose += dense
+        for c in b.named:
+            inside[c] += dense
+        if b.article:
+            told += len(b.text)
+            for c in b.held:
+                holds[c] += len(b.text)
+    guilty = set()
+    for c, (names, within) in enumerate(containers):
+        # Beside an article only what holds it is the main text.
+        most = 2 * inside[c] > prose if within or not told else 2 * holds[c] >= told
+        outside = prose - inside[c]
+        if not most or (outside and names & ASIDE_WORDS):
+            guilty.add(c)
+    for b in found:
+        b.chrome = b.chrome or not guilty.isdisjoint(b.named)
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, inside boilerplate, inside an article
+    # Tag, inside boilerplate, inside an article, named containers around it, those around the article.
+    stack: list[tuple[str, bool, bool, tuple[int, ...], tuple[int, ...]]] = []
+    containers: list[tuple[set[str], bool]] = []  # words, inside an article
     heading = link = silent = 0
     current: Block | None = None
     at = 0
 
     def add(text: str) -> None:
         nonlocal current
+        if stack and stack[-1][0] == "head" and text and not text.isspace():
+            leave(stack.pop()[0])
         if silent or not text:
             return
         if current is None:
             if text.isspace():
                 return
-            current = Block(bool(heading), bool(stack and stack[-1][1]), bool(stack and stack[-1][2]))
+            current = Block(bool(heading), *(stack[-1][1:] if stack else (False, False, (), ())))
             found.append(current)
         text = entities.unescape(text)
         current.parts.append(text)
@@ -123,6 +183,8 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if not closing and tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
+            leave(stack.pop()[0])
         if tag == "br":
             if current is not None:
                 current.parts.append(" ")
@@ -143,11 +205,18 @@ def blocks(page: str) -> list[Block]:
             if depth is not None and stack[depth][0] == tag:
                 while len(stack) > depth:
                     leave(stack.pop()[0])
-        _, chrome, article = stack[-1] if stack else ("", False, False)
+        _, chrome, article, named, held = stack[-1] if stack else ("", False, False, (), ())
         inside = article or tag in ("article", "main")
-        # A header inside an article is its own heading, not the page's.
-        named = tag not in ("html", "body", "article", "main") and marks_chrome(attributes)
-        stack.append((tag, chrome or (tag in CHROME_TAGS and not (tag == "header" and inside)) or named, inside))
+        if inside and not article:
+            held = named
+        if tag not in ("html", "body", "article", "main") and attributes:
+            chrome = chrome or bool(_HIDDEN.search(attributes))
+            # A header inside an article is its own heading, not the page's.
+            names = chrome_words(attributes) - ({"header"} if inside else set())
+            if names:
+                named = (*named, len(containers))
+                containers.append((names, inside))
+        stack.append((tag, chrome or (tag in CHROME_TAGS and not (tag == "header" and inside)), inside, named, held))
         if tag in SILENT_TAGS:
             silent += 1
             if tag in ("script", "style", "textarea", "noscript", "iframe", "title"):
@@ -160,16 +229,22 @@ def blocks(page: str) -> list[Block]:
             heading += 1
     for block in found:
         block.text = " ".join("".join(block.parts).split())
-    return [b for b in found if b.text]
+    found = [b for b in found if b.text]
+    acquit(found, containers)
+    return found
 
 
 def classify(found: list[Block]) -> None:
     """Pass one: good, bad or short (ambiguous)."""
-    for b in found:
-        words = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    counts = [stop_words(b.text) for b in found]
+    long = [n for b, (n, _) in zip(found, counts, strict=True) if not b.chrome and b.linked <= LINKED * len(b.text) and weight(b.text) >= LONG]
+    unknown = bool(long) and not any(long)
+    for b, (n, words) in zip(found, counts, strict=True):
+        stops = n / max(1, words)
         if b.chrome or b.linked > LINKED * len(b.text):
             b.label = "bad"
+        elif unknown and not b.heading:
+            b.label = "good" if weight(b.text) >= LONG else "short"
         elif len(b.text) < SHORT or b.heading:
             b.label = "short"
         elif stops >= STOP_HIGH or (stops >= STOP_LOW and len(b.text) >= LONG) or (b.article and len(b.text) >= LONG):

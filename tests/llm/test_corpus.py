@@ -352,3 +352,26 @@ def test_pipeline_drops_near_copies_of_similarity_080(spark):
     rows = [(1, " ".join(base), "en", "a", 0), (2, " ".join(near), "en", "a", 0), (3, " ".join(reversed(base)), "en", "a", 0)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, "").collect()) == [1, 3]
+
+
+LONG_PROSE = "The fox and the dog are in the house of the man who was there with us. " * 4
+
+
+@pytest.mark.parametrize(
+    "start",
+    ["<div class='content has-sidebar'>", "<div class='post has-comments'>", "<div class='layout no-sidebar'><article>", "<div class='sidebar-layout'><article>", "<div class='social-story'>"],
+)
+def test_html_names_do_not_reject_the_main_text(start):
+    assert html.main_text(f"<body><nav>Menu</nav>{start}<p>{LONG_PROSE}</p></body>") == LONG_PROSE.strip()
+
+
+def test_html_keeps_headers_of_articles_and_ends_open_heads():
+    page = f"<article><header class='entry-header'><h1>The headline</h1></header><p>{LONG_PROSE}</p></article><section id='comments'><p>{LONG_PROSE * 3}</p></section>"
+    assert html.main_text(page) == f"The headline {LONG_PROSE.strip()}"
+    assert html.main_text(f"<html><head><title>t</title><meta charset=utf-8><body><p>{LONG_PROSE}</p>") == LONG_PROSE.strip()
+    assert html.main_text(f"<html><head><script>x</script><p>{LONG_PROSE}</p>") == LONG_PROSE.strip()
+
+
+def test_html_in_a_language_without_known_stop_words():
+    prose = "Быстрая рыжая лисица перепрыгнула через ленивую собаку возле старого дома. " * 5
+    assert html.main_text(f"<body><div><a href=x>Главная</a></div><p>{prose}</p><p>Коротко.</p><p>{prose}</p></body>") == f"{prose.strip()} Коротко. {prose.strip()}"
