@@ -5,7 +5,8 @@ of L shingles the text is covered by windows of 2L shingles, L apart, so every o
 window's signature has BANDS minima of one row each: a window that holds 0.8 of the template has a Jaccard similarity of
 at least 0.8 L / (2.2 L), so all bands miss it with probability below (1 - 0.36) ** 32 < 1e-6. A window that shares no
 shingle with any template cannot agree with one in any band; those are left out before signatures are made, which loses
-nothing. Retrieved pairs are verified on the shingles themselves: at least 0.8 of the template's must be in the window.
+nothing. Retrieved pairs are verified on the shingles themselves: at least 0.8 of the template's must be in the window,
+and so must the words that tell its kind and version from others; clauses that come later decide between BSD licenses.
 
 Only built-in functions. A text's windows never leave its row until a template is met; the templates are a parameter of
 the operator, bounded by MAX_TEMPLATES, and only their bands are broadcast.
@@ -16,6 +17,8 @@ so an empty table gives no rows; rows that share an id are scanned apart and rep
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,21 +26,51 @@ from chronoloom.llm.common import let, once
 
 SHINGLE, LEAST, BANDS, MAX_TEMPLATES = 5, 0.8, 32, 1000
 
-#: The notices by which public licenses are named or granted in texts.
+#: Words after a window in which the clauses of its license are looked for.
+REACH = 250
+_PROGRAM = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
+_GNU = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
+_VERSIONS = [("GPL", "2.0", "2"), ("GPL", "3.0", "3"), ("LGPL", "2.1", "2.1"), ("LGPL", "3.0", "3"), ("AGPL", "3.0", "3")]
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_CC = [("", "Attribution"), ("-NC", "Attribution-NonCommercial"), ("-SA", "Attribution-ShareAlike"), ("-ND", "Attribution-NoDerivatives"), ("-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("-NC-ND", "Attribution-NonCommercial-NoDerivatives")]
+
+#: The notices, titles and grants by which public licenses are named or granted in texts.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("BSD", _BSD),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD),
+    *[(f"CC-BY{k}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License.") for k, name in _CC],
+    *[(f"CC-BY{k}-4.0", f"Licensed under CC BY{k} 4.0.") for k, _ in _CC],
+    *[(f"{kind}-{v}", f"This work is licensed under the GNU {_GNU[kind]}, version {said}.") for kind, v, said in _VERSIONS],
+    *[(f"{kind}-{v}", f"GNU {_GNU[kind]} Version {said}, {date}") for (kind, v, said), date in zip(_VERSIONS, ("June 1991", "29 June 2007", "February 1999", "29 June 2007", "19 November 2007"), strict=True)],
+    *[(f"{kind}-{v}", f"{_PROGRAM.format(_GNU[kind])}, either version {said} of the License, or (at your option) any later version") for kind, v, said in _VERSIONS],
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 ]
 
 
+def clauses(license: str, body: str) -> tuple[list[str], list[str], list[str]]:
+    """What tells a template from its neighbours: phrases that must be in the window, that must follow it, and that must not."""
+    plain = " ".join(re.findall(r"\w+", body.lower()))
+    if body == _BSD:
+        holders = "provided by the copyright holders"
+        return {"BSD": ([], [], [holders, "neither the name"]), "BSD-2-Clause": ([], [holders], ["neither the name"]), "BSD-3-Clause": ([], ["neither the name"], [])}[license]
+    # What the template says of kind and version, word for word.
+    said = re.findall(r"gnu (?:lesser |affero )?general public license|(?:version|v) \d(?: \d)?|creative commons attribution(?: \w+)*? 4 0|cc by(?: \w\w)* 4 0", plain)
+    if license == "GPL-3.0" and "version" not in plain:
+        return said, [], ["version 2 of the license"]
+    # A version of one number is not the start of a longer one.
+    return said, [], ["version 2 1"] if license == "GPL-2.0" else []
+
+
 def license_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
@@ -67,10 +100,15 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     """(template, license, hashes, shingles, length), of templates that have a shingle."""
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
-    listed = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(body).alias("body")) for i, (name, body) in enumerate(templates)]
-    listed = F.array(*listed) if listed else F.array().cast("array<struct<template:int,license:string,body:string>>")
+
+    def phrases(name: str, body: str) -> list[Column]:
+        parts = zip(("within", "after", "never"), clauses(name, body), strict=True)
+        return [F.array(*[F.lit(f" {x} ") for x in found]).cast("array<string>").alias(label) for label, found in parts]
+
+    listed = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(body).alias("body"), *phrases(name, body)) for i, (name, body) in enumerate(templates)]
+    listed = F.array(*listed) if listed else F.array().cast("array<struct<template:int,license:string,body:string,within:array<string>,after:array<string>,never:array<string>>>")
     rows = spark.range(1).select(F.inline(listed)).withColumn("w", license_words(F.col("body")))
-    rows = rows.select("template", "license", shingle_hashes(F.col("w")).alias("hashes"), shingles(F.col("w")).alias("shingles"))
+    rows = rows.select("template", "license", "within", "after", "never", shingle_hashes(F.col("w")).alias("hashes"), shingles(F.col("w")).alias("shingles"))
     return rows.withColumn("length", F.size("shingles")).where("length > 0")
 
 
@@ -95,13 +133,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     spans = F.concat(*[windows(n) for n in lengths]) if lengths else F.array().cast("array<struct<length:int,first_word:int,hashes:array<bigint>>>")
     cut = rows.select(id_col, "_w", F.explode_outer(spans).alias("x")).where("x is not null")
     span = F.slice("_w", F.col("x.first_word") + 1, 2 * F.col("x.length") + SHINGLE - 1)
-    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span")), bands=signature(F.col("hashes")))
-    bands = known.select("template", "license", "length", "shingles", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
+    after = F.slice("_w", F.col("x.first_word") + 1, 2 * F.col("x.length") + SHINGLE - 1 + REACH)
+    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), after.alias("_after")), bands=signature(F.col("hashes")))
+    bands = known.select("template", "license", "within", "after", "never", "length", "shingles", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
     # One row for each template and pair of band and value, of at most MAX_TEMPLATES * BANDS rows.
-    by_band = F.broadcast(bands.groupBy("length", "template", "license", "shingles").agg(F.sort_array(F.collect_list(F.struct("band", "value"))).alias("sketch")))
+    by_band = F.broadcast(bands.groupBy("length", "template", "license", "within", "after", "never", "shingles").agg(F.sort_array(F.collect_list(F.struct("band", "value"))).alias("sketch")))
     met = cut.join(by_band, "length").where(F.exists(F.zip_with("bands", "sketch", lambda a, b: a == b["value"]), lambda x: x))
     share = let(shingles(F.col("span")), lambda s: F.size(F.array_intersect(s, F.col("shingles"))) / F.size(F.col("shingles")))
     verified = once(met, containment=share).where(F.col("containment") >= least)
+    near, far = (F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")) for x in ("span", "_after"))
+    verified = once(verified, _near=near, _far=far)
+    verified = verified.where(F.forall("within", lambda x: F.col("_near").contains(x)) & F.forall("after", lambda x: F.col("_far").contains(x)) & ~F.exists("never", lambda x: F.col("_far").contains(x)))
     return verified.groupBy(id_col, "license").agg(
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("first_word").cast("bigint").alias("first_word")
     )

@@ -375,3 +375,24 @@ def test_html_keeps_headers_of_articles_and_ends_open_heads():
 def test_html_in_a_language_without_known_stop_words():
     prose = "Быстрая рыжая лисица перепрыгнула через ленивую собаку возле старого дома. " * 5
     assert html.main_text(f"<body><div><a href=x>Главная</a></div><p>{prose}</p><p>Коротко.</p><p>{prose}</p></body>") == f"{prose.strip()} Коротко. {prose.strip()}"
+
+
+def test_licenses_are_told_apart(spark):
+    program = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. keep this. "
+    holders = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS"
+    cases = [
+        ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+        ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+        *[(program.format(n, v), {k}) for n, v, k in (("General Public License", "2", "GPL-2.0"), ("General Public License", "3", "GPL-3.0"), ("Lesser General Public License", "2.1", "LGPL-2.1"), ("Affero General Public License", "3", "AGPL-3.0"))],
+        ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}),
+        ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}),
+        ("Licensed under the MIT License.", {"MIT"}),
+        (bsd + holders, {"BSD-2-Clause"}),
+        (bsd + "Neither the name of the holder may be used. " + holders, {"BSD-3-Clause"}),
+    ]
+    frame = spark.createDataFrame([(i, "filler words come first here " + t + " and more after it") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = collections.defaultdict(set)
+    for r in licenses.scan(frame).collect():
+        got[r["doc_id"]].add(r["license"])
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
