@@ -1,11 +1,11 @@
 """Byte-level BPE encoding and decoding.
 
-The pattern splits each text; the distinct words of the whole corpus are counted, and the most frequent ones
-(a documented bound on their number and length, so the table that is broadcast has a proven size) are folded
-once each by Spark higher-order functions: an `aggregate` over an array of byte pieces merges the adjacent pair
-of lowest rank until no pair has a rank, with the ranks in a literal map. A word is held as a string with one
-character per byte (Latin-1), so pieces concatenate as strings. Texts then look their words up in that table;
-words beyond the bound are merged in the task by the same rule.
+The pattern splits each text into words. The most frequent distinct words of the corpus, at most HOT_WORDS of them, are
+folded once each by Spark higher-order functions: an `aggregate` over an array of byte pieces merges the adjacent pair of
+lowest rank until no pair has a rank, with the ranks in a literal map; a word is held as a string with one character per
+byte (Latin-1), so pieces concatenate as strings. Their ids are written as a table of a proven size, which each worker
+reads once, and texts are looked up in it. Words beyond the bound are merged in the task by the same rule: folding them
+too costs several times the rest of the encoding, and bringing them to their texts would shuffle more than the input.
 
 Defined results: a null text counts as empty; an empty text has no ids; repeated rows give repeated results.
 The white-space and letter classes are those of the JVM's Unicode tables.
@@ -18,21 +18,25 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import let, materialize, slices, small_batches
+from chronoloom.llm.common import let, materialize_at, shared_fs, slices, small_batches
 
-#: At most so many words, of so many bytes each, are folded ahead and broadcast: 524288 * (64 bytes + 64 ids).
+#: At most so many words, of so many bytes each, are folded ahead for all tasks: 524288 * (64 bytes + 64 ids).
 HOT_WORDS, HOT_BYTES = 1 << 19, 64
 #: Buckets of the literal rank map; a lookup scans one bucket of a few entries.
 BUCKETS = 1 << 15
+#: Bytes of words that a task holds at once.
+SLICE_BYTES = 24 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,24 +70,33 @@ def rank_of(buckets: Column, piece: Column) -> Column:
 
 
 def fold_word(word: Column, buckets: Column) -> Column:
-    """Ids of one word by ranked merges over its bytes."""
+    """Ids of one word by ranked merges over its bytes.
 
-    def merge(pieces: Column, _: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: rank_of(buckets, F.concat(F.get(pieces, i - 1), F.get(pieces, i))))
+    p holds the pieces behind a null, r at each place the rank of the piece there joined with the next one.
+    """
 
-        def at(ranks: Column) -> Column:
-            p = F.array_position(ranks, F.array_min(ranks)).cast("int")
-            return F.when(F.array_min(ranks).isNull(), pieces).otherwise(
-                F.concat(F.slice(pieces, F.lit(1), p - 1), F.array(F.concat(F.get(pieces, p - 1), F.get(pieces, p))), F.slice(pieces, p + 2, F.size(pieces)))
-            )
+    def merge(s: Column, _: Column) -> Column:
+        p, r = s["p"], s["r"]
+
+        def join(k: Column) -> Column:
+            def around(piece: Column) -> Column:
+                ranks = F.array(rank_of(buckets, F.concat(F.get(p, k - 2), piece)), rank_of(buckets, F.concat(piece, F.get(p, k + 1))))
+                rest = F.size(p)
+                return F.struct(
+                    F.concat(F.slice(p, F.lit(1), k - 1), F.array(piece), F.slice(p, k + 2, rest)).alias("p"),
+                    F.concat(F.slice(r, F.lit(1), k - 2), ranks, F.slice(r, k + 2, rest)).alias("r"),
+                )
+
+            return let(F.concat(F.get(p, k - 1), F.get(p, k)), around)
 
-        return F.when(F.size(pieces) < 2, pieces).otherwise(let(pairs, at))
+        return let(F.array_min(r), lambda least: F.when(least.isNull(), s).otherwise(let(F.array_position(r, least).cast("int"), join)))
 
     def folded(latin: Column) -> Column:
         whole = rank_of(buckets, latin)
-        start = F.split(latin, "(?s)(?<=.)(?=.)")
+        bytes_ = F.concat(F.array(F.lit(None).cast("string")), F.split(latin, "(?s)(?<=.)(?=.)"))
+        ranked = let(bytes_, lambda p: F.struct(p.alias("p"), F.transform(p, lambda x, i: rank_of(buckets, F.concat(x, F.get(p, i + 1)))).alias("r")))
         steps = F.sequence(F.lit(1), F.greatest(F.length(latin) - 1, F.lit(1)))
-        merged = F.aggregate(steps, start, merge)
+        merged = F.aggregate(steps, ranked, merge, lambda s: F.slice(s["p"], F.lit(2), F.size(s["p"])))
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(merged, lambda piece: rank_of(buckets, piece)))
 
     return let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), folded)
@@ -111,10 +124,10 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : ends[i]]] for i in range(n) if alive[i]]
 
 
-def word_table(docs: DataFrame, text_col: str, ranks: dict[bytes, int], pattern: str, hot_words: int = HOT_WORDS) -> pa.Table:
-    """word, ids: the words that the most documents hold, at most hot_words of them, each folded once."""
+def word_table(docs: DataFrame, text_col: str, ranks: dict[bytes, int], pattern: str, hot_words: int = HOT_WORDS) -> str:
+    """The folder of a table (word, ids): the words that the most documents hold, at most hot_words of them, each folded once."""
     seen = docs.select(F.explode(F.array_distinct(pretokens(F.col(text_col), pattern))).alias("word"))
-    counts = materialize(seen.groupBy("word").count().where((F.col("count") > 1) & (F.octet_length("word") <= HOT_BYTES)), "bpe-words")
+    counts, _ = materialize_at(seen.groupBy("word").count().where((F.col("count") > 1) & (F.octet_length("word") <= HOT_BYTES)), "bpe-words")
     # A word's level is its count on a scale of eighths of powers of two: a few hundred levels at most.
     level = F.floor(F.log2("count") * 8)
     kept, least = 0, None
@@ -125,50 +138,49 @@ def word_table(docs: DataFrame, text_col: str, ranks: dict[bytes, int], pattern:
     hot = counts.where(level >= (least if least is not None else 1 << 20)).select("word")
     # Cheap words and dear ones are dealt out evenly; the fold is the only work of these tasks.
     hot = hot.repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism * 2))
-    return hot.select("word", let(rank_map(ranks), lambda b: fold_word(F.col("word"), b)).alias("ids")).toArrow()
+    _, path = materialize_at(hot.select("word", let(rank_map(ranks), lambda b: fold_word(F.col("word"), b)).alias("ids")), "bpe-hot-words")
+    return path
 
 
-def encoder(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str, hot_words: int):
-    """Batches of (id, words) -> batches of (id, token_ids), as a function for tasks."""
-    table = word_table(docs, text_col, ranks, pattern, hot_words)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    sent = docs.sparkSession.sparkContext.broadcast((sink.getvalue().to_pybytes(), ranks))
+@lru_cache(maxsize=1)
+def held_column(path: str, column: str) -> pa.Array:
+    """A column of the table of frequent words, read once by a worker; rows stand in the order of the files' names."""
+    fs, plain = shared_fs(path)
+    read = pq.read_table(plain, columns=[column], filesystem=fs).column(0)
+    return pa.concat_arrays(read.chunks) if read.num_chunks else pa.array([], pa.string() if column == "word" else pa.list_(pa.int32()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored, own = sent.value
-        known = pa.ipc.open_stream(stored).read_all()
-        hot = pa.concat_arrays(known.column("word").chunks) if known.num_rows else pa.array([], pa.string())
-        ids = pa.concat_arrays(known.column("ids").chunks) if known.num_rows else pa.array([], pa.list_(pa.int32()))
-        starts, values = np.asarray(ids.offsets), np.asarray(ids.values)
+
+def encoder(path: str, ranks: dict[bytes, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.Array, pa.ListArray]]]:
+    """Batches of (id, words) -> ids and lists of token ids, by the table at path and, for other words, by merges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+        hot, known = held_column(path, "word"), held_column(path, "ids")
+        starts, values = np.asarray(known.offsets).astype(np.int64), np.asarray(known.values).astype(np.int32)
         rest: dict[str, list[int]] = {}
         for whole in batches:
-            for batch in slices(whole, 1, 24 << 20):
+            for batch in slices(whole, 1, SLICE_BYTES):
                 column = batch.column(1)
                 bounds = np.asarray(column.offsets).astype(np.int64)
                 coded = column.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
                 distinct, at = coded.dictionary, np.asarray(coded.indices)
-                found = pc.index_in(distinct.cast(hot.type), value_set=hot)
-                place = np.asarray(found.fill_null(-1)).astype(np.int64)
+                place = np.asarray(pc.index_in(distinct.cast(hot.type), value_set=hot).fill_null(-1)).astype(np.int64)
                 missing = np.flatnonzero(place < 0)
                 more: list[list[int]] = []
                 if len(rest) > 100_000:
                     rest.clear()
                 for word in distinct.take(pa.array(missing)).to_pylist():
                     if (got := rest.get(word)) is None:
-                        got = rest[word] = merge_word(word.encode(), own)
+                        got = rest[word] = merge_word(word.encode(), ranks)
                     more.append(got)
-                first = np.where(place >= 0, starts[np.maximum(place, 0)] if len(hot) else 0, 0)
-                length = np.where(place >= 0, np.diff(starts)[np.maximum(place, 0)] if len(hot) else 0, 0)
-                sizes = np.fromiter(map(len, more), np.int64, len(more))
-                first[missing], length[missing] = len(values) + np.cumsum(sizes) - sizes, sizes
-                pool = np.concatenate([values, np.fromiter(chain.from_iterable(more), np.int32, int(sizes.sum()))])
+                # Places of the table, then the words that it lacks.
+                place[missing] = len(hot) + np.arange(len(missing))
+                length = np.concatenate([np.diff(starts), np.fromiter(map(len, more), np.int64, len(more))])[place]
+                rare = np.fromiter(chain.from_iterable(more), np.int32)
+                first = np.concatenate([starts[:-1], len(values) + np.cumsum(length[missing]) - length[missing]])[place]
                 count = length[at]
                 ends = np.concatenate([[0], np.cumsum(count)])
-                out = pool[np.repeat(first[at] - ends[:-1], count) + np.arange(ends[-1])]
-                token_ids = pa.ListArray.from_arrays(pa.array(ends[bounds - bounds[0]].astype(np.int32)), pa.array(out, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), token_ids], names=["id", "token_ids"])
+                out = np.concatenate([values, rare])[np.repeat(first[at] - ends[:-1], count) + np.arange(ends[-1])]
+                yield batch.column(0), pa.ListArray.from_arrays(pa.array(ends[bounds - bounds[0]].astype(np.int32)), pa.array(out, pa.int32()))
 
     return run
 
@@ -176,7 +188,13 @@ def encoder(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: st
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
     """(id_col, token_ids array<int>) for every row of docs."""
     small_batches(docs.sparkSession)
-    run = encoder(docs, ranks, pattern, text_col, hot_words)
+    path = word_table(docs, text_col, ranks, pattern, hot_words)
+    coded = encoder(path, ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, token_ids in coded(batches):
+            yield pa.RecordBatch.from_arrays([ids, token_ids], names=[id_col, "token_ids"])
+
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words")).mapInArrow(run, f"{id_col} {kind}, token_ids array<int>")
 
@@ -214,32 +232,29 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id")
     return encoded.select(id_col, "token_ids").mapInArrow(run, f"{id_col} {kind}, decoded binary")
 
 
-def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256): encodes, then decodes from the ids alone, in one pass over the texts."""
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS, with_ids: bool = False) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256; with_ids: token_ids): encodes, then decodes from the ids alone, in one pass over the texts."""
     small_batches(docs.sparkSession)
-    run = encoder(docs, ranks, pattern, text_col, hot_words)
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    path = word_table(docs, text_col, ranks, pattern, hot_words)
+    coded = encoder(path, ranks)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = piece_table(sent.value)
+        pieces = piece_table(ranks)
         names = pa.array([str(i) for i in range(len(pieces))])
-        for batch in run(batches):
-            column = batch.column(1)
+        for doc_ids, column in coded(batches):
             data, starts = decoded(column, pieces)
             bounds = np.asarray(column.offsets).astype(np.int64)
-            ids = column.values.slice(bounds[0], bounds[-1] - bounds[0])
-            lists = pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), names.take(ids.cast(pa.int64())))
-            text = pc.binary_join(lists, ",")
+            text = pc.binary_join(pa.ListArray.from_arrays(column.offsets, names.take(column.values.cast(pa.int64()))), ",")
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    doc_ids,
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in text]),
                     pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(starts[:-1], starts[1:], strict=True)]),
+                    *([column] if with_ids else []),
                 ],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
+                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if with_ids else [])],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words"))
-    return rows.mapInArrow(digests, f"{id_col} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col), pretokens(F.col(text_col), pattern).alias("words")).mapInArrow(digests, f"{id_col} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{", token_ids array<int>" if with_ids else ""}")

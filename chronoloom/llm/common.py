@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,9 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see (spark.checkpoint.dir); one of our own only where it is unset."""
+    """The folder that the driver and all executors see (spark.checkpoint.dir). Only a session that is one process on one
+    machine, as in tests, gets one of its own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -28,11 +32,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: lineage ends there, and a lost executor costs a reread."""
+def materialize_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Writes df to the shared folder and reads it again, with the path that it has there."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """df, written and read again: lineage ends there, and a lost executor costs a reread."""
+    return materialize_at(df, label)[0]
 
 
 def shared_fs(path: str) -> tuple[pa.fs.FileSystem, str]:
@@ -41,7 +50,10 @@ def shared_fs(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
-    """Lowers the session's Arrow batches, so that whole long texts stay within a task's memory; never raises them."""
+    """Lowers the session's Arrow batches, so that whole long texts stay within a task's memory; never raises them.
+
+    The plan reads the setting when it runs, so it stays lowered for the session.
+    """
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
         if not 0 < int(spark.conf.get(key).rstrip("bB")) <= most:
             spark.conf.set(key, str(most))
@@ -57,10 +69,10 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows, dealt out again: partitions are read one after another until n rows are found, so a limit shuffles nothing else."""
-    spark, rows = df.sparkSession, df._jdf.takeAsList(n)
-    return DataFrame(spark._jsparkSession.createDataFrame(rows, df._jdf.schema()), spark).repartition(spark.sparkContext.defaultParallelism)
+def spread_rows(df: DataFrame, n: int, seed: int = 7) -> DataFrame:
+    """About n rows drawn from all partitions, all of a smaller table. They never leave the executors; whole texts may be among them."""
+    rows = df.count()
+    return df if rows <= n else df.sample(n / rows, seed)
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
