@@ -6,7 +6,10 @@ boilerplate, as are blocks of mostly linked text; long blocks are main text if t
 article element, their length alone) speaks for it, and boilerplate if the share is low. Short blocks stay ambiguous.
 A name alone never rejects a container with most of the page's dense prose or of its article text; words of readers,
 notices and teasers do while dense prose stands outside. A page whose long blocks hold no stop word goes by length and
-links. An open head ends at the first thing that cannot stand in it.
+links. Names count where every part of one speaks for it: "share-buttons" does, "related-work" does not.
+Omitted end tags follow the rules of HTML trees: a head ends at what cannot stand in it, a paragraph at the next block, an
+item, cell or option at its like, a button or select at a block; an end tag closes nothing across a block or a table cell.
+Tags are read in one pass, in linear time whatever the markup: each open element's place is known by name.
 Pass two labels those from the nearest decided neighbours on each side: both main text, or inside an article, makes main
 text; headings look at what follows them.
 
@@ -17,7 +20,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,12 +32,32 @@ from chronoloom.llm.common import slices, small_batches
 SHORT, LONG, STOP_HIGH, STOP_LOW, LINKED = 70, 200, 0.30, 0.12, 0.5
 #: Characters within which a heading looks ahead for main text.
 HEADING_REACH = 400
+#: Named containers around a block that are looked at.
+NESTED = 32
 
 #: Elements that begin and end a block.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
     "hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
+#: Elements whose content is raw up to their end tag.
+RAW_TAGS = frozenset("script style textarea noscript iframe title".split())
+#: Headings.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: An element ends at its like and at these, unless an element of the second list was opened within.
+ENDS_AT = {
+    "li": ("li".split(), "ul ol menu dir".split()), "dt": ("dt dd".split(), ["dl"]), "dd": ("dt dd".split(), ["dl"]), "option": (["option"], ["select"]), "optgroup": ("option optgroup".split(), ["select"]),
+    "tr": ("tr td th caption".split(), ["table"]), "td": ("td th caption".split(), ["table"]), "th": ("td th caption".split(), ["table"]),
+    "tbody": ("thead tbody tfoot tr td th caption".split(), ["table"]), "thead": ("tbody caption".split(), ["table"]), "tfoot": ("thead tbody tr td th caption".split(), ["table"]),
+}
+#: Block elements that may stand in a paragraph's place only after its end do not include these.
+NO_END_OF_P = frozenset("body caption head html legend optgroup option tbody td tfoot th thead title tr".split())
+#: No end tag closes an element outside of these.
+SCOPES = frozenset("table td th caption template object".split())
+#: Parts of tables, whose end tags do reach out of cells.
+TABLE_PARTS = frozenset("table caption tbody thead tfoot tr td th".split())
+#: Elements without blocks in them: the next block ends them. An article ends any silent element.
+PHRASE_ONLY = frozenset("button select svg math".split())
 #: Elements whose content is never text.
 SILENT_TAGS = frozenset("script style noscript template svg math iframe object canvas textarea select button head title audio video".split())
 #: Elements that hold boilerplate.
@@ -47,6 +71,12 @@ CHROME_WORDS = frozenset(
 )
 #: Words that make a name tell the state of a page, not what the element is.
 STATE_WORDS = frozenset("has no with without".split())
+#: Words that may stand beside those in a name.
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block blocks body bottom box btn button buttons col column container content desktop div element elements entries entry fixed footer form group head heading "
+    "holder icon icons inner inline item items js layout left lg link links list lists main md message mobile module news outer page panel plugin post posts primary region right row secondary section "
+    "site slot sm small sticky stories story text title top unit view wrap wrapper zone".split()
+)
 #: Words of containers that may hold more prose than the main text.
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments consent cookie cookies copyright disclaimer disqus gdpr newsletter notice notices promo "
@@ -67,7 +97,9 @@ STOP_WORDS = frozenset(
     "por porque que quien si sin sobre su sus también tan te tiene todo tu un una uno y ya".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
+#: A tag, with quoted, bare or no values of attributes; the same without regard to quotes, for markup in which they do not close.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -91,9 +123,9 @@ def chrome_words(attributes: str) -> set[str]:
     found: set[str] = set()
     for match in _NAMES.finditer(attributes):
         for name in next(x for x in match.groups() if x is not None).lower().split():
-            pieces = _SPLIT.split(name)
-            if not STATE_WORDS.intersection(pieces):
-                found |= CHROME_WORDS.intersection(pieces)
+            pieces = {x for x in _SPLIT.split(name) if x}
+            if not STATE_WORDS.intersection(pieces) and pieces <= CHROME_WORDS | NEUTRAL_WORDS | {x for x in pieces if len(x) < 3}:
+                found |= CHROME_WORDS & pieces
     return found
 
 
@@ -136,76 +168,100 @@ def acquit(found: list[Block], containers: list[tuple[set[str], bool]]) -> None:
         b.chrome = b.chrome or not guilty.isdisjoint(b.named)
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order."""
-    found: list[Block] = []
-    # Tag, inside boilerplate, inside an article, named containers around it, those around the article.
-    stack: list[tuple[str, bool, bool, tuple[int, ...], tuple[int, ...]]] = []
-    containers: list[tuple[set[str], bool]] = []  # words, inside an article
-    heading = link = silent = 0
-    current: Block | None = None
-    at = 0
-
-    def add(text: str) -> None:
-        nonlocal current
-        if stack and stack[-1][0] == "head" and text and not text.isspace():
-            leave(stack.pop()[0])
-        if silent or not text:
+class Open(NamedTuple):
+    """An open element: inside boilerplate, inside an article, named containers around it, those around the article."""
+
+    tag: str
+    chrome: bool = False
+    article: bool = False
+    named: tuple[int, ...] = ()
+    held: tuple[int, ...] = ()
+
+
+class Tree:
+    """The open elements of a page, and the blocks with text that stand in them."""
+
+    def __init__(self) -> None:
+        self.found: list[Block] = []
+        self.containers: list[tuple[set[str], bool]] = []  # words, inside an article
+        self.stack = [Open("")]
+        self.places: dict[str, list[int]] = {}  # tag -> places in the stack
+        self.blocks: list[int] = []  # places of block elements
+        self.silent = 0
+        self.current: Block | None = None
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element with one of the tags, or 0."""
+        return max((x[-1] for t in tags if (x := self.places.get(t))), default=0)
+
+    def pop(self, place: int) -> None:
+        """Closes the element at a place and all in it."""
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            if tag:
+                self.places[tag].pop()
+                self.silent -= tag in SILENT_TAGS
+                if tag in BLOCK_TAGS:
+                    self.blocks.pop()
+
+    def text(self, text: str) -> None:
+        if self.stack[-1].tag == "head" and text and not text.isspace():
+            self.pop(len(self.stack) - 1)
+        if self.silent or not text:
             return
-        if current is None:
+        if self.current is None:
             if text.isspace():
                 return
-            current = Block(bool(heading), *(stack[-1][1:] if stack else (False, False, (), ())))
-            found.append(current)
+            self.current = Block(any(map(self.places.get, HEADINGS)), *self.stack[-1][1:])
+            self.found.append(self.current)
         text = entities.unescape(text)
-        current.parts.append(text)
-        if link:
-            current.linked += len(text)
-
-    def leave(tag: str) -> None:
-        nonlocal heading, link, silent
-        if tag in SILENT_TAGS:
-            silent -= 1
-        if tag == "a":
-            link -= 1
-        if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
-            heading -= 1
-
-    size = len(page)
-    while at < size:
-        match = _TOKEN.search(page, at)
-        if match is None:
-            add(page[at:])
-            break
-        add(page[at : match.start()])
-        at = match.end()
-        closing, tag, attributes = match.group(1), match.group(2), match.group(3)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if not closing and tag not in HEAD_TAGS and stack and stack[-1][0] == "head":
-            leave(stack.pop()[0])
+        self.current.parts.append(text)
+        if self.places.get("a"):
+            self.current.linked += len(text)
+
+    def end(self, tag: str) -> None:
+        if tag in BLOCK_TAGS:
+            self.current = None
+        place = self.last(HEADINGS) if tag in HEADINGS else self.last([tag])
+        if not place:
+            return
+        if tag in BLOCK_TAGS or tag in SILENT_TAGS:
+            if tag in TABLE_PARTS or self.last(SCOPES) <= place:
+                self.pop(place)
+        elif not self.blocks or self.blocks[-1] < place:
+            self.pop(place)
+        elif tag == "a":
+            # A link around blocks ends alone; they stay open.
+            self.places["a"].pop()
+            self.stack[place] = self.stack[place]._replace(tag="")
+
+    def start(self, tag: str, attributes: str) -> None:
+        if tag not in HEAD_TAGS and self.stack[-1].tag == "head":
+            self.pop(len(self.stack) - 1)
         if tag == "br":
-            if current is not None:
-                current.parts.append(" ")
-            continue
+            if self.current is not None:
+                self.current.parts.append(" ")
+            return
         if tag in BLOCK_TAGS:
-            current = None
-        if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                while len(stack) > depth:
-                    leave(stack.pop()[0])
-            continue
+            self.current = None
+            if tag not in NO_END_OF_P and (place := self.last(["p"])) and place > self.last(SCOPES):
+                self.pop(place)
+            if tag not in ("option", "optgroup", "title", "head", "html", "body") and (place := self.last(PHRASE_ONLY)):
+                self.pop(place)
+            if tag in ("article", "main", "body") and self.silent and (place := self.last(SILENT_TAGS - {"template"})):
+                self.pop(place)
+            if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
+                self.pop(len(self.stack) - 1)
+        if tag in ENDS_AT:
+            ending, within = ENDS_AT[tag]
+            edge = self.last(within)
+            if places := [x[-1] for t in ending if (x := self.places.get(t)) and x[-1] > edge]:
+                self.pop(min(places))
         if tag in VOID_TAGS or attributes.endswith("/"):
-            continue
-        if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack:
-            # An open element of this kind ends here unless a container lies between; inline ones end with it.
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag or stack[i][0] in BLOCK_TAGS), None)
-            if depth is not None and stack[depth][0] == tag:
-                while len(stack) > depth:
-                    leave(stack.pop()[0])
-        _, chrome, article, named, held = stack[-1] if stack else ("", False, False, (), ())
+            return
+        if tag == "a" and self.places.get("a"):
+            self.end("a")
+        _, chrome, article, named, held = self.stack[-1]
         inside = article or tag in ("article", "main")
         if inside and not article:
             held = named
@@ -214,23 +270,57 @@ def blocks(page: str) -> list[Block]:
             # A header inside an article is its own heading, not the page's.
             names = chrome_words(attributes) - ({"header"} if inside else set())
             if names:
-                named = (*named, len(containers))
-                containers.append((names, inside))
-        stack.append((tag, chrome or (tag in CHROME_TAGS and not (tag == "header" and inside)), inside, named, held))
-        if tag in SILENT_TAGS:
-            silent += 1
-            if tag in ("script", "style", "textarea", "noscript", "iframe", "title"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else size
-                leave(stack.pop()[0])
-        elif tag == "a":
-            link += 1
-        elif len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
-            heading += 1
-    for block in found:
+                named = (*named, len(self.containers)) if len(named) < NESTED else named
+                self.containers.append((names, inside))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK_TAGS:
+            self.blocks.append(len(self.stack))
+        self.silent += tag in SILENT_TAGS
+        self.stack.append(Open(tag, chrome or (tag in CHROME_TAGS and not (tag == "header" and inside)), inside, named, held))
+
+
+def blocks(page: str) -> list[Block]:
+    """Blocks with text, in page order."""
+    tree, at, size, quotes = Tree(), 0, len(page), True
+    unclosed: set[str] = set()  # raw elements that no end tag follows any more
+    while at < size:
+        less = page.find("<", at)
+        if less < 0:
+            tree.text(page[at:])
+            break
+        tree.text(page[at:less])
+        at = less + 1
+        if page.startswith(("!", "?"), at):
+            mark = "-->" if page.startswith("!--", at) else "]]>" if page.startswith("![CDATA[", at) else ">"
+            end = page.find(mark, at)
+            at = end + len(mark) if end >= 0 else size
+            continue
+        if not page[at : at + 2].lstrip("/")[:1].isalpha():
+            tree.text("<")
+            continue
+        match = _TAG.match(page, less) if quotes else None
+        if match is None:
+            # A quote that nothing closes: from here on tags end at the next bracket, and no part is read twice.
+            quotes, match = False, _PLAIN_TAG.match(page, less)
+            if match is None:
+                break
+        at, tag = match.end(), match.group(2).lower()
+        if match.group(1):
+            tree.end(tag)
+            continue
+        tree.start(tag, match.group(3))
+        if tag in RAW_TAGS and tree.stack[-1].tag == tag:
+            found = None if tag in unclosed else re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+            if found:
+                at = found.end()
+            else:
+                unclosed.add(tag)
+                at = size if tag in ("script", "style") else at
+            tree.pop(len(tree.stack) - 1)
+    for block in tree.found:
         block.text = " ".join("".join(block.parts).split())
-    found = [b for b in found if b.text]
-    acquit(found, containers)
+    found = [b for b in tree.found if b.text]
+    acquit(found, tree.containers)
     return found
 
 

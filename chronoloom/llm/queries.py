@@ -24,9 +24,9 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(F.col("text"))).cast("bigint").alias("size"))
-    mixed = mixing.mix(materialize(docs, "mix-sizes"))
-    shards = F.filter(F.array("shard_0", "shard_1"), lambda x: x.isNotNull())
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("taken_0") + F.col("taken_1")).alias("taken"), shards.alias("shards"))
+    mixed = mixing.with_places(mixing.mix(materialize(docs, "mix-sizes")))
+    both = lambda name: F.filter(F.array(f"{name}_0", f"{name}_1"), lambda x: x.isNotNull())
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("taken_0") + F.col("taken_1")).alias("taken"), both("shard").alias("shards"), both("place").alias("places"))
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

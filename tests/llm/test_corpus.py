@@ -93,10 +93,42 @@ def test_mix_meets_targets_and_reruns_agree(spark, empty):
     assert mixing.mix(empty.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))).count() == 0
 
 
-def test_splitting_tree_keeps_totals(spark):
-    start = spark.range(1).select(F.array(*[F.lit(v).cast("bigint") for v in (300, 0, 7, 150)]).alias("quotas"))
-    leaves = [list(r["quotas"]) for r in mixing.split_quotas(start, 3, 7).collect()]
-    assert [sum(x) for x in zip(*leaves, strict=True)] == [300, 0, 7, 150] and {sum(x) for x in leaves} <= {57, 58}
+@pytest.mark.parametrize("group", [64, 2])
+def test_splitting_tree_keeps_totals(spark, monkeypatch, group):
+    monkeypatch.setattr(mixing, "GROUP", group)
+    whole = {0: 300, 1: 0, 2: 7, 3: 150, 9: 43}
+    rows = mixing.split_quotas(spark.createDataFrame(list(whole.items()), "rank long, n long"), 3, 7).collect()
+    by_rank, by_shard = collections.Counter(), collections.Counter()
+    for r in rows:
+        by_rank[r["rank"]] += r["n"]
+        by_shard[r["shard"]] += r["n"]
+    assert by_rank == {k: n for k, n in whole.items() if n} and set(by_shard) == set(range(8)) and set(by_shard.values()) <= {62, 63}
+    first = [r["n"] for r in rows if r["rank"] == 0]
+    assert max(first) < 55 and min(first) > 20  # about 37.5 each
+
+
+def test_mix_keeps_clashing_columns_and_shuffles_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 50)
+    monkeypatch.setattr(mixing, "BLOCKS_PER_SHARD", 4)
+    rows = [(i, None if i % 5 == 0 else f"s{i % 3}", 10 + i % 7, i, f"b{i}", -i, "t", True) for i in range(300)] + [(7, "s1", 17, 7, "b7", -7, "t", True)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long, rank int, block string, before int, target string, partly boolean")
+    mixed = mixing.mix(frame)
+    assert mixed.columns == ["doc_id", "source", "size", "rank", "block", "before", "partly", *mixing.MADE]
+    got = mixing.with_places(mixed).collect()
+    assert len(got) == len(rows) and all(r["rank"] == r["doc_id"] and r["block"] == f"b{r['doc_id']}" and r["before"] == -r["doc_id"] for r in got)
+    for e in (0, 1):
+        places = collections.defaultdict(list)
+        for r in got:
+            assert (r[f"shard_{e}"] is None) == (r[f"place_{e}"] is None) == (not r[f"taken_{e}"])
+            if r[f"place_{e}"]:
+                places[r[f"shard_{e}"]].append((r[f"place_{e}"], r["doc_id"]))
+        assert all(sorted(p for p, _ in x) == list(range(1, len(x) + 1)) for x in places.values())
+        assert any([d for _, d in sorted(x)] != sorted(d for _, d in x) for x in places.values())
+    flat = mixing.in_shards(mixed, ["doc_id", "rank"]).collect()
+    assert sum(r["taken"] for r in flat) == sum(r["taken_0"] + r["taken_1"] for r in got)
+    shards = [r["shard"] for r in flat]
+    assert len({k for k, g in __import__("itertools").groupby(shards)}) == len([k for k, g in __import__("itertools").groupby(shards)])
 
 
 def test_html_keeps_the_article_only():
@@ -265,20 +297,6 @@ def test_license_scan(docs, empty, spark):
     assert [(r["doc_id"], r["license"], r["containment"]) for r in found] == [(1, "GPL-3.0", 1.0)]
 
 
-def test_pipeline_stages(spark):
-    import corpus_pipeline
-
-    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    names = []
-    for name, stage in corpus_pipeline.STAGES[:3]:
-        rows = stage(spark, frame, "")
-        assert rows.columns == frame.columns
-        frame = corpus_pipeline.materialize(rows, name)
-        names.append((name, frame.count()))
-    assert names[0][1] < 200 and names[1][1] < names[0][1] and frame.count() > names[1][1]
-    assert frame.where(F.length("text") != F.col("n_chars")).count() == 0
-
-
 def test_joined_pieces_tokenize_alone():
     import public_tokenizers
     import tokenizers
