@@ -1,58 +1,5 @@
-"""The corpus pipeline: quality rules, near-duplicates, mixing to target weights, token ids.
+"""The corpus pipeline; its stages are in chronoloom/llm/pipeline.py."""
 
-Each stage reads what its predecessor kept; between stages the rows are written as Parquet and read again.
-"""
+from chronoloom.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from chronoloom.llm import bpe, jaccard, mixing, quality, simhash
-from chronoloom.llm.common import materialize, once, words
-
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
-    return quality.judge(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
-    return simhash.keep_one(docs.select(*COLUMNS), find=jaccard.groups)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes a document; the last one of a quota is cut at its last word taken."""
-    sized = once(docs.select(*COLUMNS), size=F.size(words(F.col("text"))).cast("bigint"))
-    mixed = mixing.mix(sized)
-    taken = mixed.select(*COLUMNS, "size", F.explode(F.filter(F.array("taken_0", "taken_1"), lambda x: x > 0)).alias("taken"))
-    start = F.call_function("substring_index", F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), F.lit(" "), F.col("taken").cast("int"))
-    partly = F.col("taken") < F.col("size")
-    cut = taken.select(*COLUMNS, F.when(partly, start).alias("_start"))
-    chars = F.when(F.col("_start").isNotNull(), F.length("_start").cast("bigint")).otherwise(F.col("n_chars"))
-    return cut.select("doc_id", F.coalesce("_start", "text").alias("text"), "lang", "source", chars.alias("n_chars"))
-
-
-def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every row."""
-    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
-
-
-STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("byte_bpe", byte_bpe)]
-
-#: The stages draw by seeded hashes and merge by rank: SQL cannot express them; tests hold run() against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for place, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if place + 1 < len(STAGES):
-            docs = materialize(docs, name)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
