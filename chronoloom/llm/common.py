@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,6 +60,13 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) ->
             spark.conf.set(key, str(most))
 
 
+def integer_ids(df: DataFrame, id_col: str) -> None:
+    """Refuses ids that are no integers, before any work is done."""
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} must hold integers, not {kind.simpleString()}")
+
+
 def words(text: Column) -> Column:
     """All words of a text; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

@@ -36,7 +36,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = warc.write(table(spark, sf_dir, "pages"))
     located = warc.locate(warc.build_index(written), written.select("key"))
-    return warc.fetch(located).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.fetch(located, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    manifest, freq = rans.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
-    return rans.read(manifest, freq)
+    folder = rans.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
+    return rans.read(spark, folder)
 
 
 #: Arrivals that the sharding query appends.

@@ -3,13 +3,20 @@
 Texts are tokenized in ascending id order and packed into blocks of whole documents. One frequency table, counted over
 all tokens, is shared by every block. A block's tokens are dealt to LANES interleaved 64-bit states that numpy steps
 together; each state emits 32-bit words. A file is a header, blocks with a checksum each, and a trailing directory of
-block offsets: checkpoints from which any block is decoded alone. Block rows of the manifest are read back in parallel.
+block offsets: checkpoints from which any block is decoded alone. A block longer than CHECK_TOKENS, which one long text
+can make, holds the lanes' states at every CHECK_TOKENS tokens as well, so it is decoded in parts.
 
-Defined results: null and empty texts have the end id alone; null ids sort first, rows that share an id by text hash.
+A folder of files is whole in itself: each file's header holds the frequency table and the digest of the tokenizer, and
+the table `files` in the folder names the files that count, since a repeated attempt of a task may leave one more.
+Reading needs the folder alone: it takes the blocks from the files' trailing directories and decodes them in parallel.
+
+Defined results: ids are integers (others are refused); null and empty texts have the end id alone; null ids sort first,
+rows that share an id by text hash; other columns are left out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -18,22 +25,26 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import materialize, new_path, shared_fs, slices, small_batches
+from chronoloom.llm.common import integer_ids, materialize, new_path, shared_fs, slices, small_batches
 
 #: Tokens at which a block ends (with the document that reaches it), interleaved states, bits of the frequency total.
 BLOCK_TOKENS, LANES, SCALE = 1 << 18, 1024, 20
 LOW = np.uint64(1 << 31)
 MAGIC = b"RANSTOK1"
-HEAD = "<8sIII"  # magic, version, vocabulary size, crc32 of the frequency table
-BLOCK = "<QIIIII"  # first token, tokens, documents, bytes of document table, bytes of payload, crc32 of both
+HEAD = "<8sIIII32s"  # magic, version, vocabulary size, bytes of the frequency table, its crc32, sha256 of the tokenizer
+BLOCK = "<QIIIIII"  # first token, tokens, documents, bytes of document table, of checkpoints, of payload, crc32 of all three
+TAIL = "<QI8s"  # place of the directory, blocks, magic
+#: Tokens between the checkpoints inside a block.
+CHECK_TOKENS = 1 << 18
 #: Bytes of text that are tokenized together.
 SLICE_BYTES = 12 << 20
 
@@ -54,32 +65,41 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
     return scaled
 
 
-def encode_block(ids: np.ndarray, freq: np.ndarray) -> bytes:
-    """States and words of one block; ids are dealt to the lanes in turn."""
+def encode_block(ids: np.ndarray, freq: np.ndarray, every: int = CHECK_TOKENS) -> tuple[bytes, bytes]:
+    """States and words of one block, and its checkpoints; ids are dealt to the lanes in turn."""
     start = (np.cumsum(freq) - freq).astype(np.uint64)
     freq = freq.astype(np.uint64)
     f, c = freq[ids], start[ids]
-    state, words = np.full(LANES, LOW), []
+    state, words, emitted, marks = np.full(LANES, LOW), [], 0, []
     limit = f << np.uint64(63 - SCALE)
     for at in range((len(ids) - 1) // LANES * LANES, -1, -LANES):
         n = min(LANES, len(ids) - at)
         x, fs = state[:n], f[at : at + n]
         full = x >= limit[at : at + n]
         words.append(x[full].astype("<u4"))
+        emitted += len(words[-1])
         x = np.where(full, x >> np.uint64(32), x)
         q = x // fs
         state[:n] = (q << np.uint64(SCALE)) + (x - q * fs) + c[at : at + n]
-    return state.astype("<u8").tobytes() + np.concatenate([*words[::-1], np.zeros(0, "<u4")]).astype("<u4").tobytes()
+        if at and at % every == 0:
+            marks.append((emitted, state.astype("<u8").tobytes()))
+    checkpoints = b"".join(struct.pack("<I", emitted - seen) + kept for seen, kept in marks[::-1])
+    return state.astype("<u8").tobytes() + np.concatenate([*words[::-1], np.zeros(0, "<u4")]).astype("<u4").tobytes(), checkpoints
 
 
-def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """symbols[slot] is the id whose range of the frequency total holds the slot."""
+def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.ndarray, checkpoints: bytes = b"", low: int = 0, high: int | None = None, every: int = CHECK_TOKENS) -> np.ndarray:
+    """Tokens low to high of a block, from the last checkpoint before low. symbols[slot] is the id whose range holds the slot."""
     start = (np.cumsum(freq) - freq).astype(np.uint64)
     freq = freq.astype(np.uint64)
-    state = np.frombuffer(payload, "<u8", LANES).copy()
+    state, at, begin = np.frombuffer(payload, "<u8", LANES).copy(), 0, 0
     words = np.frombuffer(payload, "<u4", offset=8 * LANES)
-    out, at, mask = np.empty(n_tokens, np.uint32), 0, np.uint64((1 << SCALE) - 1)
-    for first in range(0, n_tokens, LANES):
+    high = n_tokens if high is None else high
+    if low >= every and checkpoints:
+        number = min(low // every, len(checkpoints) // (4 + 8 * LANES))
+        (at,) = struct.unpack_from("<I", checkpoints, (number - 1) * (4 + 8 * LANES))
+        state, begin = np.frombuffer(checkpoints, "<u8", LANES, (number - 1) * (4 + 8 * LANES) + 4).copy(), number * every
+    out, mask = np.empty(max(0, high - begin), np.uint32), np.uint64((1 << SCALE) - 1)
+    for first in range(begin, high, LANES):
         n = min(LANES, n_tokens - first)
         x = state[:n]
         slot = x & mask
@@ -88,10 +108,11 @@ def decode_block(payload: bytes, n_tokens: int, freq: np.ndarray, symbols: np.nd
         short = np.flatnonzero(x < LOW)
         x[short] = (x[short] << np.uint64(32)) | words[at : at + len(short)]
         at += len(short)
-        state[:n], out[first : first + n] = x, ids
-    if at != len(words) or (state != LOW).any():
+        state[:n] = x
+        out[first - begin : first - begin + n] = ids[: high - first]
+    if high == n_tokens and (at != len(words) or (state != LOW).any()):
         raise ValueError("the block does not end in its first state")
-    return out
+    return out[low - begin :]
 
 
 #: Pieces that are tokenized as one text, and pieces of one call.
@@ -222,6 +243,7 @@ def piece_ids(tokenizer, by_word, pieces: pa.Array) -> tuple[np.ndarray, np.ndar
 
 def token_blocks(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(part, block, first_token within the part, ids binary, doc_ids, lengths): whole documents in ascending id order."""
+    integer_ids(docs, id_col)
     small_batches(docs.sparkSession)
     with open(tokenizer_path) as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -298,8 +320,8 @@ def token_counts(blocks: DataFrame) -> DataFrame:
     return blocks.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, np.ndarray]:
-    """The manifest (file, offset, length) of the blocks written, and the shared frequency table."""
+def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, check_tokens: int = CHECK_TOKENS) -> str:
+    """Writes the files; the folder that holds them and the table `files` of their names."""
     spark = docs.sparkSession
     blocks = materialize(token_blocks(docs, tokenizer_path, end_id, id_col, text_col, block_tokens), "token-blocks")
     counts = np.zeros(vocabulary, np.int64)
@@ -310,31 +332,34 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, id
     before, starts = 0, {}
     for row in totals:
         starts[row["part"]], before = before, before + row["n"]
-    sent = spark.sparkContext.broadcast((freq, starts))
+    with open(tokenizer_path, "rb") as file:
+        digest = hashlib.sha256(file.read()).digest()
+    table = zlib.compress(freq.astype("<u4").tobytes())
+    head = struct.pack(HEAD, MAGIC, 2, vocabulary, len(table), zlib.crc32(table), digest) + table
+    sent = spark.sparkContext.broadcast((freq, starts, head))
     folder = new_path(spark, "tokens")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, first = sent.value
+        table, first, _ = sent.value
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], "<u4")
                 named = [0 if x is None else x for x in row["doc_ids"]]
                 docs_table = np.array(named, "<i8").tobytes() + np.array(row["lengths"], "<u4").tobytes() + np.array([x is None for x in row["doc_ids"]], np.uint8).tobytes()
-                payload = encode_block(ids, table)
-                head = struct.pack(BLOCK, first[row["part"]] + row["first_token"], len(ids), len(named), len(docs_table), len(payload), zlib.crc32(payload, zlib.crc32(docs_table)))
+                payload, marks = encode_block(ids, table, check_tokens)
+                crc = zlib.crc32(payload, zlib.crc32(marks, zlib.crc32(docs_table)))
+                front = struct.pack(BLOCK, first[row["part"]] + row["first_token"], len(ids), len(named), len(docs_table), len(marks), len(payload), crc)
                 yield pa.RecordBatch.from_pydict(
-                    {"part": [row["part"]], "block": [row["block"]], "data": [head + docs_table + payload]}, schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
+                    {"part": [row["part"]], "block": [row["block"]], "data": [front + docs_table + marks + payload]}, schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
                 )
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, _ = sent.value
         open_part, out, offsets, path = None, None, [], ""
 
         def close() -> pa.RecordBatch:
-            at = out.tell()
-            out.write(np.array([o for o, _ in offsets], "<u8").tobytes() + struct.pack("<QI", at, len(offsets)) + MAGIC)
+            out.write(np.array(offsets, "<u8").tobytes() + struct.pack(TAIL, out.tell(), len(offsets), MAGIC))
             out.close()
-            return pa.RecordBatch.from_pydict({"file": [path] * len(offsets), "offset": [o for o, _ in offsets], "length": [n for _, n in offsets]}, schema=pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
+            return pa.RecordBatch.from_pydict({"part": [open_part], "file": [path], "blocks": [len(offsets)]}, schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("blocks", pa.int64())]))
 
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
@@ -345,43 +370,69 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, id
                     fs, plain = shared_fs(path)
                     fs.create_dir(plain.rsplit("/", 1)[0], recursive=True)
                     out, open_part, offsets = fs.open_output_stream(plain, compression=None), part, []
-                    out.write(struct.pack(HEAD, MAGIC, 1, len(table), zlib.crc32(table.tobytes())))
-                offsets.append((out.tell(), len(data.as_buffer())))
+                    out.write(sent.value[2])
+                offsets.append(out.tell())
                 out.write(data.as_buffer())
         if out is not None:
             yield close()
 
     packed = blocks.select("part", "block", "first_token", "ids", "doc_ids", "lengths").mapInArrow(pack, "part int, block int, data binary")
-    laid = packed.repartition("part").sortWithinPartitions("part", "block").mapInArrow(lay, "file string, offset bigint, length bigint")
-    return materialize(laid, "token-manifest"), freq
+    packed.repartition("part").sortWithinPartitions("part", "block").mapInArrow(lay, "part int, file string, blocks bigint").write.parquet(f"{folder}/files")
+    return folder
+
+
+@lru_cache(maxsize=2)
+def frequency_table(packed: bytes, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """The table of a header, and the id of each slot."""
+    table = np.frombuffer(zlib.decompress(packed), "<u4", vocabulary).astype(np.int64)
+    return table, np.repeat(np.arange(vocabulary, dtype=np.uint32), table)
 
 
-def read(manifest: DataFrame, freq: np.ndarray, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, start, n_tokens, ids_crc32) of every document, decoded block by block from the files."""
-    sent = manifest.sparkSession.sparkContext.broadcast(freq)
+def read(spark: SparkSession, folder: str, id_col: str = "doc_id", check_tokens: int = CHECK_TOKENS) -> DataFrame:
+    """(id_col, start, n_tokens, ids_crc32) of every document, decoded from the files of a folder, block by block."""
+    small_batches(spark)
+
+    def directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                fs, plain = shared_fs(path)
+                with fs.open_input_file(plain) as file:
+                    size, tail = file.size(), struct.calcsize(TAIL)
+                    at, n, magic = struct.unpack(TAIL, file.read_at(tail, size - tail))
+                    if magic != MAGIC or at + 8 * n + tail != size:
+                        raise ValueError(f"{path} has no directory of blocks")
+                    offsets = np.frombuffer(file.read_at(8 * n, at), "<u8").astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(offsets), pa.array(np.diff(offsets, append=at))], names=["file", "offset", "length"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
-        symbols = np.repeat(np.arange(len(table), dtype=np.uint32), table)
         for batch in batches:
             for row in batch.to_pylist():
                 fs, plain = shared_fs(row["file"])
                 with fs.open_input_file(plain) as file:
-                    magic, _, size, crc = struct.unpack(HEAD, file.read_at(struct.calcsize(HEAD), 0))
+                    magic, version, vocabulary, n_table, crc, _ = struct.unpack(HEAD, file.read_at(struct.calcsize(HEAD), 0))
+                    packed = file.read_at(n_table, struct.calcsize(HEAD))
                     data = file.read_at(row["length"], row["offset"])
-                if (magic, size, crc) != (MAGIC, len(table), zlib.crc32(table.tobytes())):
-                    raise ValueError(f"{row['file']} was written with another table")
-                first, n_tokens, n_docs, n_table, n_payload, crc = struct.unpack_from(BLOCK, data)
-                body = data[struct.calcsize(BLOCK) :]
-                names, payload = body[:n_table], body[n_table:]
-                if len(payload) != n_payload or zlib.crc32(payload, zlib.crc32(names)) != crc:
+                if (magic, version, crc) != (MAGIC, 2, zlib.crc32(packed)):
+                    raise ValueError(f"{row['file']} has no whole header")
+                table, symbols = frequency_table(packed, vocabulary)
+                first, n_tokens, n_docs, n_names, n_marks, n_payload, crc = struct.unpack_from(BLOCK, data)
+                body = memoryview(data)[struct.calcsize(BLOCK) :]
+                names, marks, payload = body[:n_names], body[n_names : n_names + n_marks], body[n_names + n_marks :]
+                if len(payload) != n_payload or zlib.crc32(payload, zlib.crc32(marks, zlib.crc32(names))) != crc:
                     raise ValueError(f"checksum of the block at {row['offset']} of {row['file']}")
-                ids = decode_block(payload, n_tokens, table, symbols).astype("<u4")
                 lengths = np.frombuffer(names, "<u4", n_docs, 8 * n_docs).astype(np.int64)
                 ends = np.cumsum(lengths)
+                crcs = [0] * n_docs
+                for low in range(0, n_tokens, check_tokens):
+                    # A part of a long block at a time; a document's checksum goes on from part to part.
+                    high = min(low + check_tokens, n_tokens)
+                    part = decode_block(payload, n_tokens, table, symbols, bytes(marks), low, high, check_tokens).astype("<u4")
+                    for doc in range(int(np.searchsorted(ends, low, "right")), int(np.searchsorted(ends, high - 1, "right")) + 1):
+                        crcs[doc] = zlib.crc32(part[max(0, ends[doc] - lengths[doc] - low) : ends[doc] - low].tobytes(), crcs[doc])
                 named = pa.array(np.frombuffer(names, "<i8", n_docs), pa.int64(), mask=np.frombuffer(names, np.uint8, n_docs, 12 * n_docs).astype(bool))
-                crcs = [zlib.crc32(ids[e - n : e].tobytes()) for e, n in zip(ends, lengths, strict=True)]
                 yield pa.RecordBatch.from_arrays([named, pa.array(first + ends - lengths, pa.int64()), pa.array(lengths), pa.array(crcs, pa.int64())], names=[id_col, "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.repartition(manifest.sparkSession.sparkContext.defaultParallelism * 4, F.xxhash64("file", "offset"))
-    return spread.mapInArrow(run, f"{id_col} bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    files = spark.read.schema("part int, file string, blocks bigint").parquet(f"{folder}/files").select("file")
+    cores = spark.sparkContext.defaultParallelism
+    blocks = files.repartition(cores * 2, F.xxhash64("file")).mapInArrow(directory, "file string, offset bigint, length bigint")
+    return blocks.repartition(cores * 4, F.xxhash64("file", "offset")).mapInArrow(run, f"{id_col} bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

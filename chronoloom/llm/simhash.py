@@ -7,7 +7,7 @@ fingerprints are joined (exact copies are one node). Within a key the pairs are
 it is a spanning forest of the links, never all pairs. A key with more than CHUNK fingerprints is cut into chunks and
 each pair of chunks is one unit of work, so no unit grows with the key.
 
-Defined results: null and empty texts have fingerprint zero and link like any other; a text with fewer words than a
+Defined results: ids are integers (others are refused); null and empty texts have fingerprint zero and link like any other; a text with fewer words than a
 shingle is one shingle; a null id counts as the largest; repeated rows share fingerprint and group.
 """
 
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import materialize, slices, small_batches
+from chronoloom.llm.common import integer_ids, materialize, slices, small_batches
 
 SEED, SHINGLE, DISTANCE = 42, 3, 3
 #: Lowest bit and width of each of the six blocks.
@@ -161,6 +161,7 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id_col, fp, text_hash, component_id) for every row: the smallest id among the documents reachable by links."""
+    integer_ids(docs, id_col)
     small_batches(docs.sparkSession)
     marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     last = F.coalesce(F.col(id_col), F.lit(2**63 - 1))

@@ -59,13 +59,13 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One record: response with the HTTP message, or revisit with its head alone."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, name: str = "") -> bytes:
+    """One record: response with the HTTP message, or revisit with its head alone. name tells records of one page apart."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {name}')}>"),
         ("WARC-Date", CAPTURED),
         ("WARC-Target-URI", quote(url or "", safe="/,()?&=:;@!$*+.~%-_#[]'")),
         ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}"),
@@ -115,7 +115,7 @@ def write(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_c
                 made = []
                 for page_id, url, body, first in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                     revisit = first is not None and page_id != first
-                    member = record(page_id, url, body.encode(), first, revisit)
+                    member = record(page_id, url, body.encode(), first, revisit, f"{folder} {part} {serial}")
                     if out is None or out.tell() > FILE_BYTES:
                         if out is not None:
                             out.close()
@@ -205,8 +205,9 @@ def locate(index: DataFrame, keys: DataFrame) -> DataFrame:
     return asked.groupBy("block").cogroup(index.select("block", "data").groupBy("block")).applyInArrow(search, "key string, file string, offset bigint, length bigint")
 
 
-def fetch(located: DataFrame) -> DataFrame:
-    """(key, page_id, payload_bytes, payload_digest, record_type, refers_to, payload) by ranges of the archives."""
+def fetch(located: DataFrame, payloads: bool = True) -> DataFrame:
+    """(key, page_id, payload_bytes, payload_digest, record_type, refers_to, payload) by ranges of the archives. Each payload is
+    held against its digest; payloads=False leaves it out of the rows."""
     rows = located.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +225,7 @@ def fetch(located: DataFrame) -> DataFrame:
                 for key, _, offset, n in todo[at:to]:
                     fields, http, payload = parse(data[offset - start : offset - start + n])
                     page, refers = fields["X-Page-ID"], fields.get("X-Refers-To-Page-ID")
-                    out.append((key, int(page) if page else None, int(http["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"], int(refers) if refers else None, payload))
+                    out.append((key, int(page) if page else None, int(http["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"], int(refers) if refers else None, payload if payloads else None))
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=made)
                 at = to

@@ -24,7 +24,7 @@ TEXTS = [
     (3, "", None),
     (4, "héllo wörld  日本語 tabs\tand\n\nlines " * 40, "b"),
     (4, "héllo wörld  日本語 tabs\tand\n\nlines " * 40, "b"),
-    (5, "x" * 5000, "b"),
+    (5, "x" * 5000 + " 1 2 3 4 5 6 7 8 9" * 300, "b"),
     (6, "Released under the MIT License. " + "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 3, "c"),
     (7, "The quick brown fox's den, twice: the quick brown fox jumps over 123 dogs!", "a"),
     (None, "no id here but words enough to be kept by every rule of the cascade", None),
@@ -204,11 +204,27 @@ def test_links_against_all_pairs(spark, chunk):
     assert [got.get(i, i) for i in range(len(fps))] == label
 
 
+def _picture_hash(payload):
+    """Cosine sums one by one."""
+    rows = [payload[i : i + 192] for i in range(0, len(payload), 192)]
+    grey = np.array([[float(sum(r[3 * x : 3 * x + 3])) for x in range(64)] for r in rows])
+    for axis in (0, 1):
+        n = grey.shape[axis]
+        edges = [k * n // 32 for k in range(33)]
+        cells = [grey.take(range(a, b), axis).mean(axis) if n >= 32 else grey.take(a, axis) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        grey = np.stack(cells, axis)
+    low = [round(sum(grey[y, x] * np.cos(np.pi * (2 * y + 1) * u / 64) * np.cos(np.pi * (2 * x + 1) * v / 64) for y in range(32) for x in range(32)), 6) for u in range(8) for v in range(8)]
+    middle = np.median(low[1:])
+    return int("".join("1" if x > middle else "0" for x in low), 2).to_bytes(8).hex()
+
+
 def test_media_round_trip(docs, empty):
     rows = media.features(media.store(docs)).collect()
     payloads = [media.padded((text or "").encode()) for _, text, _ in TEXTS]
-    expected = sorted((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:])) for p in payloads)
-    assert sorted((r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in rows) == expected
+    stored = [media.encode_png(p) for p in payloads]
+    expected = sorted((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]), len(m), hashlib.sha256(m).hexdigest(), _picture_hash(p)) for p, m in zip(payloads, stored, strict=True))
+    assert sorted((r["payload_bytes"], r["payload_sha256"], r["tail_crc32"], r["media_bytes"], r["media_sha256"], r["feature"]) for r in rows) == expected
+    assert len({tuple(r) for r in rows if r["doc_id"] == 4}) == 1
     assert media.features(media.store(empty)).count() == 0
     png = bytearray(media.encode_png(bytes(range(192)) * 3))
     png[60] ^= 1
@@ -239,7 +255,10 @@ def test_quality_counts(docs, empty):
         covered = {k for i in range(len(found) - 4) if counts[tuple(found[i : i + 5])] > 1 for k in range(i, i + 5)}
         lines = [x for x in (text or "").split("\n") if WORD.search(x)]
         assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"]) == (len(found), sum(map(len, found)), len(lines) - len(set(lines)), len(covered))
-        assert r["base_failed"] == (len(found) < 10 or 100 * len(covered) > 20 * len(found)) and (not r["base_failed"] or not r["kept"])
+        failed, n, letters = len(found) < 10 or 100 * len(covered) > 20 * len(found), len(found), [c for c in text or "" if c.isalpha()]
+        symbols, shouted, worded = len(re.findall(r"[#*$%&|<>]", text or "")), sum(c.isupper() for c in letters), sum(any(c.isalpha() for c in w) for w in found)
+        fine = 2 * n <= sum(map(len, found)) <= 12 * n and 10 * symbols <= n and 2 * r["n_dup_lines"] <= len(lines) and 2 * shouted <= len(letters) and 2 * worded >= n
+        assert (r["n_symbols"], r["base_failed"], r["kept"]) == (symbols, failed, not failed and fine)
     assert quality.judge(empty).count() == 0
     assert sorted(quality.cascade_order(docs.select("text"), quality.rules(), quality.base_counts)) == sorted(quality.rules())
 
@@ -247,16 +266,19 @@ def test_quality_counts(docs, empty):
 def test_token_files_round_trip(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    manifest, freq = rans.write(docs, path, 2, 49_408, block_tokens=50)
-    got = sorted(rans.read(manifest, freq).collect(), key=lambda r: r["start"])
+    # Long blocks have checkpoints inside; a session that has seen nothing but the folder reads them.
+    folder = rans.write(docs, path, 2, 49_408, block_tokens=50, check_tokens=1024)
+    assert docs.sparkSession.read.parquet(f"{folder}/files").count() > 0
+    got = sorted(rans.read(docs.sparkSession.newSession(), folder, check_tokens=1024).collect(), key=lambda r: r["start"])
     assert [r["doc_id"] for r in got] == [None, 1, 2, 3, 4, 4, 5, 6, 7]
     texts, start = {i: t for i, t, _ in TEXTS}, 0
     for r in got:
         ids = [*library.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 2]
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    nothing, freq = rans.write(empty, path, 2, 49_408)
-    assert rans.read(nothing, freq).count() == 0
+    assert rans.read(docs.sparkSession, rans.write(empty, path, 2, 49_408)).count() == 0
+    with pytest.raises(TypeError, match="integers"):
+        rans.write(docs.withColumn("doc_id", F.lit("x")), path, 2, 49_408)
 
 
 def test_rans_blocks():
@@ -266,7 +288,11 @@ def test_rans_blocks():
         freq = rans.frequencies(np.bincount(ids, minlength=1000))
         assert freq.sum() == 1 << rans.SCALE
         symbols = np.repeat(np.arange(1000, dtype=np.uint32), freq)
-        assert (rans.decode_block(rans.encode_block(ids, freq), n, freq, symbols) == ids).all()
+        payload, marks = rans.encode_block(ids, freq, every=2048)
+        assert (rans.decode_block(payload, n, freq, symbols) == ids).all() and len(marks) == (n - 1) // 2048 * (4 + 8 * rans.LANES)
+        for low, high in ((0, n), (2048, 3000), (2100, 4100), (4095, 5000)):
+            if high <= n:
+                assert (rans.decode_block(payload, n, freq, symbols, marks, low, high, 2048) == ids[low:high]).all()
 
 
 def test_shards_keep_rows_and_versions(spark, docs):
