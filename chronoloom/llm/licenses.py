@@ -1,18 +1,21 @@
 """License scans: MinHash bands over overlapping windows retrieve templates, exact containment verifies them.
 
 Texts and templates become lower-case runs of letters and digits, then five-word shingles. For each template length
-of L shingles the text is covered by windows of 2L shingles, L apart, so every occurrence lies inside one window. A
-window's signature has BANDS minima of one row each: a window that holds 0.8 of the template has a Jaccard similarity of
-at least 0.8 L / (2.2 L), so all bands miss it with probability below (1 - 0.36) ** 32 < 1e-6. A window that shares no
-shingle with any template cannot agree with one in any band; those are left out before signatures are made, which loses
-nothing. Retrieved pairs are verified on the shingles themselves: at least 0.8 of the template's must be in the window,
-and so must the words that tell its kind and version from others; clauses that come later decide between BSD licenses.
+of L shingles the text is covered by windows of 1.5 L shingles, half of L apart, so every occurrence lies inside one
+window. A window that holds 0.8 of a template has a Jaccard similarity of at least 0.8 L / (1.5 L + 0.2 L) = 0.47. Its
+signature has BANDS bands of ROWS minima each; template and window meet if a band agrees, so a pair at that least
+similarity is missed with probability (1 - 0.47 ** 2) ** 40 < 5e-5, and one that holds the whole template (0.67) with
+(1 - 0.67 ** 2) ** 40 < 1e-10. Only windows with a shingle of some template of their length get a signature: others agree
+with none in any band, so this loses nothing. Pairs that meet are verified on the shingles themselves: at least 0.8 of
+the template's must be in the window, and so must the words that tell its kind and version from others; clauses that
+come later decide between BSD licenses.
 
 Only built-in functions. A text's windows never leave its row until a template is met; the templates are a parameter of
 the operator, bounded by MAX_TEMPLATES, and only their bands are broadcast.
 
-Defined results: null, empty and short texts match nothing; one row for each id and license that some window verifies,
-so an empty table gives no rows; rows that share an id are scanned apart and reported together.
+Defined results: null, empty and short texts match nothing, a text of any length is scanned whole; one row for each id
+and license that some window verifies, so an empty table gives no rows; rows that share an id are scanned apart and
+reported together; other columns are left out.
 """
 
 from __future__ import annotations
@@ -23,48 +26,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.llm.common import let, once
+from chronoloom.llm.license_texts import BSD, TEMPLATES
 
-SHINGLE, LEAST, BANDS, MAX_TEMPLATES = 5, 0.8, 32, 1000
+SHINGLE, LEAST, BANDS, ROWS, MAX_TEMPLATES = 5, 0.8, 40, 2, 1000
 
 #: Words after a window in which the clauses of its license are looked for.
 REACH = 250
-_PROGRAM = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
-_GNU = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
-_VERSIONS = [("GPL", "2.0", "2"), ("GPL", "3.0", "3"), ("LGPL", "2.1", "2.1"), ("LGPL", "3.0", "3"), ("AGPL", "3.0", "3")]
-_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
-_CC = [("", "Attribution"), ("-NC", "Attribution-NonCommercial"), ("-SA", "Attribution-ShareAlike"), ("-ND", "Attribution-NoDerivatives"), ("-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("-NC-ND", "Attribution-NonCommercial-NoDerivatives")]
-
-#: The notices, titles and grants by which public licenses are named or granted in texts.
-TEMPLATES = [
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
-    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("BSD", _BSD),
-    ("BSD-2-Clause", _BSD),
-    ("BSD-3-Clause", _BSD),
-    *[(f"CC-BY{k}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License.") for k, name in _CC],
-    *[(f"CC-BY{k}-4.0", f"Licensed under CC BY{k} 4.0.") for k, _ in _CC],
-    *[(f"{kind}-{v}", f"This work is licensed under the GNU {_GNU[kind]}, version {said}.") for kind, v, said in _VERSIONS],
-    *[(f"{kind}-{v}", f"GNU {_GNU[kind]} Version {said}, {date}") for (kind, v, said), date in zip(_VERSIONS, ("June 1991", "29 June 2007", "February 1999", "29 June 2007", "19 November 2007"), strict=True)],
-    *[(f"{kind}-{v}", f"{_PROGRAM.format(_GNU[kind])}, either version {said} of the License, or (at your option) any later version") for kind, v, said in _VERSIONS],
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("MPL-2.0", "Mozilla Public License Version 2.0"),
-]
 
 
 def clauses(license: str, body: str) -> tuple[list[str], list[str], list[str]]:
     """What tells a template from its neighbours: phrases that must be in the window, that must follow it, and that must not."""
     plain = " ".join(re.findall(r"\w+", body.lower()))
-    if body == _BSD:
+    if license == "BSD-2-Clause" and body != BSD:
+        return [], [], ["neither the name"]
+    if license == "BSD-3-Clause" and body != BSD:
+        return ["neither the name"], [], []
+    if body == BSD:
         holders = "provided by the copyright holders"
         return {"BSD": ([], [], [holders, "neither the name"]), "BSD-2-Clause": ([], [holders], ["neither the name"]), "BSD-3-Clause": ([], ["neither the name"], [])}[license]
     # What the template says of kind and version, word for word.
-    said = re.findall(r"gnu (?:lesser |affero )?general public license|(?:version|v) \d(?: \d)?|creative commons attribution(?: \w+)*? 4 0|cc by(?: \w\w)* 4 0", plain)
+    said = re.findall(r"gnu (?:lesser |affero )?general public license|(?:version|v) \d\b(?: \d\b)?|creative commons attribution(?: \w+)*? 4 0|cc by(?: \w\w)* 4 0", plain)
     if license == "GPL-3.0" and "version" not in plain:
         return said, [], ["version 2 of the license"]
     # A version of one number is not the start of a longer one.
@@ -87,13 +68,13 @@ def shingles(found: Column) -> Column:
     return F.array_distinct(F.when(last < 0, F.array().cast("array<string>")).otherwise(texts))
 
 
-def signature(hashes: Column) -> Column:
-    """One minimum for each of BANDS seeded hashes."""
+def band_keys(hashes: Column) -> Column:
+    """One key for each band: its number with the minima of ROWS seeded hashes."""
 
     def least(seed: int) -> Column:
         return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(seed))))
 
-    return F.array(*[least(seed) for seed in range(BANDS)])
+    return F.array(*[F.xxhash64(F.lit(band), *[least(band * ROWS + k) for k in range(ROWS)]) for band in range(BANDS)])
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -117,28 +98,30 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     spark = docs.sparkSession
     known = template_table(spark, templates)
     # Templates are few and bounded, so their lengths and shingle hashes become literals of the plan.
-    held = known.select("length", "hashes").collect()
-    lengths = sorted({row["length"] for row in held})
-    wanted = sorted({h for row in held for h in row["hashes"]})
-    any_hash = F.lit(wanted).cast("array<bigint>") if wanted else F.array().cast("array<bigint>")
+    held: dict[int, set[int]] = {}
+    for row in known.select("length", "hashes").collect():
+        held.setdefault(row["length"], set()).update(row["hashes"])
+
+    def any_of(found: set[int]) -> Column:
+        return F.lit(sorted(found)).cast("array<bigint>") if found else F.array().cast("array<bigint>")
 
     rows = once(docs.select(F.col(id_col), F.col(text_col)), _w=license_words(F.col(text_col)))
-    rows = once(rows.select(id_col, "_w"), _h=shingle_hashes(F.col("_w"))).where(F.arrays_overlap("_h", any_hash))
+    rows = once(rows.select(id_col, "_w"), _h=shingle_hashes(F.col("_w"))).where(F.arrays_overlap("_h", any_of(set().union(*held.values()))))
 
     def windows(length: int) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(length))
-        cut = F.transform(starts, lambda s: F.struct(F.lit(length).alias("length"), s.alias("first_word"), F.slice("_h", s + 1, 2 * length).alias("hashes")))
-        return F.filter(cut, lambda x: F.arrays_overlap(x["hashes"], any_hash))
+        step, width = max(1, length // 2), length + -(-length // 2)
+        starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(step))
+        cut = F.transform(starts, lambda s: F.struct(F.lit(length).alias("length"), s.alias("first_word"), F.slice("_h", s + 1, width).alias("hashes")))
+        return F.filter(cut, lambda x: F.arrays_overlap(x["hashes"], any_of(held[length])))
 
-    spans = F.concat(*[windows(n) for n in lengths]) if lengths else F.array().cast("array<struct<length:int,first_word:int,hashes:array<bigint>>>")
+    spans = F.concat(*[windows(n) for n in sorted(held)]) if held else F.array().cast("array<struct<length:int,first_word:int,hashes:array<bigint>>>")
     cut = rows.select(id_col, "_w", F.explode_outer(spans).alias("x")).where("x is not null")
-    span = F.slice("_w", F.col("x.first_word") + 1, 2 * F.col("x.length") + SHINGLE - 1)
-    after = F.slice("_w", F.col("x.first_word") + 1, 2 * F.col("x.length") + SHINGLE - 1 + REACH)
-    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), after.alias("_after")), bands=signature(F.col("hashes")))
-    bands = known.select("template", "license", "within", "after", "never", "length", "shingles", F.posexplode(signature(F.col("hashes"))).alias("band", "value"))
-    # One row for each template and pair of band and value, of at most MAX_TEMPLATES * BANDS rows.
-    by_band = F.broadcast(bands.groupBy("length", "template", "license", "within", "after", "never", "shingles").agg(F.sort_array(F.collect_list(F.struct("band", "value"))).alias("sketch")))
-    met = cut.join(by_band, "length").where(F.exists(F.zip_with("bands", "sketch", lambda a, b: a == b["value"]), lambda x: x))
+    span = F.slice("_w", F.col("x.first_word") + 1, F.size("x.hashes") + SHINGLE - 1)
+    after = F.slice("_w", F.col("x.first_word") + 1, F.size("x.hashes") + SHINGLE - 1 + REACH)
+    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), after.alias("_after")), bands=band_keys(F.col("hashes")))
+    # At most MAX_TEMPLATES rows of BANDS keys.
+    sketches = F.broadcast(known.select("length", "template", "license", "within", "after", "never", "shingles", band_keys(F.col("hashes")).alias("sketch")))
+    met = cut.join(sketches, "length").where(F.arrays_overlap("bands", "sketch"))
     share = let(shingles(F.col("span")), lambda s: F.size(F.array_intersect(s, F.col("shingles"))) / F.size(F.col("shingles")))
     verified = once(met, containment=share).where(F.col("containment") >= least)
     near, far = (F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")) for x in ("span", "_after"))

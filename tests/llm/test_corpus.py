@@ -297,22 +297,31 @@ def test_rans_blocks():
 
 def test_shards_keep_rows_and_versions(spark, docs):
     root = new_path(spark, "test-shards")
-    many = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(40))).alias("n")).withColumn("batch", F.col("n") % 3)
-    assert sharding.append(spark, many.repartition(6), root, "batch") == 1
-    assert sharding.append(spark, many.where("n = 0"), root, "batch") == 2
-    before = sharding.manifest(spark, root).count()
+    many = docs.select("doc_id", "text", F.lit("own").alias("_arrival"), F.explode(F.sequence(F.lit(0), F.lit(40))).alias("n"))
+    many = many.withColumn("batch", F.when(F.col("n") % 3 > 0, F.col("n") % 3 - 2))  # arrivals null, -1 and 0
+    assert sharding.append(spark, many.where("n < 0"), root, "batch") == 1
+    assert sharding.read(spark, root).count() == 0 and sharding.read(spark, root).columns == ["doc_id", "text", "_arrival", "n", "_shard", "_row"]
+    assert sharding.append(spark, many.repartition(6), root, "batch") == 2
+    assert sharding.append(spark, many.where("n = 0"), root, "batch") == 3
+    assert {r["arrival"] for r in sharding.manifest(spark, root).collect()} == {None, -1, 0}
+    before, old = sharding.manifest(spark, root).count(), sharding.read(spark, root)
     last = sharding.compact(spark, root)
-    assert last > 2 and sharding.manifest(spark, root).count() < before
-    count = lambda d: collections.Counter((r["doc_id"], r["text"], r["n"]) for r in d.select("doc_id", "text", "n").collect())
-    assert count(sharding.read(spark, root)) == count(many) + count(many.where("n = 0"))
+    assert last > 3 and sharding.manifest(spark, root).count() < before
+    count = lambda d: collections.Counter((r["doc_id"], r["text"], r["_arrival"], r["n"]) for r in d.collect())
+    whole = count(many) + count(many.where("n = 0"))
+    # A frame that was made before the merge, and the version itself, still hold.
+    assert count(old) == count(sharding.read(spark, root, 3)) == count(sharding.read(spark, root)) == whole
     with pytest.raises(Exception, match="(?i)exist"):
         sharding.commit(sharding.manifest(spark, root), root, last - 1)
+    assert sharding.expire(spark, root, last) > 0 and sharding.versions(spark, root) == [last] and count(sharding.read(spark, root)) == whole
+    with pytest.raises(ValueError, match="name others"):
+        sharding.read(spark, root, shard_col="n")
 
 
-def test_merge_groups_by_tier():
-    shard = lambda size, k: {"path": str(k), "bytes": size, "rows": 1, "level": 0, "arrival": k}
-    groups = sharding.merge_groups([shard(10, 1), shard(12, 2), shard(900, 3), shard(70, 4), shard(11, 5)], target=1000, fan_in=8)
-    assert [[s["path"] for s in g] for g in groups] == [["1", "2", "5"]]
+def test_merge_groups_by_tier(spark):
+    sizes = [(10, 1), (12, 2), (900, 3), (70, 4), (11, 5), (300, 6), (400, 7), (350, 8)]
+    shards = spark.createDataFrame([(str(k), size, 1, 0, k) for size, k in sizes], sharding.MANIFEST)
+    assert sorted(r["paths"] for r in sharding.merge_groups(shards, target=1000, fan_in=8).collect()) == [["1", "2", "5"], ["6", "7"]]
 
 
 def test_license_scan(docs, empty, spark):
@@ -323,6 +332,39 @@ def test_license_scan(docs, empty, spark):
     assert [(r["doc_id"], r["license"], r["containment"]) for r in found] == [(1, "GPL-3.0", 1.0)]
 
 
+def test_license_bodies_against_all_windows(spark):
+    """Every place of every text is held against every template, without bands."""
+    from chronoloom.llm import license_texts
+
+    rng = np.random.default_rng(41)
+    filler = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+    rows = []
+    for i, (_, body) in enumerate(license_texts.TEMPLATES):
+        words = body.split()
+        for at in rng.choice(len(words), len(words) // 60, replace=False):
+            words[at] = "changed"
+        rows.append((i, f"{filler(int(rng.integers(0, 90)))} {' '.join(words)} {filler(int(rng.integers(0, 400)))}"))
+    rows.append((900, filler(3000) + " " + license_texts.MIT + " " + filler(3000)))
+    rows.append((901, filler(500)))
+    rows.append((902, " ".join(license_texts.MIT.split()[:9])))
+    plain = lambda text: re.findall(r"[^\W_]+", text.lower())
+    cut = lambda w: [" ".join(w[k : k + 5]) for k in range(len(w) - 4)]
+    expected = set()
+    for i, text in rows:
+        words = plain(text)
+        have = cut(words)
+        for name, body in license_texts.TEMPLATES:
+            wanted, (within, after, never) = set(cut(plain(body))), licenses.clauses(name, body)
+            width = len(wanted) + -(-len(wanted) // 2)
+            for start in range(0, max(1, len(have)), max(1, len(wanted) // 2)):
+                near = f" {' '.join(words[start : start + width + 4])} "
+                far = f" {' '.join(words[start : start + min(width, len(have) - start) + 4 + licenses.REACH])} "
+                if len(wanted & set(have[start : start + width])) >= 0.8 * len(wanted) and all(f" {x} " in near for x in within) and all(f" {x} " in far for x in after) and not any(f" {x} " in far for x in never):
+                    expected.add((i, name))
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected and {i for i, _ in got} >= set(range(len(license_texts.TEMPLATES))) - {4, 5, 6} and (900, "MIT") in got
+
+
 def test_joined_pieces_tokenize_alone():
     import public_tokenizers
     import tokenizers
