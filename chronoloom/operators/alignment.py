@@ -8,8 +8,8 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame
 
-#: Marks stripped from the edges of a token or word before comparison.
-EDGE_MARKS = string.punctuation + "«»“”„‘’‚…–—¿¡"
+#: White space, ASCII punctuation, and the marks stripped from the edges of a token or word before comparison.
+EDGE_MARKS = " \t\n\r\f\v" + string.punctuation + "\u00a1\u00bf\u2013\u2014\u2018\u2019\u201c\u201d\u2026\u00ab\u00bb"
 #: Words that a token may lie ahead of the cursor, and the same for a punctuation mark timed as a word.
 WORD_REACH, MARK_REACH = 3, 1
 
@@ -22,6 +22,7 @@ def _align(tokens: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     raw = [_folded(w) for w in words["word"]]
     cores = [w.strip(EDGE_MARKS) for w in raw]
     times = [(None, None) if pd.isna(a) or pd.isna(b) else (round(a, 6), round(b, 6)) for a, b in zip(words["start"], words["end"], strict=True)]
+    own = words["alignment_status"].fillna("unmatched").tolist() if "alignment_status" in words else ["unmatched"] * len(words)
     cursor, last, found = 0, None, []
 
     def ahead(keys: list[str], key: str, reach: int) -> int | None:
@@ -42,7 +43,8 @@ def _align(tokens: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
             place, status, sure = None, "unmatched", 0.0
         start, end = (None, None) if place is None else times[place]
         if start is None:
-            status, sure = "unmatched" if len(raw) else "no_timing", 0.0
+            # A word without times hands on what its own aligner said of it.
+            status, sure = own[place] if place is not None else "unmatched" if len(raw) else "no_timing", 0.0
         found.append((start, end, status, sure))
     out = pd.DataFrame(found, columns=["token_start", "token_end", "alignment_status", "alignment_confidence"])
     return pd.concat([tokens.reset_index(drop=True), out.astype({"token_start": "float64", "token_end": "float64"})], axis=1)
@@ -53,13 +55,16 @@ def align_tokens(tokens: DataFrame, words: DataFrame, keys: list[str]) -> DataFr
 
     A cursor moves forward over a segment's words. The word at the cursor is aligned (1.0), one up to three ahead is
     approximate; part of a word borrows its time and consumes nothing (0.3); punctuation borrows the last word's (0.2).
-    A segment without words is no_timing. keys must name one segment: it is one group.
+    A segment without words is no_timing; a word without times lends its alignment_status instead (unmatched where
+    it has none). keys must name one segment: it is one group, bounded by what is said in it.
     """
     order = [*keys, "token_index", "token"]
     types = {f.name: f.dataType.simpleString() for f in tokens.schema.fields}
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in order), "token_start double, token_end double, alignment_status string, alignment_confidence double"])
 
+    said = ["alignment_status"] if "alignment_status" in words.columns else []
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _align(left[order].sort_values("token_index", kind="stable"), right.sort_values("word_index", kind="stable"))
 
-    return tokens.select(*order).groupBy(*keys).cogroup(words.select(*keys, "word_index", "word", "start", "end").groupBy(*keys)).applyInPandas(run, schema)
+    return tokens.select(*order).groupBy(*keys).cogroup(words.select(*keys, "word_index", "word", "start", "end", *said).groupBy(*keys)).applyInPandas(run, schema)

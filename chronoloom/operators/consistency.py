@@ -39,12 +39,12 @@ def artifacts(files: DataFrame, keys: list[str], guide: str = "explanation.md")
     return counted.agg(kind.alias("kind"), F.count("*").alias("file_count"), F.sum("size").alias("size_bytes"))
 
 
-def coverage(recordings: DataFrame, catalog: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, artifact, state) for every recording and catalog row (artifact, exported, summarised): a file that is absent comes first.
+def coverage(recordings: DataFrame, catalog: list[tuple[str, bool, bool]], present: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, artifact, state) for every recording and catalog entry (artifact, exported, summarised): a file that is absent comes first.
 
-    The catalog is a closed list of table names, so it is held as one literal array beside each recording.
+    The catalog is a closed list of table names, held as one literal array beside each recording.
     """
-    names = F.array(*[F.struct(F.lit(r["artifact"]).alias("artifact"), F.lit(r["exported"]).alias("exported"), F.lit(r["summarised"]).alias("summarised")) for r in catalog.collect()])
+    names = F.array(*[F.struct(F.lit(name).alias("artifact"), F.lit(exported).alias("exported"), F.lit(summarised).alias("summarised")) for name, exported, summarised in catalog])
     all_ = recordings.select(*keys).distinct().select(*keys, F.explode(names).alias("c")).select(*keys, "c.*")
     seen = present.select(*keys, "artifact", F.lit(True).alias("_seen")).distinct()
     state = F.when(F.col("_seen").isNull(), "absent").when(F.col("exported"), "exported").when(F.col("summarised"), "summarised").otherwise("present, not exported")

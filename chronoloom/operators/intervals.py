@@ -34,18 +34,19 @@ def assign_speakers(segments: DataFrame, turns: DataFrame, keys: list[str], id_c
     """The speaker who covers most of each segment.
 
     Overlaps are summed for each speaker; the largest sum wins, then the earliest first turn, then the label. A segment
-    without an end, or without length, takes a turn that contains its start. What nothing covers gets no_overlap.
+    without an end, or without length, takes a turn that contains its start. What nothing covers gets no_overlap, as does a
+    segment that ends before it starts.
     """
     turns = clean_turns(turns)
     first = turns.groupBy(*keys, "speaker").agg(F.min("start").alias("first_start"))
-    right = turns.select(*keys, "speaker", F.col("start").alias("r_start"), F.col("end").alias("r_end")).join(first, [*keys, "speaker"])
-    point = F.col("end").isNull() | (F.col("end") - F.col("start") <= EPS)
+    right = turns.select(*keys, "speaker", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    point = F.col("end").isNull() | (F.abs(F.col("end") - F.col("start")) <= EPS)
     marked = segments.withColumn("_point", point)
     spans = marked.withColumn("end", F.when(F.col("_point"), F.col("start")).otherwise(F.col("end")))
-    pairs = range_join(spans.where("start is not null").select(*keys, id_col, "start", "end", "_point"), right, keys, width, EPS)
+    pairs = range_join(spans.where("start is not null and end >= start").select(*keys, id_col, "start", "end", "_point"), right, keys, width, EPS)
     overlap = F.greatest(F.lit(0.0), F.least("end", "r_end") - F.greatest("start", "r_start"))
     pairs = pairs.withColumn("_o", F.when(F.col("_point"), F.lit(0.0)).otherwise(overlap)).where("_point or _o > 1e-9")
-    sums = pairs.groupBy(*keys, id_col, "speaker", "_point").agg(F.sum("_o").alias("overlap"), F.min("first_start").alias("first_start"))
+    sums = pairs.groupBy(*keys, id_col, "speaker", "_point").agg(F.sum("_o").alias("overlap")).join(first, [*keys, "speaker"])
     ranked = Window.partitionBy(*keys, id_col).orderBy(F.desc("overlap"), "first_start", "speaker")
     sums = sums.withColumns({"rank": F.row_number().over(ranked), "runner_up": F.lead("speaker").over(ranked)}).where("rank = 1")
     best = sums.select(*keys, id_col, "speaker", "overlap", "runner_up")

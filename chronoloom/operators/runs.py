@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def islands(rows: DataFrame, keys: list[str], order: list[str], label: Column) -> DataFrame:
-    """rows with _label and _island: a number that changes where the label does."""
+    """rows with _label and _island: a number that changes where the label does. A null flag counts as false."""
     w = Window.partitionBy(*keys).orderBy(*order)
     marked = rows.withColumn("_label", label)
+    if marked.schema["_label"].dataType.typeName() == "boolean":
+        marked = marked.withColumn("_label", F.coalesce("_label", F.lit(False)))
     changed = F.coalesce((~F.col("_label").eqNullSafe(F.lag("_label").over(w))).cast("int"), F.lit(1))
     first = F.when(F.row_number().over(w) == 1, 1).otherwise(changed)
     return marked.withColumn("_changed", first).withColumn("_island", F.sum("_changed").over(w)).drop("_changed")
@@ -42,21 +46,33 @@ def smooth(rows: DataFrame, keys: list[str], frame: str, score: str, window: int
     return rows.withColumn("smoothed", F.when(F.col(score).isNotNull(), F.round(F.avg(score).over(w), 6)))
 
 
-def fixed_windows(rows: DataFrame, keys: list[str], time: str, column: str, width: float, fill: float = 0.5) -> DataFrame:
-    """(keys, slot, start, end, frames, measured, value): low median of each window from the first sample; null where too few were measured."""
+def fixed_windows(rows: DataFrame, keys: list[str], time: str, columns: str | list[str], width: float, fill: float = 0.5) -> DataFrame:
+    """(keys, slot, start, end, frames, measured, value): low median of each window from the first sample; null where too few were measured.
+
+    Of several columns a frame counts as measured if all are finite there, and value is a struct of their medians by name.
+    """
+    names = [columns] if isinstance(columns, str) else columns
     first = Window.partitionBy(*keys)
     placed = rows.withColumn("_first", F.min(time).over(first)).withColumn("slot", F.floor((F.col(time) - F.col("_first")) / width))
     # The edge is computed once as first + slot * width, and membership follows it.
     edge = lambda n: F.col("_first") + n * width
     placed = placed.withColumn("slot", F.when(F.col(time) < edge(F.col("slot")), F.col("slot") - 1).when(F.col(time) >= edge(F.col("slot") + 1), F.col("slot") + 1).otherwise(F.col("slot")))
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in names])
+    placed = placed.withColumn("_whole", whole).withColumns({f"_{c}": F.when(F.col("_whole"), F.col(c)) for c in names})
     cells = placed.groupBy(*keys, "slot").agg(
-        F.min("_first").alias("_first"), F.count("*").alias("frames"), F.count(column).alias("measured"),
-        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {column})").alias("median"),
+        F.min("_first").alias("_first"), F.count("*").alias("frames"), F.count_if("_whole").alias("measured"),
+        *[F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `_{c}`)").alias(c) for c in names],
     )
-    value = F.when(F.col("measured") >= fill * F.col("frames"), F.col("median"))
+    found = F.col(names[0]) if isinstance(columns, str) else F.struct(*names)
+    value = F.when((F.col("measured") >= fill * F.col("frames")) & (F.col("measured") > 0), found)
     return cells.select(*keys, "slot", (F.col("_first") + F.col("slot") * width).alias("start"), (F.col("_first") + (F.col("slot") + 1) * width).alias("end"), "frames", "measured", value.alias("value"))
 
 
+def refused_windows(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, windows, thin_windows): windows with frames, and those of them in which too few were measured."""
+    return cells.groupBy(*keys).agg(F.count("*").alias("windows"), F.count_if(F.col("value").isNull()).alias("thin_windows"))
+
+
 def merge_windows(cells: DataFrame, keys: list[str], label: Column) -> DataFrame:
     """Neighbouring windows with the same label as one row; a refused or missing window ends a run."""
     kept = cells.withColumn("label", label).where("label is not null")
@@ -73,8 +89,9 @@ def nearest(probes: DataFrame, marks: DataFrame, keys: list[str], probe_time: st
     b = marks.select(*keys, F.col(mark_time).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast(probes.select(F.struct(*columns).alias("x")).schema["x"].dataType).alias("_p"), F.struct(F.col(mark_time).cast("double").alias("t"), F.col(value).cast("bigint").alias("v")).alias("_m"))
     both = a.unionByName(b)
     back = Window.partitionBy(*keys).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy("_t", "_kind").rowsBetween(0, Window.unboundedFollowing)
-    found = both.withColumns({"_l": F.last("_m", ignorenulls=True).over(back), "_r": F.first("_m", ignorenulls=True).over(ahead)}).where("_kind = 1")
+    # The next mark is the last one seen from the end: a growing frame costs one step a row, a shrinking one a whole pass.
+    ahead = Window.partitionBy(*keys).orderBy(F.desc("_t"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumns({"_l": F.last("_m", ignorenulls=True).over(back), "_r": F.last("_m", ignorenulls=True).over(ahead)}).where("_kind = 1")
     left_wins = F.col("_r").isNull() | (F.col("_l").isNotNull() & (F.col("_t") - F.col("_l.t") <= F.col("_r.t") - F.col("_t")))
     best = F.when(left_wins, F.col("_l")).otherwise(F.col("_r"))
     return found.select(*keys, "_p.*", best.alias("_best")).select(*keys, *columns, F.col("_best.t").alias("nearest"), F.col("_best.v").alias("nearest_value"))
@@ -82,6 +99,6 @@ def nearest(probes: DataFrame, marks: DataFrame, keys: list[str], probe_time: st
 
 def fill_scenes(rows: DataFrame, keys: list[str], order: str, scene: str) -> DataFrame:
     """rows with filled: the next known scene, or for a trailing gap the first known scene."""
-    ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
     first = F.min_by(scene, F.when(F.col(scene).isNotNull(), F.col(order))).over(Window.partitionBy(*keys))
-    return rows.withColumn("filled", F.coalesce(F.first(scene, ignorenulls=True).over(ahead), first))
+    return rows.withColumn("filled", F.coalesce(F.last(scene, ignorenulls=True).over(ahead), first))

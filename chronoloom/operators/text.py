@@ -8,12 +8,32 @@ from pyspark.sql import functions as F
 
 def fallback_words(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id_col, word_id, word, character_start, character_end): one row for each run without blanks, by its segment's id."""
+    # A running sum over the text's pieces, words and blanks in turn, is linear in its length.
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = F.regexp_extract_all(text, F.lit(r"[^ \t\n\r]+|[ \t\n\r]+"), F.lit(0))
-    ends = F.aggregate(pieces, F.array().cast("array<int>"), lambda a, x: F.array_append(a, F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + F.length(x)))
-    words = F.filter(F.arrays_zip(pieces.alias("w"), ends.alias("e")), lambda x: ~x["w"].rlike(r"^[ \t\n\r]"))
-    rows = rows.select(id_col, F.posexplode(words).alias("i", "x"))
-    return rows.select(id_col, F.format_string("%s-w%05d", F.col(id_col).cast("string"), F.col("i") + 1).alias("word_id"), F.col("x.w").alias("word"), (F.col("x.e") - F.length("x.w")).alias("character_start"), F.col("x.e").alias("character_end"))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id()).select(id_col, "_row", F.posexplode(pieces).alias("i", "word"))
+    rows = rows.withColumn("_end", F.sum(F.length("word")).over(Window.partitionBy("_row").orderBy("i"))).where(~F.col("word").rlike(r"^[ \t\n\r]"))
+    return rows.select(id_col, F.format_string("%s-w%05d", F.col(id_col).cast("string"), F.expr("i div 2 + 1")).alias("word_id"), "word", (F.col("_end") - F.length("word")).cast("int").alias("character_start"), F.col("_end").cast("int").alias("character_end"))
+
+
+def token_rows(rows: DataFrame, id_col: str, text_col: str, longest: int = 100_000) -> DataFrame:
+    """(id_col, sentence_id, token_id, token, start, end, is_alpha, is_digit, is_lower, is_punct, lemma, pos): tokens of each
+    sentence with their places in it; a sentence over `longest` characters is cut there. What a model would add is null."""
+    parts = F.split(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"([.!?\u3002\uFF01\uFF1F])[ \t\n\r]+", "$1\u0001"), "\u0001")
+    chunk = lambda x: F.transform(F.sequence(F.lit(0), F.greatest(F.length(x) - 1, F.lit(0)), F.lit(longest)), lambda at: F.substring(x, at + 1, F.lit(longest)))
+    pieces = F.filter(F.flatten(F.transform(parts, chunk)), lambda x: F.length(x) > 0)
+    cut = rows.withColumn("_row", F.monotonically_increasing_id()).select(id_col, "_row", F.posexplode(pieces).alias("_s", "_sentence"))
+    # Each token with the blanks before it, so that lengths add up to places.
+    found = F.regexp_extract_all("_sentence", F.lit(r"[ \t\n\r]*(?:[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r])"), F.lit(0))
+    tokens = cut.select(id_col, "_row", "_s", F.posexplode(found).alias("_t", "_piece"))
+    end = F.sum(F.length("_piece")).over(Window.partitionBy("_row", "_s").orderBy("_t"))
+    tokens = tokens.withColumns({"end": end.cast("int"), "token": F.regexp_replace("_piece", r"^[ \t\n\r]+", "")})
+    sentence = F.format_string("%s-s%03d", F.col(id_col).cast("string"), F.col("_s") + 1)
+    return tokens.select(
+        id_col, sentence.alias("sentence_id"), F.concat(sentence, F.format_string("-t%04d", F.col("_t") + 1)).alias("token_id"), "token", (F.col("end") - F.length("token")).alias("start"), "end",
+        F.col("token").rlike(r"^\p{L}+$").alias("is_alpha"), F.col("token").rlike(r"^\p{Nd}+$").alias("is_digit"), (F.col("token").rlike(r"\p{Ll}") & ~F.col("token").rlike(r"\p{Lu}")).alias("is_lower"),
+        F.col("token").rlike(r"^[^\p{L}\p{N}]$").alias("is_punct"), F.lit(None).cast("string").alias("lemma"), F.lit(None).cast("string").alias("pos"),
+    )
 
 
 def sentences(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:

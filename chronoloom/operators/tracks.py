@@ -10,11 +10,13 @@ from chronoloom.operators.runs import islands, smooth
 
 
 def face_tracks(frames: DataFrame, keys: list[str]) -> DataFrame:
-    """Span, counts, scores and scenes of each face track."""
+    """Span, counts, scores and scenes of each face track; with boxes (x1, y1, x2, y2) their mean area."""
+    boxed = {"x1", "y1", "x2", "y2"} <= set(frames.columns)
+    area = [F.round(F.avg((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))), 2).alias("mean_bbox_area")] if boxed else []
     return frames.where("track_id is not null").groupBy(*keys, "track_id").agg(
         F.min("t").alias("first_timestamp"), F.max("t").alias("last_timestamp"), F.count("*").alias("frame_count"), F.count_if("active").alias("active_frame_count"),
         F.round(F.count_if("active") / F.count("*"), 4).alias("active_ratio"), F.round(F.avg("score"), 6).alias("mean_score"), F.round(F.max("score"), 6).alias("max_score"),
-        F.array_join(F.array_sort(F.collect_set("scene")), ",").alias("scenes"),
+        F.array_join(F.array_sort(F.collect_set("scene")), ",").alias("scenes"), *area,
     )
 
 
@@ -41,12 +43,23 @@ def sighting_runs(sightings: DataFrame, keys: list[str], index: DataFrame) -> Da
     checked = rows.join(index.select(*keys, "frame_number", F.col("pts").alias("_pts")), [*keys, "frame_number"], "left")
     checked = checked.withColumn("verified", F.coalesce(F.abs(F.col("t") - F.col("_pts")) <= 1e-6, F.lit(False)))
     w = Window.partitionBy(*keys, "person_id").orderBy("frame_number")
+    before = F.coalesce(F.lag("verified").over(w), F.lit(True))
     joined = F.col("verified") & F.lag("verified").over(w) & (F.col("frame_number") == F.lag("frame_number").over(w) + 1)
-    cut = checked.withColumn("_run", F.sum(F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1)).over(w))
-    return cut.groupBy(*keys, "person_id", "_run").agg(
+    cut = checked.withColumns({"_joined": F.coalesce(joined, F.lit(False)), "_edge": ~(F.col("verified") & before) & F.lag("frame_number").over(w).isNotNull()})
+    cut = cut.withColumn("_run", F.sum(F.when(F.col("_joined"), 0).otherwise(1)).over(w))
+    runs = cut.groupBy(*keys, "person_id", "_run").agg(
         F.min("frame_number").alias("first_frame"), F.max("frame_number").alias("last_frame"), F.min("t").alias("start"), F.max("t").alias("end"),
-        F.count("*").alias("sightings"), F.count_if("verified").alias("verified"),
-    ).drop("_run")
+        F.count("*").alias("sightings"), F.count_if("verified").alias("verified"), F.bool_or(~F.col("_joined") & F.col("_edge")).alias("_open"), F.count("_pts").alias("_known"),
+    )
+    # A run's edge counts as unverified if either side of the gap before or after it could not be placed in the index.
+    beside = Window.partitionBy(*keys, "person_id").orderBy("_run")
+    edge = F.col("_open") | F.coalesce(F.lead("_open").over(beside), F.lit(False))
+    no_index = F.sum("_known").over(Window.partitionBy(*keys)) == 0
+    marker = (
+        F.when(no_index, "no index").when((F.col("verified") == 0) | (edge & (F.col("sightings") == 1)), "unverified")
+        .when(edge, "verified; split").otherwise("verified")
+    )
+    return runs.withColumn("adjacency", marker).drop("_run", "_open", "_known")
 
 
 #: What selection carries from frame to frame: the chosen face, its challenger, the challenger's frames in a row.
@@ -68,7 +81,8 @@ def choose(found: dict[int, float], held: Held, margin: float, frames_needed: in
 def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, margin: float = 0.5, frames_needed: int = 3) -> DataFrame:
     """(keys, scene, frame, track_id): the face that stays chosen until another leads by margin for frames_needed frames.
 
-    The state starts anew with each scene and after each frame in which nothing is scored, so groups are such islands.
+    The state starts anew with each scene and after each frame in which nothing is scored, which chooses none: its track is
+    null. Groups are the islands between, so what a task holds is bounded by one scene's frames.
     """
     scored = smooth(candidates, [*keys, "scene", "track_id"], "frame", "score", window)
     by_frame = scored.groupBy(*keys, "scene", "frame").agg(
@@ -87,4 +101,6 @@ def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, ma
 
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "scene", "frame", "track_id"])
-    return rows.groupBy(*keys, "_island").applyInPandas(walk, schema)
+    chosen = rows.groupBy(*keys, "_island").applyInPandas(walk, schema)
+    none = by_frame.where(F.size("seen") == 0).select(*keys, "scene", "frame", F.lit(None).cast(kinds["track_id"]).alias("track_id"))
+    return chosen.unionByName(none)

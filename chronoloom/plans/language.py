@@ -11,8 +11,8 @@ from chronoloom.sources.tables import table
 
 @register(
     "word_fallback",
-    r"""WITH w AS (SELECT doc_id, regexp_extract_all(text, '[^ \t\n\r]+|[ \t\n\r]+') AS p FROM documents), e AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM w),
-    o AS (SELECT doc_id, i, p[i] AS word, sum(length(p[i])) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM e)
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(text, '[^ \t\n\r]+|[ \t\n\r]+') AS p FROM documents), e AS (SELECT doc_id, unnest(p) AS word, generate_subscripts(p, 1) AS i FROM w),
+    o AS (SELECT doc_id, i, word, sum(length(word)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM e)
     SELECT doc_id, printf('%d-w%05d', doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i)) AS word_id, word, (e - length(word))::BIGINT AS character_start, e::BIGINT AS character_end FROM o WHERE NOT regexp_matches(word, '^[ \t\n\r]')""",
 )
 def word_fallback(spark, sf_dir):
@@ -21,8 +21,8 @@ def word_fallback(spark, sf_dir):
 
 @register(
     "sentence_tokens",
-    r"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])[ \t\n\r]+', '\1' || chr(1), 'g'), chr(1)), lambda x: length(x) > 0) AS p FROM documents), e AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS i FROM s)
-    SELECT doc_id, printf('%d-s%03d', doc_id, i) AS sentence_id, p[i] AS text, len(regexp_extract_all(p[i], '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r]'))::BIGINT AS token_count FROM e""",
+    r"""WITH s AS (SELECT doc_id, list_filter(string_split(regexp_replace(text, '([.!?])[ \t\n\r]+', '\1' || chr(1), 'g'), chr(1)), lambda x: length(x) > 0) AS p FROM documents), e AS (SELECT doc_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM s)
+    SELECT doc_id, printf('%d-s%03d', doc_id, i) AS sentence_id, x AS text, len(regexp_extract_all(x, '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r]'))::BIGINT AS token_count FROM e""",
 )
 def sentence_tokens(spark, sf_dir):
     return text.sentences(table(spark, sf_dir, "documents"), "doc_id", "text")

@@ -14,8 +14,8 @@ VIDEO = ["video_id"]
 
 @register(
     "frame_clock_extrapolate",
-    f"""WITH {EVENTS_SQL}, n AS (SELECT video_id, t, event_id, row_number() OVER (PARTITION BY video_id ORDER BY t, event_id) - 1 AS frame_number FROM ev),
-    i AS (SELECT video_id, frame_number, t - 1704067200 AS pts FROM n WHERE frame_number % 7 <> 3 AND video_id <> 4),
+    f"""WITH {EVENTS_SQL}, n AS (SELECT video_id, t, event_id, event_type, row_number() OVER (PARTITION BY video_id ORDER BY t, event_id) - 1 AS frame_number FROM ev),
+    i AS (SELECT video_id, frame_number, t - 1704067200 AS pts FROM n WHERE event_type <> 'error'),
     e AS (SELECT video_id, max(frame_number) AS last, arg_max(pts, frame_number) AS stop, arg_min(pts, frame_number) AS begin, count(*) AS n FROM i GROUP BY ALL),
     f AS (SELECT video_id, event_id, frame_number + frame_number // 3 AS frame_number FROM n)
     SELECT f.video_id, f.event_id, f.frame_number, round(round(coalesce(i.pts, CASE WHEN f.frame_number > e.last THEN e.stop + coalesce(nullif((e.stop - e.begin) / greatest(e.n - 1, 1), 0.0), 0.04) * (f.frame_number - e.last) ELSE f.frame_number / 25.0 END), 6), 3) AS timestamp
@@ -23,7 +23,7 @@ VIDEO = ["video_id"]
 )
 def frame_clock_extrapolate(spark, sf_dir):
     ev = events(spark, sf_dir).withColumn("frame_number", F.row_number().over(Window.partitionBy("video_id").orderBy("t", "event_id")).cast("bigint") - 1)
-    index = ev.where("frame_number % 7 <> 3 AND video_id <> 4").select("video_id", "frame_number", (F.col("t") - 1704067200).alias("pts"))
+    index = ev.where("event_type <> 'error'").select("video_id", "frame_number", (F.col("t") - 1704067200).alias("pts"))
     frames = ev.select("video_id", "event_id", F.expr("frame_number + frame_number div 3").alias("frame_number"))
     return clocks.frame_times(frames, index, VIDEO).withColumn("timestamp", F.round("timestamp", 3))
 
@@ -47,18 +47,16 @@ def cross_modal_check(spark, sf_dir):
 
 @register(
     "coverage_inventory",
-    """WITH f AS (SELECT user_id AS video_id, event_type AS artifact, count(*) AS file_count, sum(event_id % 1000)::BIGINT AS size_bytes FROM events WHERE event_id % 11 <> 5 GROUP BY ALL),
+    """WITH f AS (SELECT user_id AS video_id, event_type AS artifact, count(*) AS file_count, sum(event_id % 1000)::BIGINT AS size_bytes FROM events WHERE value >= 2 GROUP BY ALL),
     c(artifact, exported, summarised) AS (VALUES ('click', true, false), ('error', false, false), ('purchase', false, true), ('signup', true, true), ('view', true, false), ('pose', true, false))
     SELECT v.video_id, c.artifact, CASE WHEN file_count IS NULL THEN 'absent' WHEN exported THEN 'exported' WHEN summarised THEN 'summarised' ELSE 'present, not exported' END AS state, CASE WHEN file_count IS NOT NULL THEN 'directory' END AS kind, file_count, size_bytes
     FROM (SELECT DISTINCT user_id AS video_id FROM events) v CROSS JOIN c LEFT JOIN f ON f.video_id = v.video_id AND f.artifact = c.artifact""",
 )
 def coverage_inventory(spark, sf_dir):
     ev = table(spark, sf_dir, "events").withColumnRenamed("user_id", "video_id")
-    name = F.when(F.expr("event_id % 11 = 5"), "explanation.md").otherwise("part.parquet")
+    name = F.when(F.col("value") < 2, "explanation.md").otherwise("part.parquet")
     files = ev.select("video_id", F.col("event_type").alias("artifact"), F.lit(True).alias("in_folder"), name.alias("file_name"), F.expr("event_id % 1000").alias("size"))
-    catalog = spark.createDataFrame(
-        [("click", True, False), ("error", False, False), ("purchase", False, True), ("signup", True, True), ("view", True, False), ("pose", True, False)], "artifact string, exported boolean, summarised boolean"
-    )
+    catalog = [("click", True, False), ("error", False, False), ("purchase", False, True), ("signup", True, True), ("view", True, False), ("pose", True, False)]
     present = consistency.artifacts(files, VIDEO)
     return consistency.coverage(ev, catalog, present, VIDEO).join(present, ["video_id", "artifact"], "left")
 
@@ -95,4 +93,4 @@ def token_alignment(spark, sf_dir):
     words = rows.select("conv_id", "turn", F.posexplode(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("word_index", "word"))
     words = words.withColumns({"start": F.col("word_index") * 0.4, "end": F.col("word_index") * 0.4 + 0.3})
     tokens = rows.select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"), F.lit(0))).alias("token_index", "token"))
-    return alignment.align_tokens(tokens, words.where("word_index % 9 <> 8"), ["conv_id", "turn"])
+    return alignment.align_tokens(tokens, words, ["conv_id", "turn"])

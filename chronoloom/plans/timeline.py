@@ -112,9 +112,9 @@ _STATS_SQL = ", ".join(
 @register(
     "acoustic_segments",
     f"""WITH {EVENTS_SQL}, {spans_sql("turns", "purchase")}, {SILENCE_SQL},
-    frames AS (SELECT video_id, t, value AS pitch, value / 2 - 60 AS level, event_type <> 'error' AS voiced FROM ev),
+    frames AS (SELECT video_id, t, value AS pitch, value / 2 - 60 AS level, event_type <> 'error' AS voiced, value AS f1, value * 2 AS f2, value * 3 AS f3 FROM ev),
     media AS (SELECT video_id, max(t) - min(t) AS media_seconds FROM ev GROUP BY 1),
-    feat AS (SELECT u.video_id, u.turn_id, count(*) AS frames, round(count(*) FILTER (f.voiced) / count(*), 6) AS voiced_ratio, {_STATS_SQL}
+    feat AS (SELECT u.video_id, u.turn_id, count(*) AS frames, round(count(*) FILTER (f.voiced) / count(*), 6) AS voiced_ratio, {_STATS_SQL}, round(avg(f.f1), 6) AS f1_mean, round(avg(f.f2), 6) AS f2_mean, round(avg(f.f3), 6) AS f3_mean
       FROM turns u JOIN frames f ON f.video_id = u.video_id AND f.t >= u.start - 1e-9 AND f.t <= u."end" + 1e-9 GROUP BY ALL),
     pause AS (SELECT u.video_id, u.turn_id, count(*) AS pause_count, sum(least(u."end", s."end") - greatest(u.start, s.start)) AS p
       FROM turns u JOIN sil s ON s.video_id = u.video_id AND least(u."end", s."end") - greatest(u.start, s.start) > 0 GROUP BY ALL)
@@ -124,7 +124,7 @@ _STATS_SQL = ", ".join(
 )
 def acoustic_segments(spark, sf_dir):
     ev = events(spark, sf_dir)
-    frames = ev.select("video_id", "t", F.col("value").alias("pitch"), (F.col("value") / 2 - 60).alias("level"), (F.col("event_type") != "error").alias("voiced"))
+    frames = ev.select("video_id", "t", F.col("value").alias("pitch"), (F.col("value") / 2 - 60).alias("level"), (F.col("event_type") != "error").alias("voiced"), *[(F.col("value") * k).alias(f"f{k}") for k in (1, 2, 3)])
     media = ev.groupBy("video_id").agg((F.max("t") - F.min("t")).alias("media_seconds"))
     return acoustic.segment_features(spans(ev, "purchase"), frames, quiet_runs(ev), VIDEO, "turn_id", media)
 
@@ -222,7 +222,7 @@ def sighting_runs(spark, sf_dir):
     numbered = events(spark, sf_dir).withColumn("frame_number", place.cast("bigint"))
     late = F.when(F.col("event_type") == "error", F.col("t") + 1).otherwise(F.col("t"))
     seen = numbered.select("video_id", (F.col("user_id") % 40).alias("person_id"), "frame_number", late.alias("t"))
-    return tracks.sighting_runs(seen, VIDEO, numbered.select("video_id", "frame_number", F.col("t").alias("pts")))
+    return tracks.sighting_runs(seen, VIDEO, numbered.select("video_id", "frame_number", F.col("t").alias("pts"))).drop("adjacency")
 
 
 WINDOW_SQL = """c AS (SELECT video_id, t, CASE WHEN event_type <> 'click' THEN value END AS x, min(t) OVER (PARTITION BY video_id) AS first FROM ev),

@@ -33,7 +33,7 @@ def asr_words(segments: DataFrame) -> DataFrame:
 
     def timed(w: Column) -> Column:
         start, end = w["start"].try_cast("double"), w["end"].try_cast("double")
-        status = F.when(start.isNotNull() & end.isNotNull(), "aligned").otherwise("unaligned")
+        status = F.when(start.isNotNull() & end.isNotNull(), "aligned").otherwise("missing_timestamp")
         return F.struct(w["word"].alias("word"), start.alias("start"), end.alias("end"), w["score"].try_cast("double").alias("score"), status.alias("status"))
 
     found = F.when(F.size("words") > 0, F.transform("words", timed)).otherwise(plain)
@@ -47,7 +47,7 @@ def segment_turns(spark: SparkSession, path: str) -> DataFrame:
     rows = docs.select("file", F.posexplode("segments").alias("_at", "s")).select("file", "_at", _number("s.start").alias("start"), _number("s.end").alias("end"), F.col("s.speaker_id").alias("speaker"))
     rows = rows.where((F.col("end") > F.col("start")) & (F.length("speaker") > 0))
     place = F.row_number().over(Window.partitionBy("file").orderBy("start", "end", "speaker", "_at"))
-    return rows.select("file", F.format_string("turn-%05d", place).alias("turn_id"), "start", "end", "speaker")
+    return rows.select("file", F.format_string("turn%06d", place).alias("turn_id"), "start", "end", "speaker")
 
 
 def speaker_frames(spark: SparkSession, path: str, frame: str) -> DataFrame:
@@ -111,7 +111,9 @@ def media_metadata(spark: SparkSession, path: str) -> DataFrame:
     docs = _json(spark, path, f"format struct<format_name: string, format_long_name: string, duration: string>, streams array<struct<{stream}>>").where("_bad is null")
 
     def first(kind: str) -> Column:
-        return F.get(F.filter("streams", lambda s: s["codec_type"] == kind), F.lit(0))
+        """Of several streams the one with a width and a height, then the last."""
+        ranked = F.transform(F.filter("streams", lambda s: s["codec_type"] == kind), lambda s, i: F.struct(F.coalesce(s["width"] > 0, F.lit(False)).alias("w"), F.coalesce(s["height"] > 0, F.lit(False)).alias("h"), i.alias("i"), s.alias("s")))
+        return F.array_max(ranked)["s"] if kind == "video" else F.get(F.transform(ranked, lambda x: x["s"]), F.lit(0))
 
     rows = docs.select("file", "format", first("video").alias("v"), first("audio").alias("a"), F.sort_array(F.array_distinct(F.filter("streams.codec_type", lambda x: x.isNotNull()))).alias("streams_present"))
     rate, mean = _ratio(F.col("v.r_frame_rate")), _ratio(F.col("v.avg_frame_rate"))

@@ -26,11 +26,12 @@ ACOUSTIC = ["timestamp", "f0_hz", "intensity_db", "voiced", "f1_hz", "f2_hz", "f
 
 
 def acoustic_frames(spark: SparkSession, path: str) -> DataFrame:
-    """(file, timestamp, f0_hz, ...) of lines {"frame": [...]} or [...]; values that are no numbers are null, lines without time are left out."""
-    value = F.regexp_extract("value", r"\[[^\[\]]*\]", 0)
-    rows = spark.read.text(path).where(~F.col("value").contains('"silences"') & F.col("value").contains("["))
-    cells = F.from_json(value, T.ArrayType(T.StringType()))
-    rows = rows.select(F.col("_metadata.file_name").alias("file"), cells.alias("c"))
+    """(file, timestamp, f0_hz, ...) of lines {"frame": [...]} or [...]; values that are no numbers are null, lines without time
+    are left out, as are the header and the footer: objects without a frame. A line that is no JSON is an error."""
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select("value", F.col("_metadata.file_name").alias("file"), F.try_parse_json("value").alias("v"))
+    broken = F.raise_error(F.concat(F.lit("not a line of JSON in "), "file", F.lit(": "), F.substring("value", 1, 80))).cast("array<string>")
+    cells = F.coalesce(F.try_variant_get("v", "$.frame", "array<string>"), F.try_variant_get("v", "$", "array<string>"))
+    rows = lines.select("file", F.when(F.col("v").isNull(), broken).otherwise(cells).alias("c")).where("c is not null")
     columns = [(F.get("c", F.lit(i)).isin("true", "1", "1.0") if name == "voiced" else F.get("c", F.lit(i)).try_cast("double")).alias(name) for i, name in enumerate(ACOUSTIC)]
     return rows.select("file", *columns).where("timestamp is not null")
 
@@ -40,9 +41,12 @@ def diarization_turns(spark: SparkSession, path: str, exclusive: bool = True) ->
     triples = "array<array<string>>"
     docs = spark.read.schema(f"turns {triples}, exclusive_turns {triples}").option("multiLine", True).json(path).select("*", F.col("_metadata.file_name").alias("file"))
     chosen = F.when(F.lit(exclusive) & (F.size("exclusive_turns") > 0), F.col("exclusive_turns")).otherwise(F.col("turns"))
-    sorted_ = F.array_sort(F.transform(chosen, lambda t: F.struct(F.coalesce(F.get(t, F.lit(0)).try_cast("double"), F.lit(0.0)).alias("s"), F.coalesce(F.get(t, F.lit(1)).try_cast("double"), F.lit(0.0)).alias("e"), t.alias("t"))))
+    # A time that does not parse sorts as 0 and stays null; turns of equal times keep their order.
+    at = lambda t, k: F.get(t, F.lit(k)).try_cast("double")
+    sorted_ = F.array_sort(F.transform(chosen, lambda t, i: F.struct(F.coalesce(at(t, 0), F.lit(0.0)).alias("s"), F.coalesce(at(t, 1), F.lit(0.0)).alias("e"), i.alias("i"), t.alias("t"))))
     rows = docs.select("file", F.posexplode(sorted_).alias("i", "x")).where(F.size("x.t") >= 3)
-    return rows.select("file", F.format_string("turn-%05d", F.col("i") + 1).alias("turn_id"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), F.get("x.t", F.lit(2)).alias("speaker"))
+    kind = F.lit("exclusive" if exclusive else "inclusive")
+    return rows.select("file", F.format_string("turn%06d", F.col("i") + 1).alias("turn_id"), at(F.col("x.t"), 0).alias("start"), at(F.col("x.t"), 1).alias("end"), F.get("x.t", F.lit(2)).alias("speaker"), kind.alias("diarization_type"))
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -51,7 +55,10 @@ def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_table(rows: DataFrame, schema: T.StructType, path: str, partition: str = "video_id") -> None:
-    conform(rows, schema).write.mode("overwrite").option("compression", "zstd").partitionBy(partition).parquet(path)
+    """Rows under one folder a recording. A table without rows would leave no file and so no columns: it is written flat."""
+    whole = conform(rows, schema)
+    writer = whole.write.mode("overwrite").option("compression", "zstd")
+    (writer if whole.isEmpty() else writer.partitionBy(partition)).parquet(path)
 
 
 def inventory(spark: SparkSession, root: str, extensions: tuple[str, ...]) -> DataFrame:

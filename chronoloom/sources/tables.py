@@ -11,10 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events on a seconds timeline: video, time, speaker or track, kind, value."""
+    """Events on a seconds timeline: video, time, speaker or track, kind, value. Eight users make a video, so videos grow in number with the input."""
     rows = table(spark, sf_dir, "events")
     seconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))") / 1e6
-    return rows.select("event_id", (F.col("user_id") % 20).alias("video_id"), seconds.alias("t"), "user_id", "event_type", "value")
+    return rows.select("event_id", F.expr("user_id div 8").alias("video_id"), seconds.alias("t"), "user_id", "event_type", "value")
 
 
 def spans(rows: DataFrame, kind: str) -> DataFrame:
@@ -23,7 +23,7 @@ def spans(rows: DataFrame, kind: str) -> DataFrame:
     return picked.select("video_id", F.col("event_id").alias("turn_id"), F.col("user_id").alias("speaker"), F.col("t").alias("start"), (F.col("t") + F.col("value") * 100).alias("end"))
 
 
-EVENTS_SQL = "ev AS (SELECT event_id, user_id % 20 AS video_id, epoch_us(ts) / 1000000.0::DOUBLE AS t, user_id, event_type, value FROM events)"
+EVENTS_SQL = "ev AS (SELECT event_id, user_id // 8 AS video_id, epoch_us(ts) / 1000000.0::DOUBLE AS t, user_id, event_type, value FROM events)"
 
 
 def spans_sql(name: str, kind: str) -> str:

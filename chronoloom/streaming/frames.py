@@ -26,10 +26,32 @@ def sessions(frames: DataFrame, time: str, keys: list[str], gap: str, late: str)
     return cut.select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "frames")
 
 
-def frames_in_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
-    """A static table of segments (start, end as timestamps) met by a stream of frames."""
-    live = frames.withWatermark(time, late)
-    return live.join(segments, keys).where(F.col(time).between(F.col("start"), F.col("end")))
+def frames_in_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str, late: str, width: float = 60.0) -> DataFrame:
+    """A static table of segments (start, end as timestamps) met by a stream of frames, bucket by bucket of `width` seconds, so
+    that a frame meets the segments of its own bucket alone. Frames later than the watermark allows are left out."""
+    second = lambda c: F.unix_micros(c) / 1e6
+    cut = segments.withColumn("_b", F.explode(F.sequence(F.floor(second("start") / width), F.floor(F.greatest(second("start"), second("end")) / width))))
+    live = frames.withWatermark(time, late).withColumn("_b", F.floor(second(time) / width))
+    return live.join(cut, [*keys, "_b"]).where(F.col(time).between(F.col("start"), F.col("end"))).drop("_b")
+
+
+def late_frames(frames: DataFrame, time: str, keys: list[str], late: str) -> DataFrame:
+    """(keys, frames, out_of_order): how many frames of each key came after a later one of the same trigger was seen."""
+    kinds = {f.name: f.dataType.simpleString() for f in frames.schema}
+
+    def count(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        top, seen, behind = state.get if state.exists else (None, 0, 0)
+        for batch in batches:
+            for at in batch["_at"]:
+                seen += 1
+                behind += top is not None and at < top
+                top = at if top is None else max(top, at)
+        state.update((int(top), seen, behind))
+        yield pd.DataFrame([(*key, seen, behind)], columns=[*keys, "frames", "out_of_order"])
+
+    live = frames.withWatermark(time, late).select(*keys, F.unix_micros(time).alias("_at")).where("_at is not null")
+    out = ", ".join([*(f"{c} {kinds[c]}" for c in keys), "frames bigint, out_of_order bigint"])
+    return live.groupBy(*keys).applyInPandasWithState(count, out, "top bigint, seen bigint, behind bigint", "update", GroupStateTimeout.NoTimeout)
 
 
 def normalized_pose(points: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
