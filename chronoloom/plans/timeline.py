@@ -83,7 +83,7 @@ def face_frames(ev):
 )
 def av_fusion(spark, sf_dir):
     ev = events(spark, sf_dir)
-    return fusion.fuse(spans(ev, "click"), face_frames(ev), VIDEO, "turn_id")
+    return fusion.fuse(spans(ev, "click"), face_frames(ev), VIDEO, "turn_id").drop("agreement_detail")
 
 
 SILENCE_SQL = """gaps AS (SELECT video_id, t - lag(t) OVER (PARTITION BY video_id ORDER BY t) AS gap FROM ev),

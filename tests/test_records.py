@@ -58,7 +58,7 @@ def test_consistency(spark):
     files = spark.createDataFrame([(1, "raw", True, "explanation.md", 9), (1, "raw", True, "a.json", 4), (1, "tab", False, "t.parquet", 2), (2, "raw", True, "explanation.md", 9)], "v int, artifact string, in_folder boolean, file_name string, size bigint")
     present = consistency.artifacts(files, ["v"])
     assert rows(present) == [(1, "raw", "directory", 1, 4), (1, "tab", "file", 1, 2)]
-    catalog = spark.createDataFrame([("raw", False, True), ("tab", False, False)], "artifact string, exported boolean, summarised boolean")
+    catalog = [("raw", False, True), ("tab", False, False)]
     assert rows(consistency.coverage(files, catalog, present, ["v"])) == [(1, "raw", "summarised"), (1, "tab", "present, not exported"), (2, "raw", "absent"), (2, "tab", "absent")]
 
 
@@ -71,7 +71,7 @@ def test_documents(spark, tmp_path):
     assert rows(asr.select("segment_index", "start", "end", "text")) == [(0, 0.0, 1.5, "hi you"), (1, 2.0, None, "so")]
     assert rows(documents.asr_words(asr).select("segment_index", "word", "start", "alignment_status")) == [(0, "hi", 0.0, "segment_only"), (0, "you", 0.0, "segment_only"), (1, "so", 2.0, "aligned")]
     turns = documents.segment_turns(spark, put("d.json", {"segments": [{"start": 3, "end": 4, "speaker_id": "b"}, {"start": 1, "end": 2, "speaker_id": "a"}, {"start": 5, "end": 5, "speaker_id": "a"}, {"start": 6, "end": 7}]}))
-    assert rows(turns) == [("d.json", "turn-00001", 1.0, 2.0, "a"), ("d.json", "turn-00002", 3.0, 4.0, "b")]
+    assert rows(turns) == [("d.json", "turn000001", 1.0, 2.0, "a"), ("d.json", "turn000002", 3.0, 4.0, "b")]
     assert rows(documents.speaker_frames(spark, put("s.json", {"frame_count": 2, "track_count": 1, "frames": [{"n": 0}, {"n": 1}]}), "n: bigint")) == [("s.json", 2, 1, 0), ("s.json", 2, 1, 1)]
     people, bad = documents.person_documents(spark, put("p.json", {"frames_measured": 3, "frames": [{"person_id": 1}]}), "person_id: bigint")
     assert people.count() == 0 and rows(bad) == [("p.json", ["person_ids"])]
