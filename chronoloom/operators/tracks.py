@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.operators.runs import islands, smooth
+from chronoloom.operators.runs import smooth
 
 
 def face_tracks(frames: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,25 +82,25 @@ def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, ma
     """(keys, scene, frame, track_id): the face that stays chosen until another leads by margin for frames_needed frames.
 
     The state starts anew with each scene and after each frame in which nothing is scored, which chooses none: its track is
-    null. Groups are the islands between, so what a task holds is bounded by one scene's frames.
+    null. keys name one recording: its frames, a few numbers each, are what a task holds.
     """
     scored = smooth(candidates, [*keys, "scene", "track_id"], "frame", "score", window)
     by_frame = scored.groupBy(*keys, "scene", "frame").agg(
         F.sort_array(F.collect_list(F.when(F.col("smoothed").isNotNull(), F.struct("track_id", "smoothed")))).alias("seen")
     )
-    cut = islands(by_frame, keys, ["scene", "frame"], F.struct(F.col("scene"), F.size("seen") > 0))
-    rows = cut.where(F.size("seen") > 0).select(*keys, "_island", "scene", "frame", F.transform("seen", lambda x: x["track_id"]).alias("tracks"), F.transform("seen", lambda x: x["smoothed"]).alias("scores"))
-
-    def walk(island: pd.DataFrame) -> pd.DataFrame:
-        island = island.sort_values("frame")
-        held, out = (None, None, 0), []
-        for tracks, scores in zip(island["tracks"], island["scores"], strict=True):
-            held = choose(dict(zip(tracks, scores, strict=True)), held, margin, frames_needed)
+    rows = by_frame.select(*keys, "scene", "frame", F.transform("seen", lambda x: x["track_id"]).alias("tracks"), F.transform("seen", lambda x: x["smoothed"]).alias("scores"))
+
+    def walk(frames: pd.DataFrame) -> pd.DataFrame:
+        frames = frames.sort_values(["scene", "frame"])
+        held, out, before = (None, None, 0), [], None
+        for scene, tracks, scores in zip(frames["scene"], frames["tracks"], frames["scores"], strict=True):
+            if scene != before or not len(tracks):
+                held, before = (None, None, 0), scene
+            if len(tracks):
+                held = choose(dict(zip(tracks, scores, strict=True)), held, margin, frames_needed)
             out.append(held[0])
-        return island[[*keys, "scene", "frame"]].assign(track_id=out)
+        return frames[[*keys, "scene", "frame"]].assign(track_id=pd.Series(out, index=frames.index, dtype=object))
 
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "scene", "frame", "track_id"])
-    chosen = rows.groupBy(*keys, "_island").applyInPandas(walk, schema)
-    none = by_frame.where(F.size("seen") == 0).select(*keys, "scene", "frame", F.lit(None).cast(kinds["track_id"]).alias("track_id"))
-    return chosen.unionByName(none)
+    return rows.groupBy(*keys).applyInPandas(walk, schema)
