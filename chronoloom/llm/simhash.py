@@ -135,28 +135,30 @@ def links(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return units.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def is_settled(edges: DataFrame) -> bool:
+    """Whether the links (u, v) are stars: each u has one link, and no v is the u of another."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").isEmpty()
+
+
 def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node reachable, for every node of an edge.
+    """(node, component): the smallest node reachable, for every node of an edge but the smallest ones themselves.
 
-    Large-star and small-star steps in turn: neighbours move to the smallest one seen until nothing changes. Every
-    step is an aggregation by key, combined before its shuffle, and a join; each round is written, so lineage stays short.
+    edges is read several times in a round: a written table. Large-star and small-star steps in turn: neighbours move to
+    the smallest one seen until the links are stars. Every step is an aggregation by key, combined before its shuffle, and
+    a join; each round is written, so lineage stays short.
     """
-    edges = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
-    before = None
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError(f"links still changed after {max_rounds} rounds")
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+        if is_settled(edges):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    raise RuntimeError(f"links still changed after {max_rounds} rounds")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -166,7 +168,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chun
     marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     last = F.coalesce(F.col(id_col), F.lit(2**63 - 1))
     nodes = materialize(marked.groupBy("fp").agg(F.min(last).alias("rep")), "nodes")
-    joined = connected(links(nodes, chunk))
+    joined = connected(materialize(links(nodes, chunk), "links"))
     named = nodes.join(joined, nodes.rep == joined.node, "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return marked.join(named, "fp").select(id_col, "fp", "text_hash", F.when(F.col("component_id") < 2**63 - 1, F.col("component_id")).alias("component_id"))
 

@@ -437,7 +437,8 @@ def test_pipeline_drops_near_copies_of_similarity_080(spark):
     near = [*base[:30], "other", *base[31:70], "another", *base[71:]]
     rows = [(1, " ".join(base), "en", "a", 0), (2, " ".join(near), "en", "a", 0), (3, " ".join(reversed(base)), "en", "a", 0)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, frame, "").collect()) == [1, 3]
+    near_dedup = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r["doc_id"] for r in near_dedup(spark, frame, "").collect()) == [1, 3]
 
 
 LONG_PROSE = "The fox and the dog are in the house of the man who was there with us. " * 4
