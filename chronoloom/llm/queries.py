@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, html, licenses, media, mixing, quality, rans, sharding, simhash, warc
+from chronoloom.llm import bpe, html, importance, licenses, media, mixing, prefix_bpe, quality, rans, sharding, simhash, warc
 from chronoloom.llm.common import materialize, new_path, words
 
 
@@ -77,6 +77,17 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = prefix_bpe.read_model(public_tokenizers.path("byte_bpe_50k.json"))
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -89,6 +100,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_shard_compaction": op9_shard_compaction,
         "op10_license_scan": op10_license_scan,
+        "op11_prefix_bpe": op11_prefix_bpe,
+        "op13_importance": op13_importance,
     }
 
 
