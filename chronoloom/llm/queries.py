@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, html, importance, licenses, media, mixing, prefix_bpe, quality, rans, sharding, simhash, warc
+from chronoloom.llm import bpe, html, importance, licenses, media, mixing, oracles, prefix_bpe, prefix_trie, quality, rans, sharding, simhash, warc
 from chronoloom.llm.common import materialize, new_path, words
 
 
@@ -84,6 +84,11 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), model, public_tokenizers.PATTERN)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.placed(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(rows))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -101,9 +106,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_shard_compaction": op9_shard_compaction,
         "op10_license_scan": op10_license_scan,
         "op11_prefix_bpe": op11_prefix_bpe,
+        "op12_prefix_trie": op12_prefix_trie,
         "op13_importance": op13_importance,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_prefix_trie": oracles.OP12, "op13_importance": oracles.OP13}
