@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoloom.operators.intervals import range_join
+from chronoloom.operators.intervals import FINEST, range_join
 
 
 #: Columns of formants in Hz; frames may lack them.
@@ -24,7 +24,7 @@ def statistics(value: str, prefix: str, keep: Column | None = None) -> list[Colu
     return [F.round(c, 6).alias(f"{prefix}_{n}") for n, c in each.items()]
 
 
-def segment_features(segments: DataFrame, frames: DataFrame, pauses: DataFrame, keys: list[str], id_col: str, media_seconds: DataFrame, width: float = 5000.0) -> DataFrame:
+def segment_features(segments: DataFrame, frames: DataFrame, pauses: DataFrame, keys: list[str], id_col: str, media_seconds: DataFrame, width: float = FINEST) -> DataFrame:
     """Features of each segment over the frames inside it, and its pauses against the length of the media.
 
     A segment without a start or an end holds no frame; its pauses are clipped at the bound that it has."""

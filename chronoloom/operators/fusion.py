@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.operators.intervals import range_join
+from chronoloom.operators.intervals import FINEST, range_join
 
 MIN_ACTIVE_RATIO, MIN_FACE_FRAMES = 0.5, 2
 
 
-def fuse(turns: DataFrame, frames: DataFrame, keys: list[str], id_col: str, width: float = 5000.0, min_ratio: float = MIN_ACTIVE_RATIO, min_frames: int = MIN_FACE_FRAMES) -> DataFrame:
+def fuse(turns: DataFrame, frames: DataFrame, keys: list[str], id_col: str, width: float = FINEST, min_ratio: float = MIN_ACTIVE_RATIO, min_frames: int = MIN_FACE_FRAMES) -> DataFrame:
     """For each turn the face that speaks in it, and how far picture and sound agree.
 
     frames has t, track_id (null: no face), score (null: unscored) and active. A face qualifies if it is active in

@@ -1,7 +1,10 @@
 """Joins and sweeps over intervals in seconds.
 
-A pure range predicate plans as a nested loop; here both sides are cut into time buckets, joined on (keys, bucket), and a
-pair that shares several buckets is kept in the bucket of the later start alone. Buckets also break up one long video.
+A pure range predicate plans as a nested loop. Here an interval is stored in buckets of a width that fits its length: levels
+grow by a factor of RADIX, and an interval lies at the finest level where it meets a handful of buckets. Two intervals meet at
+the coarser of their levels, so each is stored at its own level and at the coarser ones that the other side has; a pair that
+shares several buckets is kept in the bucket of the later start alone. One very long interval thus costs a few rows, short
+ones share a bucket with their neighbours only, and buckets also break up one long video.
 """
 
 from __future__ import annotations
@@ -9,20 +12,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoloom.operators.running import running
+from chronoloom.shared import written
+
 EPS = 1e-9
+#: Growth of the buckets from level to level; buckets that an interval meets at its own level, less one; seconds of the finest.
+RADIX, REACH, FINEST = 4, 4, 1.0
+
+
+def _level(length: Column, width: float) -> Column:
+    """The level of an interval's length; one or two levels off costs buckets, never pairs."""
+    steps = F.greatest(length, F.lit(0.0)) / (REACH * width)
+    return F.when(steps > 1, F.ceil(F.log(float(RADIX), steps))).otherwise(0).cast("int")
+
+
+def _cells(rows: DataFrame, start: Column, end: Column, others: DataFrame, width: float) -> DataFrame:
+    """rows in each of their buckets: own level _own, level _l and bucket _b of its width. others: the other side's levels, in one row."""
+    at = lambda x, level: F.floor(x / (width * F.pow(F.lit(float(RADIX)), level)))
+    placed = rows.withColumns({"_own": _level(end - start, width), "_levels": others.scalar()})
+    levels = F.concat(F.array("_own"), F.filter("_levels", lambda x: x > F.col("_own")))
+    buckets = F.flatten(F.transform(levels, lambda level: F.transform(F.sequence(at(start, level), at(F.greatest(start, end), level)), lambda b: F.struct(level.alias("l"), b.alias("b")))))
+    return placed.withColumn("_cell", F.explode(buckets)).withColumns({"_l": F.col("_cell.l"), "_b": F.col("_cell.b")}).drop("_cell", "_levels")
+
 
+def _levels(rows: DataFrame, start: Column, end: Column, width: float) -> DataFrame:
+    """One row: the levels that occur, a few dozen at most."""
+    return rows.agg(F.coalesce(F.collect_set(_level(end - start, width)), F.array().cast("array<int>")).alias("_levels"))
 
-def _buckets(start: Column, end: Column, width: float) -> Column:
-    return F.explode(F.sequence(F.floor(start / width), F.floor(F.greatest(start, end) / width)))
 
+def bucket_pairs(left: DataFrame, right: DataFrame, keys: list[str], width: float = FINEST, slack: float = 0.0) -> DataFrame:
+    """Pairs that share a bucket at the level where they would meet: the candidates of range_join, some of them several times."""
+    spans = [(left, F.col("start") - slack, F.col("end") + slack), (right, F.col("r_start"), F.col("r_end"))]
+    spans = [(rows.where(s.isNotNull() & e.isNotNull()), s, e) for rows, s, e in spans]
+    found = [_levels(rows, s, e, width) for rows, s, e in spans]
+    a, b = (_cells(rows, s, e, other, width) for (rows, s, e), other in zip(spans, reversed(found), strict=True))
+    b = b.withColumnRenamed("_own", "_r_own")
+    return a.join(b, [*keys, "_l", "_b"]).where(F.col("_l") == F.greatest("_own", "_r_own"))
 
-def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: float, slack: float = 0.0) -> DataFrame:
-    """Pairs whose closed intervals (start, end; r_start, r_end), widened by slack, meet. Right columns other than keys must have their own names."""
-    a = left.withColumn("_b", _buckets(F.col("start") - slack, F.col("end") + slack, width))
-    b = right.withColumn("_b", _buckets(F.col("r_start"), F.col("r_end"), width))
+
+def range_join(left: DataFrame, right: DataFrame, keys: list[str], width: float = FINEST, slack: float = 0.0) -> DataFrame:
+    """Pairs whose closed intervals (start, end; r_start, r_end), widened by slack, meet; an interval without both times meets none.
+
+    Right columns other than keys must have their own names. width is that of the finest buckets; it changes cost, never pairs.
+    """
     met = (F.col("r_start") <= F.col("end") + slack) & (F.col("r_end") >= F.col("start") - slack)
-    first = F.col("_b") == F.floor(F.greatest(F.col("start") - slack, F.col("r_start")) / width)
-    return a.join(b, [*keys, "_b"]).where(met & first).drop("_b")
+    first = F.col("_b") == F.floor(F.greatest(F.col("start") - slack, F.col("r_start")) / (width * F.pow(F.lit(float(RADIX)), F.col("_l"))))
+    return bucket_pairs(left, right, keys, width, slack).where(met & first).drop("_b", "_l", "_own", "_r_own")
 
 
 def clean_turns(turns: DataFrame) -> DataFrame:
@@ -30,7 +65,7 @@ def clean_turns(turns: DataFrame) -> DataFrame:
     return turns.where(F.col("start").isNotNull() & F.col("end").isNotNull() & (F.col("end") + EPS >= F.col("start")))
 
 
-def assign_speakers(segments: DataFrame, turns: DataFrame, keys: list[str], id_col: str, width: float = 5000.0) -> DataFrame:
+def assign_speakers(segments: DataFrame, turns: DataFrame, keys: list[str], id_col: str, width: float = FINEST) -> DataFrame:
     """The speaker who covers most of each segment.
 
     Overlaps are summed for each speaker; the largest sum wins, then the earliest first turn, then the label. A segment
@@ -75,7 +110,7 @@ def coverage(turns: DataFrame, keys: list[str]) -> DataFrame:
     return total.join(seconds, keys)
 
 
-def other_speaker_overlap(turns: DataFrame, keys: list[str], id_col: str, width: float = 5000.0) -> DataFrame:
+def other_speaker_overlap(turns: DataFrame, keys: list[str], id_col: str, width: float = FINEST) -> DataFrame:
     """Sum of the pairwise overlaps of each turn with turns of other speakers; it can exceed the turn's length."""
     right = turns.select(*keys, F.col(id_col).alias("_r"), F.col("speaker").alias("_rs"), F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     pairs = range_join(turns.select(*keys, id_col, "speaker", "start", "end"), right, keys, width).where(F.col("speaker") != F.col("_rs"))
@@ -83,22 +118,36 @@ def other_speaker_overlap(turns: DataFrame, keys: list[str], id_col: str, width:
     return turns.join(sums, [*keys, id_col], "left").select(*keys, id_col, "speaker", F.round(F.coalesce("o", F.lit(0.0)), 6).alias("overlap_s"))
 
 
-def project_overlaps(rows: DataFrame, keys: list[str], width: float = 5000.0) -> DataFrame:
-    """A tier without overlaps: where rows of a tier overlap, it is cut at every endpoint and simultaneous texts become a list.
+def overlap_islands(rows: DataFrame, keys: list[str], stretch: float = 100_000.0) -> DataFrame:
+    """rows (start, end, row_id) with island: the start of the run of overlapping rows that they belong to; rows that only touch
+    are islands of their own. A stretch is what one window runs over; how far an island reaches beyond it does not matter."""
+    bucket = F.floor(F.col("start") / stretch)
+    order = ["start", "end", "row_id"]
+    seen = running(rows, keys, order, bucket, strict=True, _until=("max", F.col("end")))
+    fresh = F.when(F.coalesce(F.col("start") >= F.col("_until"), F.lit(True)), F.col("start"))
+    return running(seen, keys, order, bucket, island=("max", fresh)).drop("_until")
+
+
+def project_overlaps(rows: DataFrame, keys: list[str], stretch: float = 100_000.0) -> DataFrame:
+    """Rows without overlaps: where rows of a key overlap, they are cut at every endpoint and simultaneous texts become a list.
 
-    (keys, start, end, n_labels, value); tiers without an overlap pass unchanged. Rows need start, end, text, row_id.
+    (keys, start, end, n_labels, value). Rows need start, end, text, row_id. Each island of overlapping rows is cut by itself; a
+    row that overlaps none passes as it is. rows are read several times: a table, or what is cheap to compute.
     """
-    before = Window.partitionBy(*keys).orderBy("start", "end", "row_id").rowsBetween(Window.unboundedPreceding, -1)
-    flagged = rows.withColumn("_hit", F.coalesce(F.col("start") < F.max("end").over(before), F.lit(False)))
-    tiers = flagged.groupBy(*keys).agg(F.max("_hit").alias("_any"))
-    plain = rows.join(tiers.where("not _any").select(*keys), keys, "left_semi").select(*keys, "start", "end", F.lit(1).cast("bigint").alias("n_labels"), F.col("text").alias("value"))
-    busy = rows.join(tiers.where("_any").select(*keys), keys, "left_semi")
-    points = busy.select(*keys, F.explode(F.array("start", "end")).alias("t")).distinct()
-    cells = points.withColumn("next", F.lead("t").over(Window.partitionBy(*keys).orderBy("t"))).where("next is not null")
-    cells = cells.select(*keys, F.col("t").alias("start"), F.col("next").alias("end"))
-    right = busy.select(*keys, F.col("start").alias("r_start"), F.col("end").alias("r_end"), "text", "row_id")
-    covered = range_join(cells, right, keys, width).where((F.col("r_start") < F.col("end")) & (F.col("r_end") > F.col("start")))
+    found = overlap_islands(rows.select(*keys, "start", "end", "text", "row_id"), keys, stretch)
+    own = [*keys, "island"]
+    sized = written(found.withColumn("_n", F.count("*").over(Window.partitionBy(*own))), "islands")
+    busy = sized.where("_n > 1").drop("_n")
+    # A row of no length covers nothing, and stays only where nothing of its key is cut.
+    empty = sized.where("_n = 1 and end <= start").join(busy.select(*keys).distinct(), keys, "left_anti")
+    plain = sized.where("_n = 1 and end > start").unionByName(empty)
+    plain = plain.select(*keys, "start", "end", F.lit(1).cast("bigint").alias("n_labels"), F.col("text").alias("value"))
+    points = busy.select(*own, F.explode(F.array("start", "end")).alias("t")).distinct()
+    cells = points.withColumn("next", F.lead("t").over(Window.partitionBy(*own).orderBy("t"))).where("next is not null")
+    cells = cells.select(*own, F.col("t").alias("start"), F.col("next").alias("end"))
+    right = busy.select(*own, F.col("start").alias("r_start"), F.col("end").alias("r_end"), "text", "row_id")
+    covered = range_join(cells, right, own).where((F.col("r_start") < F.col("end")) & (F.col("r_end") > F.col("start")))
     texts = F.transform(F.sort_array(F.collect_list(F.struct("text", "row_id"))), lambda x: x["text"])
-    cut = covered.groupBy(*keys, "start", "end").agg(texts.alias("texts"))
+    cut = covered.groupBy(*own, "start", "end").agg(texts.alias("texts"))
     value = F.when(F.size("texts") == 1, F.get("texts", F.lit(0))).otherwise(F.to_json("texts"))
     return plain.unionByName(cut.select(*keys, "start", "end", F.size("texts").cast("bigint").alias("n_labels"), value.alias("value")))

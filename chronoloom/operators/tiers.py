@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators import runs, tracks
 from chronoloom.operators.intervals import project_overlaps
+from chronoloom.shared import written
 
 #: What a label prints for a value that is not known, for one that is known to be absent, and for no text.
 UNKNOWN, ABSENT, EMPTY = "unknown", "none", "(empty)"
@@ -229,10 +230,13 @@ def placed(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"start_ms": F.when(fine, start), "end_ms": F.when(fine, F.greatest(end, start + SHORTEST_MS))})
 
 
-def annotations(rows: DataFrame, keys: list[str], width: float = 5000.0) -> DataFrame:
-    """(tier, keys, start_ms, end_ms, value): what is exported of placed rows; tiers with overlaps are cut at every endpoint."""
+def annotations(rows: DataFrame, keys: list[str], stretch: float = 3600.0) -> DataFrame:
+    """(tier, keys, start_ms, end_ms, value): what is exported of placed rows; rows that overlap in their tier are cut at every endpoint.
+
+    The rows are written once, as their builders read many tables; stretch is the seconds that one window runs over.
+    """
     spans = placed(rows).where("refused is null").select("tier", *keys, F.col("start_ms").alias("start"), F.col("end_ms").alias("end"), "text", "row_id")
-    cut = project_overlaps(spans, ["tier", *keys], width * 1000)
+    cut = project_overlaps(written(spans, "tiers"), ["tier", *keys], stretch * 1000)
     return cut.select("tier", *keys, F.col("start").alias("start_ms"), F.col("end").alias("end_ms"), "value")
 
 

@@ -67,12 +67,12 @@ EXPORT_SQL = """fl AS (SELECT tier, video_id, row_id, text, start_ms, end_ms, co
 
 @register("tier_export", f"""WITH {EVENTS_SQL}, {SPEECH_SQL}, {TIER_ROWS_SQL}, {EXPORT_SQL} SELECT * FROM ex""")
 def tier_export(spark, sf_dir):
-    return tiers.annotations(tiers.build(speech_tables(events(spark, sf_dir)), VIDEO), VIDEO, 100.0)
+    return tiers.annotations(tiers.build(speech_tables(events(spark, sf_dir)), VIDEO), VIDEO, 100_000.0)
 
 
 @register("tier_census", f"""WITH {EVENTS_SQL}, {SPEECH_SQL}, {TIER_ROWS_SQL}, {EXPORT_SQL} SELECT tier, video_id, count(*) AS annotations FROM ex GROUP BY ALL""")
 def tier_census(spark, sf_dir):
-    return tiers.census(tiers.annotations(tiers.build(speech_tables(events(spark, sf_dir)), VIDEO), VIDEO, 100.0), VIDEO)
+    return tiers.census(tiers.annotations(tiers.build(speech_tables(events(spark, sf_dir)), VIDEO), VIDEO, 100_000.0), VIDEO)
 
 
 @register(

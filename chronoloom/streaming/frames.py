@@ -1,9 +1,9 @@
-"""Live frame streams: fixed windows, visibility sessions, segments met by frames, selection and body coordinates."""
+"""Live frame streams: fixed windows, visibility sessions, frames that meet segments, late rows, body coordinates."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chronoloom.operators import pose
-from chronoloom.operators.tracks import choose
 
 
 def windows(frames: DataFrame, time: str, keys: list[str], width: str, late: str, *aggregates: Column) -> DataFrame:
@@ -35,6 +34,25 @@ def frames_in_segments(frames: DataFrame, segments: DataFrame, keys: list[str],
     return live.join(cut, [*keys, "_b"]).where(F.col(time).between(F.col("start"), F.col("end"))).drop("_b")
 
 
+def frames_in_live_segments(frames: DataFrame, segments: DataFrame, keys: list[str], time: str, late: str, longest: str, width: float = 60.0) -> DataFrame:
+    """Frames that meet segments, both streams: (keys, time, segments' and frames' other columns), start and end as timestamps.
+
+    Both sides are watermarked and cut into buckets of `width` seconds. A frame is held until no segment that is still to come
+    can hold it, a segment until `longest` after its start, so state is bounded by the two delays, not by the recording. A
+    segment longer than that ends the query with an error, as it would lose frames. What comes later than `late` meets nothing.
+    """
+    second = lambda c: F.unix_micros(c) / 1e6
+    limit = F.expr(f"INTERVAL {longest}")
+    whole = F.when(F.col("end") > F.col("start") + limit, F.raise_error(F.lit(f"a segment is longer than {longest}")).cast("timestamp")).otherwise(F.col("end"))
+    cut = segments.withWatermark("start", late).withColumn("end", whole)
+    cut = cut.withColumn("_sb", F.explode(F.sequence(F.floor(second("start") / width), F.floor(F.greatest(second("start"), second("end")) / width))))
+    cut = cut.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    live = frames.withWatermark(time, late).withColumn("_fb", F.floor(second(time) / width))
+    same = [F.col(k) == F.col(f"_s_{k}") for k in keys]
+    within = (F.col(time) >= F.col("start")) & (F.col(time) <= F.col("start") + limit) & (F.col(time) <= F.col("end"))
+    return live.join(cut, reduce(Column.__and__, [*same, F.col("_fb") == F.col("_sb"), within])).drop("_fb", "_sb", *[f"_s_{k}" for k in keys])
+
+
 def late_frames(frames: DataFrame, time: str, keys: list[str], late: str) -> DataFrame:
     """(keys, frames, out_of_order): how many frames of each key came after a later one of the same trigger was seen."""
     kinds = {f.name: f.dataType.simpleString() for f in frames.schema}
@@ -61,44 +79,3 @@ def normalized_pose(points: DataFrame, keys: list[str], time: str, late: str) ->
     bodies = points.withWatermark(time, late).groupBy(*keys, time).agg(*[v.alias(n) for n, v in pose.joints().items()], F.collect_list(F.struct(*others)).alias("_points"))
     rows = bodies.select(*keys, time, *pose.joints(), F.explode("_points").alias("_p")).select(*keys, time, *pose.joints(), "_p.*")
     return pose.relative(rows, points.columns)
-
-
-def stable_selection(frames: DataFrame, keys: list[str], time: str, late: str, margin: float = 0.5, frames_needed: int = 3) -> DataFrame:
-    """(keys, frame, scene, track_id): the stable selection on a stream of whole frames.
-
-    A frame is a row of keys, time, frame, scene and seen, an array of (track_id bigint, smoothed double). Frames wait
-    until the watermark passes them and are then walked in order of time and frame, so what is held for a key is bounded
-    by the delay. A frame before one already walked is left out. A frame without a scored face has a null track_id and,
-    like a new scene, starts anew; a null scene is a scene of its own; null seen means none.
-    """
-    kinds = {f.name: f.dataType.simpleString() for f in frames.schema}
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        scene, current, challenger, wins, walked, waiting = state.get if state.exists else (None, None, None, 0, None, "[]")
-        held, waiting = (current, challenger, wins), json.loads(waiting)
-        for batch in batches:
-            for at, frame, of, seen in zip(batch["_at"], batch["frame"], batch["scene"], batch["_seen"], strict=True):
-                if walked is None or at > walked:
-                    waiting.append([int(at), int(frame), None if pd.isna(of) else int(of), seen])
-        mark = state.getCurrentWatermarkMs() * 1000
-        ready = sorted(x for x in waiting if x[0] < mark) if mark > 0 else []
-        waiting = [x for x in waiting if mark <= 0 or x[0] >= mark]
-        out = []
-        for at, frame, of, seen in ready:
-            found = {x["track_id"]: x["smoothed"] for x in json.loads(seen)}
-            held = (None, None, 0) if of != scene or not found else held
-            held = choose(found, held, margin, frames_needed) if found else held
-            scene, walked = of, at
-            out.append((*key, frame, of, held[0]))
-        state.update((scene, *held, walked, json.dumps(waiting)))
-        if waiting:
-            state.setTimeoutTimestamp(max(min(x[0] for x in waiting) // 1000, state.getCurrentWatermarkMs()) + 1)
-        if out:
-            made = pd.DataFrame(out, columns=[*keys, "frame", "scene", "track_id"])
-            yield made.astype({"scene": "Int64", "track_id": "Int64"})
-
-    scored = F.to_json(F.filter(F.coalesce("seen", F.array().cast(kinds["seen"])), lambda x: x["smoothed"].isNotNull()))
-    live = frames.withWatermark(time, late).select(*keys, time, "frame", F.col("scene").cast("bigint").alias("scene"), F.unix_micros(time).alias("_at"), scored.alias("_seen"))
-    out = ", ".join([*(f"{c} {kinds[c]}" for c in keys), "frame bigint, scene bigint, track_id bigint"])
-    held = "scene bigint, current bigint, challenger bigint, wins bigint, walked bigint, waiting string"
-    return live.where("frame is not null and _at is not null").groupBy(*keys).applyInPandasWithState(step, out, held, "append", GroupStateTimeout.EventTimeTimeout)

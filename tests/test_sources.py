@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from chronoloom.operators import pose, tracks
 from chronoloom.sources import raw
-from chronoloom.streaming import frames
+from chronoloom.streaming import frames, stateful
 
 
 def test_rttm_round_trip(spark, tmp_path):
@@ -54,6 +54,7 @@ def streamed(spark, rows, folder, name, make):
     """Rows of a query over files that arrive one at a time."""
     for k, part in enumerate(rows):
         part.coalesce(1).write.parquet(f"{folder}/{name}/{k}")
+    stateful.use_keyed_state(spark)
     live = spark.readStream.schema(rows[0].schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).option("latestFirst", False).parquet(f"{folder}/{name}")
     query = make(live).writeStream.outputMode("append").format("memory").queryName(name).trigger(availableNow=True).start()
     try:
@@ -80,7 +81,7 @@ def test_streamed_selection_equals_the_batch(spark, tmp_path):
     whole.append((3, None, 999, 999 * 40_000, None))
     frame = lambda rows: spark.createDataFrame(rows, "video_id int, scene int, frame long, us long, seen array<struct<track_id: long, smoothed: double>>").select("video_id", "scene", "frame", F.timestamp_micros("us").alias("ts"), "seen")
     parts = [frame(whole[:40]), frame(whole[40:90]), frame(whole[90:]), frame([(1, 0, 3, 5_120_000, None)])]
-    got = streamed(spark, parts, tmp_path, "selection", lambda live: frames.stable_selection(live, ["video_id"], "ts", "1 second"))
+    got = streamed(spark, parts, tmp_path, "selection", lambda live: stateful.stable_selection(live, ["video_id"], "ts", "1 second"))
     rows = got.collect()
     assert len(rows) == 120 and {(r.video_id, r.frame) for r in rows} == set(by_frame)
     want = sorted((r.video_id, r.scene, r.frame, r.track_id) for r in batch.collect() if r.track_id is not None)
