@@ -17,6 +17,20 @@ def finite(value: Column) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
+def frame_is_quiet(threshold_db: float | None = None, level: str = "intensity_db", voiced: str = "voiced") -> Column:
+    """Whether a frame is quiet: its level is below the threshold, if one is set and the level was measured; else it is not voiced."""
+    unvoiced = ~F.coalesce(F.col(voiced), F.lit(False))
+    if threshold_db is None:
+        return unvoiced
+    measured = finite(F.col(level).cast("double"))
+    return F.when(measured.isNotNull(), measured < threshold_db).otherwise(unvoiced)
+
+
+def within_ceiling(formant: Column, ceiling_hz: float) -> Column:
+    """A formant above zero and up to the ceiling; null for any other, which is worse than none."""
+    return F.when((formant > 0) & (formant <= ceiling_hz), formant)
+
+
 def statistics(value: str, prefix: str, keep: Column | None = None) -> list[Column]:
     """mean, exact median, min, max and population deviation of finite values, null if there are none."""
     x = finite(F.col(value)) if keep is None else F.when(keep, finite(F.col(value)))

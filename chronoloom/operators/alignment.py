@@ -2,69 +2,71 @@
 
 from __future__ import annotations
 
-import string
-import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from chronoloom.operators.folding import core_of, raw_key
 
-#: White space, ASCII punctuation, and the marks stripped from the edges of a token or word before comparison.
-EDGE_MARKS = " \t\n\r\f\v" + string.punctuation + "\u00a1\u00bf\u2013\u2014\u2018\u2019\u201c\u201d\u2026\u00ab\u00bb"
 #: Words that a token may lie ahead of the cursor, and the same for a punctuation mark timed as a word.
 WORD_REACH, MARK_REACH = 3, 1
+_STATE = "struct<cursor:int,last:int,found:array<struct<at:int,status:string,sure:double>>>"
 
 
-def _folded(text: str | None) -> str:
-    return unicodedata.normalize("NFKC", text or "").strip().casefold()
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _align(tokens: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    raw = [_folded(w) for w in words["word"]]
-    cores = [w.strip(EDGE_MARKS) for w in raw]
-    times = [(None, None) if pd.isna(a) or pd.isna(b) else (round(a, 6), round(b, 6)) for a, b in zip(words["start"], words["end"], strict=True)]
-    own = words["alignment_status"].fillna("unmatched").tolist() if "alignment_status" in words else ["unmatched"] * len(words)
-    cursor, last, found = 0, None, []
+def _step(state: Column, token: Column, raws: Column, cores: Column) -> Column:
+    """The cursor's move for one token: what it found is added, as a place among the words, a status and a confidence."""
+    cursor, last = state["cursor"], state["last"]
+    core, raw = token["core"], token["raw"]
+    has_core = F.length(core) > 0
+    ahead = lambda keys, key, reach: F.array_position(F.slice(keys, cursor + 1, F.lit(reach + 1)), key) - 1
+    offset = F.when(has_core, ahead(cores, core, WORD_REACH)).when(F.length(raw) > 0, ahead(raws, raw, MARK_REACH)).otherwise(F.lit(-1))
 
-    def ahead(keys: list[str], key: str, reach: int) -> int | None:
-        return next((i for i in range(cursor, min(cursor + reach + 1, len(keys))) if key and keys[i] == key), None)
+    def moved(off: Column) -> Column:
+        hit, here = off >= 0, F.get(cores, cursor)
+        at = (cursor + off).cast("int")
+        part = has_core & here.isNotNull() & F.contains(here, core) & (here != core)
+        in_reach = F.when(cursor < F.size(raws), cursor)
+        place = F.when(hit, at).when(~has_core, F.coalesce(last, in_reach)).when(part, cursor)
+        status = F.when(hit & (off == 0), "aligned").when(hit | ~has_core | part, "approximate").otherwise("unmatched")
+        far = F.when(has_core, F.greatest(F.lit(0.3), F.lit(1.0) - off * F.lit(0.25))).otherwise(F.lit(0.5))
+        sure = F.when(hit & (off == 0), F.lit(1.0)).when(hit, far).when(~has_core, F.lit(0.2)).when(part, F.lit(0.3)).otherwise(F.lit(0.0))
+        found = F.struct(place.cast("int").alias("at"), status.alias("status"), sure.cast("double").alias("sure"))
+        new = F.struct(F.when(hit, at + 1).otherwise(cursor).cast("int").alias("cursor"), F.when(hit, at).otherwise(last).cast("int").alias("last"), F.concat(state["found"], F.array(found)).alias("found"))
+        return new.cast(_STATE)
 
-    for text in tokens["token"]:
-        core = _folded(text).strip(EDGE_MARKS)
-        at = ahead(cores, core, WORD_REACH) if core else ahead(raw, _folded(text), MARK_REACH)
-        if at is not None:
-            off, cursor, last = at - cursor, at + 1, at
-            sure = 1.0 if off == 0 else (max(0.3, 1.0 - 0.25 * off) if core else 0.5)
-            place, status = at, "aligned" if off == 0 else "approximate"
-        elif not core:
-            place, status, sure = last if last is not None else (cursor if cursor < len(raw) else None), "approximate", 0.2
-        elif cursor < len(cores) and core in cores[cursor] and core != cores[cursor]:
-            place, status, sure = cursor, "approximate", 0.3
-        else:
-            place, status, sure = None, "unmatched", 0.0
-        start, end = (None, None) if place is None else times[place]
-        if start is None:
-            # A word without times hands on what its own aligner said of it.
-            status, sure = own[place] if place is not None else "unmatched" if len(raw) else "no_timing", 0.0
-        found.append((start, end, status, sure))
-    out = pd.DataFrame(found, columns=["token_start", "token_end", "alignment_status", "alignment_confidence"])
-    return pd.concat([tokens.reset_index(drop=True), out.astype({"token_start": "float64", "token_end": "float64"})], axis=1)
+    return _let(offset.cast("int"), moved)
 
 
-def align_tokens(tokens: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
+def align_tokens(tokens: DataFrame, words: DataFrame, keys: list[str], key: Callable[[Column], Column] = raw_key) -> DataFrame:
     """tokens (keys, token_index, token) with times, a status and a confidence from words (keys, word_index, word, start, end).
 
     A cursor moves forward over a segment's words. The word at the cursor is aligned (1.0), one up to three ahead is
     approximate; part of a word borrows its time and consumes nothing (0.3); punctuation borrows the last word's (0.2).
     A segment without words is no_timing; a word without times lends its alignment_status instead (unmatched where
-    it has none). keys must name one segment: it is one group, bounded by what is said in it.
+    it has none). keys must name one segment: its tokens and words are two arrays, bounded by what is said in it, and the
+    cursor is a fold over them in the JVM. key folds a text for comparison.
     """
-    order = [*keys, "token_index", "token"]
-    types = {f.name: f.dataType.simpleString() for f in tokens.schema.fields}
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in order), "token_start double, token_end double, alignment_status string, alignment_confidence double"])
-
-    said = ["alignment_status"] if "alignment_status" in words.columns else []
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _align(left[order].sort_values("token_index", kind="stable"), right.sort_values("word_index", kind="stable"))
-
-    return tokens.select(*order).groupBy(*keys).cogroup(words.select(*keys, "word_index", "word", "start", "end", *said).groupBy(*keys)).applyInPandas(run, schema)
+    own = F.coalesce("alignment_status", F.lit("unmatched")) if "alignment_status" in words.columns else F.lit("unmatched")
+    said = words.select(*keys, "word_index", key(F.col("word")).alias("raw"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), own.alias("own"))
+    said = said.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("word_index", "raw", "start", "end", "own"))).alias("_words"))
+    asked = tokens.select(*keys, "token_index", "token", key(F.col("token")).alias("raw")).withColumn("core", core_of(F.col("raw")))
+    asked = asked.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("token_index", "token", "raw", "core"))).alias("_tokens"))
+    both = asked.join(said, keys, "left").withColumn("_words", F.coalesce("_words", F.array().cast(said.schema["_words"].dataType)))
+    both = both.withColumns({"_raws": F.transform("_words", lambda w: w["raw"]), "_cores": F.transform("_words", lambda w: core_of(w["raw"]))})
+    start = F.struct(F.lit(0).alias("cursor"), F.lit(None).cast("int").alias("last"), F.array().cast("array<struct<at:int,status:string,sure:double>>").alias("found")).cast(_STATE)
+    found = F.aggregate("_tokens", start, lambda s, t: _step(s, t, F.col("_raws"), F.col("_cores")), lambda s: s["found"])
+    rows = both.select(*keys, "_words", F.explode(F.arrays_zip(F.col("_tokens").alias("t"), found.alias("f"))).alias("_r"))
+    rows = rows.withColumns({"_w": F.get("_words", F.col("_r.f.at")), "_any": F.size("_words") > 0})
+    timed = F.col("_w.start").isNotNull() & F.col("_w.end").isNotNull()
+    # A word without times hands on what its own aligner said of it.
+    status = F.when(timed, F.col("_r.f.status")).when(F.col("_w").isNotNull(), F.col("_w.own")).when(F.col("_any"), "unmatched").otherwise("no_timing")
+    return rows.select(
+        *keys, F.col("_r.t.token_index").alias("token_index"), F.col("_r.t.token").alias("token"), F.when(timed, F.round("_w.start", 6)).alias("token_start"), F.when(timed, F.round("_w.end", 6)).alias("token_end"),
+        status.alias("alignment_status"), F.when(timed, F.col("_r.f.sure")).otherwise(0.0).alias("alignment_confidence"),
+    )

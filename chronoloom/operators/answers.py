@@ -2,40 +2,63 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chronoloom.operators.folding import BLANKS
 
 #: Keys under which a nested answer holds its text; seconds of sound that a language detector needs.
 TEXT_KEYS = ("text", "translation", "english_text")
 DETECTION_WINDOW, LEAST_PROBABILITY = 30.0, 0.5
 #: What the blank pipeline can do.
 FALLBACK_CAPABILITIES = "tokenize,sentences"
-SECRET = r"(?i)(api[_-]?key|token|secret|password|passwd|credential|authorization)"
+#: Names of secrets, of what holds a secret's name, words before a secret in a command, and the mask.
+SECRET = r"(?i)(api[_-]?key|token|secret|password|authorization|access[_-]?key)"
+HOLDER = r"(?i)(_env|_var|_variable|_env_var)$"
+SECRET_FLAG = r"(?i)(token|key|secret|password)$"
+MASK = "***masked***"
 
 
 def message_content(response: Column) -> Column:
-    """The text of a chat response in JSON, a string or parts put together; null if there is none."""
-    whole = F.try_variant_get(F.try_parse_json(response), "$.choices[0].message.content", "string")
-    parts = F.from_json(whole, "array<struct<text:string>>")
-    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), "")
-    text = F.trim(F.when(F.ltrim(whole).startswith("[") & (F.size(parts) > 0), joined).otherwise(whole))
-    return F.when(F.length(text) > 0, text)
+    """The text of a chat response in JSON as it stands, or its content parts put together; null if it is blank or none."""
+    content = F.try_variant_get(F.try_parse_json(response), "$.choices[0].message.content", "variant")
+    parts = F.try_variant_get(content, "$", "array<variant>")
+    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), F.lit(""))), "")
+    kind = F.schema_of_variant(content)
+    text = F.when(kind.startswith("ARRAY"), joined).when(kind == "STRING", F.try_variant_get(content, "$", "string"))
+    return F.when(F.length(F.btrim(text, F.lit(BLANKS))) > 0, text)
 
 
 def fenced_json(text: Column) -> Column:
-    """The object of an answer as a VARIANT, with or without a fence or words around it; null if there is none."""
-    bare = F.regexp_replace(F.trim(text), r"(?s)^```[a-zA-Z]*\s*|\s*```$", "")
-    inner = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-    return F.try_parse_json(F.when(F.length(inner) > 0, inner).otherwise(bare))
+    """The JSON of an answer as a VARIANT, with or without a fence; else what stands between its outer braces. Null if neither parses."""
+    bare = F.btrim(text, F.lit(BLANKS))
+    inside = F.btrim(F.regexp_replace(F.btrim(bare, F.lit("`")), "(?i)^json", ""), F.lit(BLANKS))
+    bare = F.when(bare.startswith("```"), inside).otherwise(bare)
+    return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.nullif(F.regexp_extract(bare, r"(?s)\{.*\}", 0), F.lit(""))))
 
 
 def translations(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
-    """(keys, id, text): the entries of {"translations": {id: text}} or {id: text}; a nested text is taken out, and null stays."""
-    parsed = rows.select(*keys, F.from_json(fenced_json(F.col(answer)).cast("string"), "map<string,string>").alias("_m"))
-    inner = F.from_json(F.element_at("_m", F.lit("translations")), "map<string,string>")
-    entries = parsed.select(*keys, F.explode(F.map_entries(F.coalesce(inner, "_m"))).alias("e"))
-    nested = F.coalesce(*[F.get_json_object("e.value", f"$.{k}") for k in TEXT_KEYS])
-    return entries.select(*keys, F.col("e.key").alias("id"), F.when(F.ltrim("e.value").startswith("{"), nested).otherwise(F.col("e.value")).alias("text"))
+    """(keys, id, text, problem): the entries of {id: text}, trimmed, or of {id: {text: ...}} by the first of TEXT_KEYS that says
+    something. An answer that is no JSON, no object, or has a null is refused as a whole: one row with the problem and no text."""
+    parsed = rows.select(*keys, fenced_json(F.col(answer)).alias("_v"))
+    entries = F.map_entries(F.try_variant_get("_v", "$", "map<string,variant>"))
+
+    def own(value: Column) -> Column:
+        asked = [F.try_variant_get(value, f"$.{k}", "string") for k in TEXT_KEYS]
+        said = F.coalesce(*[F.nullif(x, F.lit("")) for x in asked], asked[-1])
+        text = F.when(F.schema_of_variant(value).startswith("OBJECT"), said).otherwise(F.try_variant_get(value, "$", "string"))
+        return F.btrim(text, F.lit(BLANKS))
+
+    # A problem comes first, and alone.
+    found = F.transform(entries, lambda e: F.struct(e["key"].alias("id"), own(e["value"]).alias("text")))
+    empty = F.filter(found, lambda e: e["text"].isNull())
+    problem = F.when(F.col("_v").isNull(), "not JSON").when(~F.schema_of_variant("_v").startswith("OBJECT"), "not an object").when(F.size(empty) > 0, "null translation")
+    refused = F.array(F.struct(F.when(F.size(empty) > 0, F.get(empty, F.lit(0))["id"]).alias("id"), F.lit(None).cast("string").alias("text")))
+    told = parsed.select(*keys, problem.alias("problem"), F.explode(F.when(problem.isNotNull(), refused).otherwise(found)).alias("e"))
+    return told.select(*keys, "e.id", "e.text", "problem")
 
 
 def strict_number(value: Column) -> Column:
@@ -107,14 +130,34 @@ def resolve_models(languages: DataFrame, language: str, configured: DataFrame, i
     return languages.withColumn("language_key", key).join(chosen, "language_key", "left")
 
 
-def mask_secrets(values: Column) -> Column:
-    """A map whose values under secret names are masked."""
-    return F.transform_values(values, lambda k, v: F.when(k.rlike(SECRET), F.lit("***masked***")).otherwise(v))
+def _is_secret(name: Column) -> Column:
+    """Whether a name is that of a secret; one that holds the name of a secret's place is not."""
+    return name.rlike(SECRET) & ~name.rlike(HOLDER)
+
+
+def mask_secrets(values: Column, kind: T.DataType | None = None) -> Column:
+    """values with what stands under secret names masked, in maps, structs and lists at any depth of their type (a map of
+    strings if it is not given). Null, empty and zero stay; a value that cannot hold the mask becomes null."""
+    kind = kind or T.MapType(T.StringType(), T.StringType())
+
+    def masked(value: Column, of: T.DataType) -> Column:
+        told = F.lit(MASK) if isinstance(of, T.StringType) else F.lit(None).cast(of)
+        nothing = value == "" if isinstance(of, T.StringType) else value == 0 if isinstance(of, T.NumericType) else F.lit(False)
+        return F.when(value.isNull() | nothing, value).otherwise(told)
+
+    if isinstance(kind, T.MapType):
+        return F.transform_values(values, lambda k, v: F.when(_is_secret(k.cast("string")), masked(v, kind.valueType)).otherwise(mask_secrets(v, kind.valueType)))
+    if isinstance(kind, T.StructType):
+        fields = [masked(values[f.name], f.dataType) if re.search(SECRET, f.name) and not re.search(HOLDER, f.name) else mask_secrets(values[f.name], f.dataType) for f in kind.fields]
+        return F.when(values.isNotNull(), F.struct(*[x.alias(f.name) for x, f in zip(fields, kind.fields, strict=True)]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(values, lambda v: mask_secrets(v, kind.elementType))
+    return values
 
 
 def mask_command(words: Column) -> Column:
-    """A command whose word after a secret flag is masked."""
-    return F.transform(words, lambda w, i: F.when(F.coalesce(F.get(words, i - 1).rlike(r"^-") & F.get(words, i - 1).rlike(SECRET), F.lit(False)), F.lit("***masked***")).otherwise(w))
+    """A command in which what follows a word that ends like a secret's name is masked, with or without dashes before that word."""
+    return F.transform(words, lambda w, i: F.when(F.coalesce(F.get(words, i - 1).rlike(SECRET_FLAG), F.lit(False)), F.lit(MASK)).otherwise(w))
 
 
 def provenance(rows: DataFrame, keys: list[str], table: str, facts: list[str]) -> DataFrame:

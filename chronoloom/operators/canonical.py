@@ -130,7 +130,8 @@ def evenly_spaced(rows: DataFrame, keys: list[str], order: str, k: int) -> DataF
     """k rows of each key at even distances, first and last among them; all if there are fewer."""
     w = Window.partitionBy(*keys)
     placed = rows.withColumns({"_i": F.row_number().over(w.orderBy(order)) - 1, "_n": F.count("*").over(w)})
-    wanted = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / (k - 1)).cast("int"))
+    # One row is the first.
+    wanted = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / max(1, k - 1)).cast("int"))
     return placed.where((F.col("_n") <= k) | F.array_contains(wanted, F.col("_i"))).drop("_i", "_n")
 
 

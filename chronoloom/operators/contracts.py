@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoloom.operators.canonical import BODY_25
 from chronoloom.operators.pose import present
 from chronoloom.operators.quality import violations
 
@@ -17,6 +18,7 @@ from chronoloom.operators.quality import violations
 FRAME_REASONS = ["no_face", "scored", "imputed_tail", "score_not_finite", "track_has_no_scores", "tail_score_not_finite", "past_scored_tail", "unknown"]
 UNSCORED_REASONS = FRAME_REASONS[3:]
 CONFIDENCE_REASONS = ["tracked", "no_track_confidence"]
+ENGINES = ["pyannote", "nemotron"]
 AGREEMENTS = ["no_frames_measured", "no_face_visible", "face_never_active", "face_matched", "face_partial"]
 BASIS_STATES = ["basis_ok", "basis_missing_joint", "basis_degenerate", "basis_non_finite"]
 VALUE_STATES = ["normalized", "no_coordinate", "basis_unusable"]
@@ -134,17 +136,44 @@ def fusion_rules() -> dict[str, Column]:
         "unknown_agreement": state.isNull() | ~state.isin(*AGREEMENTS), "counts_not_nested": (F.col("face_active_frames") > F.col("face_frames_in_turn")) | (F.col("face_frames_in_turn") > F.col("frames_in_turn")),
         "winner_without_activity": won & (F.col("face_active_frames") < 1), "match_without_winner": state.isin("face_matched", "face_partial") & ~won, "winner_without_match": won & ~state.isin("face_matched", "face_partial"),
         "frames_disagree": (state == "no_frames_measured") != (F.col("frames_in_turn") == 0),
+        "no_face_disagrees": (state == "no_face_visible") & ~((F.col("frames_in_turn") > 0) & (F.col("face_frames_in_turn") == 0)),
     }
 
 
-def pose_rules() -> dict[str, Column]:
-    """Rows of normalised key points."""
+def fusion_problems(rows: DataFrame, turns: DataFrame, keys: list[str], engine: str, id_col: str = "turn_id", duration: str | None = None) -> DataFrame:
+    """(rule, key) of one engine's fused table: its rules row by row, an engine of its own, a detail in every row, each turn once,
+    and the turns that it was made from. rows also have engine, agreement_detail, start and end."""
+    rules = fusion_rules() | {
+        "unknown_engine": F.col("engine").isNull() | ~F.col("engine").isin(*ENGINES), "other_engine": F.col("engine").isin(*ENGINES) & (F.col("engine") != engine), "no_detail": ~F.coalesce(F.length("agreement_detail") > 0, F.lit(False)),
+        "ends_before_start": F.col("end") < F.col("start") - 1e-6, "starts_before_zero": F.col("start") < -1e-3,
+    }
+    if duration:
+        rules["starts_past_duration"] = F.col("start") > F.col(duration) + 1.0
+    key = [*keys, id_col]
+    counted = rows.groupBy(*key).agg(F.count("*").alias("_n"))
+    both = counted.join(turns.select(*key, F.lit(True).alias("_asked")).distinct(), key, "full")
+    rule = F.when(F.col("_n") > 1, "repeated_turn").when(F.col("_n").isNull(), "missing_turn").when(F.col("_asked").isNull(), "unknown_turn")
+    sets = both.withColumn("rule", rule).where("rule is not null").select("rule", F.col(id_col).cast("string").alias("key"))
+    return violations(rows, id_col, rules).unionByName(sets)
+
+
+def pose_rules(whole: bool = False) -> dict[str, Column]:
+    """Rows of normalised key points; whole: of the stored table, which also has basis_detail, keypoint_id and keypoint_name."""
     placed = F.col("x_norm").isNotNull() & F.col("y_norm").isNotNull()
-    return {
+    rules = {
         "unknown_basis": F.col("basis_state").isNull() | ~F.col("basis_state").isin(*BASIS_STATES), "unknown_status": F.col("value_status").isNull() | ~F.col("value_status").isin(*VALUE_STATES),
         "status_disagrees": (F.col("value_status") == "normalized") != placed, "normalized_without_basis": (F.col("value_status") == "normalized") & (F.col("basis_state") != "basis_ok"),
         "coordinate_disagrees": (F.col("value_status") == "no_coordinate") != (present(F.col("x")).isNull() | present(F.col("y")).isNull()),
+        "placed_without_basis": placed & (F.col("basis_state") != "basis_ok"), "unusable_within_ok": (F.col("value_status") == "basis_unusable") & (F.col("basis_state") == "basis_ok"),
     }
+    if whole:
+        names = F.array(*[F.lit(x) for x in BODY_25[:-1]])
+        known = F.col("keypoint_id").between(0, len(BODY_25) - 2)
+        rules |= {
+            "no_basis_detail": ~F.coalesce(F.length("basis_detail") > 0, F.lit(False)), "unknown_point": ~F.coalesce(known, F.lit(False)),
+            "wrong_name": known & ~F.get(names, F.col("keypoint_id").cast("int")).eqNullSafe(F.col("keypoint_name")),
+        }
+    return rules
 
 
 def keypoint_rules(names: int) -> dict[str, Column]:

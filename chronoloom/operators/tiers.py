@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.operators import runs, tracks
+from chronoloom.operators.folding import BLANKS
 from chronoloom.operators.intervals import project_overlaps
 from chronoloom.shared import written
 
@@ -32,7 +33,7 @@ UNSCORED = ["score_not_finite", "track_has_no_scores", "tail_score_not_finite",
 
 def one_line(text: Column) -> Column:
     """Text on one line; a marker where there is none."""
-    flat = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"\s+", " "))
+    flat = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), f"[{BLANKS}]+", " "))
     return F.when(F.length(flat) > 0, flat).otherwise(EMPTY)
 
 
@@ -49,7 +50,7 @@ def shown_id(value: Column) -> Column:
 
 def shown_field(value: Column, null_is_answer: bool = False) -> Column:
     """A text that may be known to be absent: blank always is, null where the column says so."""
-    return F.when(value.isNull(), ABSENT if null_is_answer else UNKNOWN).when(F.length(F.trim(value.cast("string"))) == 0, ABSENT).otherwise(one_line(value))
+    return F.when(value.isNull(), ABSENT if null_is_answer else UNKNOWN).when(F.length(F.btrim(value.cast("string"), F.lit(BLANKS))) == 0, ABSENT).otherwise(one_line(value))
 
 
 def seconds_to_ms(seconds: Column, end: bool = False) -> Column:
@@ -139,15 +140,19 @@ def grid_step(frames: DataFrame, keys: list[str], time: str = "timestamp") -> Da
     return gaps.groupBy(*keys).agg(F.coalesce(F.percentile(F.when(F.col("gap") > 0, F.col("gap")), F.lit(0.5)), F.lit(0.0)).alias("step"))
 
 
-def face_tracks(summaries: DataFrame, frames: DataFrame, keys: list[str]) -> DataFrame:
-    """Spans of face tracks, each one step of the frames longer than its last sample."""
-    rows = summaries.join(grid_step(frames, keys), keys, "left").withColumn("_end", F.col("last_timestamp") + F.coalesce("step", F.lit(0.0)))
+def face_tracks(summaries: DataFrame, frames: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Spans of face tracks, each one step of the frames longer than its last sample; without frames the step is zero."""
+    stepped = summaries.withColumn("step", F.lit(0.0)) if frames is None else summaries.join(grid_step(frames, keys), keys, "left")
+    rows = stepped.withColumn("_end", F.col("last_timestamp") + F.coalesce("step", F.lit(0.0)))
     text = F.concat(F.lit("track "), F.col("track_id").cast("string"), F.lit(" · "), F.col("active_frame_count").cast("string"), F.lit("/"), F.col("frame_count").cast("string"), F.lit(" act · mean "), shown_number(F.col("mean_score"), 3))
     return _tier(rows, keys, "track_id", "first_timestamp", "_end", text)
 
 
-def people(sightings: DataFrame, summaries: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs of sightings of a person with what the track table reports; people it lacks are unknown there."""
+def people(sightings: DataFrame, summaries: DataFrame, index: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Runs of sightings of a person with what the track table reports; people it lacks are unknown there. Without an index of
+    frames nothing is verified: every sighting stands alone, and says so."""
+    if index is None:
+        index = sightings.where("false").select(*keys, "frame_number", F.col("t").alias("pts"))
     found = tracks.sighting_runs(sightings, keys, index)
     total = F.sum("sightings").over(Window.partitionBy(*keys, "person_id"))
     known = summaries.select(*keys, "person_id", "mean_confidence", "frame_coverage", "longest_gap_seconds")
@@ -166,7 +171,7 @@ def people(sightings: DataFrame, summaries: DataFrame, index: DataFrame, keys: l
 
 def pose_presence(points: DataFrame, keys: list[str]) -> DataFrame:
     """Runs of instants with a key point of enough confidence, over the grid of all instants."""
-    grid = points.where("timestamp is not null").groupBy(*keys, "timestamp").agg(F.bool_or(F.coalesce(F.col("confidence") >= PRESENT, F.lit(False))).alias("_seen"))
+    grid = points.where("timestamp is not null").groupBy(*keys, "timestamp").agg(F.bool_or(F.coalesce(~F.isnan("confidence") & (F.col("confidence") >= PRESENT), F.lit(False))).alias("_seen"))
     return _blocks(runs.collapse_runs(grid, keys, "timestamp", F.col("_seen")).where("label"), keys, F.lit("body present"))
 
 
@@ -196,7 +201,7 @@ def formant_blocks(frames: DataFrame, keys: list[str], width: float = WINDOW_SEC
     return windowed(frames, keys, ["f1_hz", "f2_hz", "f3_hz"], lambda a, b, c: F.concat(F.lit("med "), formant_label(a, b, c)), width)
 
 
-#: Tiers in their order of export: the tables that each is built from, and its builder.
+#: Tiers in their order of export: the tables that each is built from, and its builder. A table in brackets may be absent.
 TIERS: dict[str, tuple[list[str], Callable[..., DataFrame]]] = {
     "words": (["speech_words"], words),
     "segments_src": (["speech_segments"], segments),
@@ -206,19 +211,35 @@ TIERS: dict[str, tuple[list[str], Callable[..., DataFrame]]] = {
     "fusion_pyannote": (["speaker_fusion_pyannote"], fusion),
     "fusion_nemotron": (["speaker_fusion_nemotron"], fusion),
     "asd_speaking": (["active_speaker_frames"], speaking),
-    "face_tracks": (["active_speaker_tracks", "active_speaker_frames"], face_tracks),
-    "person_tracks": (["person_frames", "person_tracks", "frame_index"], people),
+    "face_tracks": (["active_speaker_tracks", "[active_speaker_frames]"], face_tracks),
+    "person_tracks": (["person_frames", "person_tracks", "[frame_index]"], people),
     "pose_presence": (["pose_body"], pose_presence),
     "voiced_blocks": (["acoustic_frames"], voiced),
     "f0_blocks": (["acoustic_frames"], pitch_blocks),
     "intensity_blocks": (["acoustic_frames"], intensity_blocks),
     "formant_blocks": (["acoustic_frames"], formant_blocks),
 }
+#: The table of a tier itself, where it is not the first that it is built from.
+OWN_TABLE = {"person_tracks": "person_tracks"}
+
+
+def skipped(tables: dict[str, DataFrame]) -> dict[str, str]:
+    """Why a tier cannot be built: its own table was not produced, or one that it requires was not."""
+    out = {}
+    for name, (needed, _) in TIERS.items():
+        lost = [t for t in needed if not t.startswith("[") and t not in tables]
+        own = OWN_TABLE.get(name, needed[0])
+        if lost:
+            out[name] = f"{own} not produced" if own in lost else f"requires {lost[0]}"
+    return out
 
 
 def build(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """(tier, keys, row_id, start, end, text) of every tier whose tables are given."""
-    made = [make(*[tables[t] for t in needed], keys).select(F.lit(name).alias("tier"), "*") for name, (needed, make) in TIERS.items() if all(t in tables for t in needed)]
+    """(tier, keys, row_id, start, end, text) of every tier whose required tables are given; skipped() has the reasons of the others."""
+    gone = skipped(tables)
+    made = [make(*[tables.get(t.strip("[]")) for t in needed], keys).select(F.lit(name).alias("tier"), "*") for name, (needed, make) in TIERS.items() if name not in gone]
+    if not made:
+        raise ValueError(f"no tier can be built: {gone}")
     return reduce(DataFrame.unionByName, made)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronoloom.operators.running import running
 from chronoloom.operators.runs import smooth
 
 
@@ -78,29 +81,41 @@ def choose(found: dict[int, float], held: Held, margin: float, frames_needed: in
     return (best, None, 0) if wins >= frames_needed else (current, best, wins)
 
 
-def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, margin: float = 0.5, frames_needed: int = 3) -> DataFrame:
+def selection_islands(by_frame: DataFrame, keys: list[str], stretch: int = 4096) -> DataFrame:
+    """by_frame (keys, frame, scene, tracks) with island: the frame at which its run began. A run ends where the scene changes and
+    where nothing is scored; frames are numbered once in a key, and a stretch of them is what one window runs over."""
+    bucket, order = F.floor(F.col("frame") / stretch), ["frame", "scene"]
+    # A struct, so that a null scene is a scene too.
+    state = F.struct("scene", (F.size("tracks") > 0).alias("scored"))
+    seen = running(by_frame, keys, order, bucket, strict=True, _before=("last", state))
+    goes_on = F.col("_before.scored") & (F.size("tracks") > 0) & F.col("_before.scene").eqNullSafe(F.col("scene"))
+    fresh = F.when(~F.coalesce(goes_on, F.lit(False)), F.col("frame"))
+    return running(seen, keys, order, bucket, island=("max", fresh)).drop("_before")
+
+
+def stable_selection(candidates: DataFrame, keys: list[str], window: int = 5, margin: float = 0.5, frames_needed: int = 3, stretch: int = 4096) -> DataFrame:
     """(keys, scene, frame, track_id): the face that stays chosen until another leads by margin for frames_needed frames.
 
     The state starts anew with each scene and after each frame in which nothing is scored, which chooses none: its track is
-    null. keys name one recording: its frames, a few numbers each, are what a task holds.
+    null. The runs between are dealt out over tasks, which walk sorted frames one by one and hold the state of one run.
     """
     scored = smooth(candidates, [*keys, "scene", "track_id"], "frame", "score", window)
-    by_frame = scored.groupBy(*keys, "scene", "frame").agg(
-        F.sort_array(F.collect_list(F.when(F.col("smoothed").isNotNull(), F.struct("track_id", "smoothed")))).alias("seen")
-    )
-    rows = by_frame.select(*keys, "scene", "frame", F.transform("seen", lambda x: x["track_id"]).alias("tracks"), F.transform("seen", lambda x: x["smoothed"]).alias("scores"))
-
-    def walk(frames: pd.DataFrame) -> pd.DataFrame:
-        frames = frames.sort_values(["scene", "frame"])
-        held, out, before = (None, None, 0), [], None
-        for scene, tracks, scores in zip(frames["scene"], frames["tracks"], frames["scores"], strict=True):
-            if scene != before or not len(tracks):
-                held, before = (None, None, 0), scene
-            if len(tracks):
-                held = choose(dict(zip(tracks, scores, strict=True)), held, margin, frames_needed)
-            out.append(held[0])
-        return frames[[*keys, "scene", "frame"]].assign(track_id=pd.Series(out, index=frames.index, dtype=object))
+    seen = F.sort_array(F.collect_list(F.when(F.col("smoothed").isNotNull(), F.struct("track_id", "smoothed"))))
+    by_frame = scored.groupBy(*keys, "scene", "frame").agg(seen.alias("_seen"))
+    by_frame = by_frame.select(*keys, "scene", "frame", F.transform("_seen", lambda x: x["track_id"]).alias("tracks"), F.transform("_seen", lambda x: x["smoothed"]).alias("scores"))
+    rows = selection_islands(by_frame, keys, stretch)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Held = (None, None, 0)
+        for frames in batches:
+            out = []
+            for frame, island, tracks, scores in zip(frames["frame"], frames["island"], frames["tracks"], frames["scores"], strict=True):
+                held = (None, None, 0) if frame == island else held
+                held = choose(dict(zip(tracks, scores, strict=True)), held, margin, frames_needed) if len(tracks) else held
+                out.append(held[0])
+            yield frames[[*keys, "scene", "frame"]].assign(track_id=pd.Series(out, index=frames.index, dtype=object))
 
     kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*keys, "scene", "frame", "track_id"])
-    return rows.groupBy(*keys).applyInPandas(walk, schema)
+    runs = [*keys, "island"]
+    return rows.repartition(*runs).sortWithinPartitions(*runs, "frame").mapInPandas(walk, schema)

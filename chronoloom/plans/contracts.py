@@ -315,11 +315,10 @@ def model_resolution(spark, sf_dir):
 @register("answer_parsing", """SELECT conv_id, turn::VARCHAR AS id, CASE WHEN length(text) > 0 THEN 'en: ' || role END AS text FROM conversations""")
 def answer_parsing(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
-    # Answers as models write them: in a fence, under a key, nested or plain.
+    # Answers as models write them: in a fence, within words, nested or plain.
     own = F.when(F.col("role") == "user", F.to_json(F.create_map(F.col("turn").cast("string"), F.concat(F.lit("en: "), "role")))).otherwise(F.to_json(F.create_map(F.col("turn").cast("string"), F.struct(F.concat(F.lit("en: "), "role").alias("text")))))
-    said = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("```json\n"), own, F.lit("\n```"))).otherwise(F.concat(F.lit('Here: {"translations": '), own, F.lit("}")))
-    parsed = answers.translations(rows.withColumn("answer", said), ["conv_id"], "answer")
-    return parsed
+    said = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("```json\n"), own, F.lit("\n```"))).otherwise(F.concat(F.lit("Here: "), own, F.lit(" as asked.")))
+    return answers.translations(rows.withColumn("answer", said), ["conv_id"], "answer").drop("problem")
 
 
 @register(

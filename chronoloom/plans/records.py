@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from chronoloom.operators import alignment, clocks, consistency, stories
+from chronoloom.operators import alignment, clocks, consistency, folding, stories
 from chronoloom.plans.registry import register
 from chronoloom.sources.tables import EVENTS_SQL, events, table
 
@@ -87,10 +87,50 @@ def story_validation(spark, sf_dir):
     return stories.validate(answers, segments, ["conv_id"])
 
 
-@register("token_alignment")
+#: Edge marks as SQL text, and the folding that the given texts need: they hold no compatibility forms, and one letter that lower() leaves.
+_MARKS = "'" + "".join(c for c in folding.EDGE_MARKS if c not in "'\f\v") + "'' ' || chr(11) || chr(12)"
+_RAW = "trim(replace(lower(nfc_normalize({0})), 'ß', 'ss'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+
+@register(
+    "token_alignment",
+    f"""WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations),
+    wa AS (SELECT conv_id, turn, unnest(range(0, len(p))) AS i, unnest(p) AS word FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS p FROM t)),
+    ta AS (SELECT conv_id, turn, unnest(range(0, len(p))) AS j, unnest(p) AS token FROM (SELECT conv_id, turn, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}} \t\n\x0B\f\r]') AS p FROM t)),
+    w AS (SELECT *, {_RAW.format("word")} AS raw, trim({_RAW.format("word")}, {_MARKS}) AS core FROM wa),
+    k AS (SELECT *, {_RAW.format("token")} AS raw, trim({_RAW.format("token")}, {_MARKS}) AS core FROM ta),
+    lists AS (SELECT conv_id, turn, list(raw ORDER BY i) AS raws, list(core ORDER BY i) AS cores FROM w GROUP BY ALL),
+    hits AS (SELECT k.*, raws, cores FROM k JOIN lists USING (conv_id, turn)),
+    walk AS (
+      SELECT conv_id, turn, -1 AS j, 0 AS cursor, NULL::BIGINT AS last, NULL::BIGINT AS place, '' AS status, 0.0::DOUBLE AS sure FROM lists
+      UNION ALL
+      SELECT conv_id, turn, j, CASE WHEN off >= 0 THEN cursor + off + 1 ELSE cursor END, CASE WHEN off >= 0 THEN cursor + off ELSE last END,
+        CASE WHEN off >= 0 THEN cursor + off WHEN core = '' THEN coalesce(last, CASE WHEN cursor < len(raws) THEN cursor END) WHEN part THEN cursor END,
+        CASE WHEN off = 0 THEN 'aligned' WHEN off > 0 OR core = '' OR part THEN 'approximate' ELSE 'unmatched' END,
+        CASE WHEN off = 0 THEN 1.0 WHEN off > 0 AND core <> '' THEN greatest(0.3, 1.0 - 0.25 * off) WHEN off > 0 THEN 0.5 WHEN core = '' THEN 0.2 WHEN part THEN 0.3 ELSE 0.0 END
+      FROM (SELECT h.*, s.cursor, s.last, coalesce(contains(cores[s.cursor + 1], core) AND cores[s.cursor + 1] <> core AND core <> '', false) AS part,
+          coalesce(CASE WHEN core <> '' THEN list_position(cores[s.cursor + 1:s.cursor + 4], core) WHEN h.raw <> '' THEN list_position(raws[s.cursor + 1:s.cursor + 2], h.raw) END, 0) - 1 AS off
+        FROM walk s JOIN hits h ON h.conv_id = s.conv_id AND h.turn = s.turn AND h.j = s.j + 1)
+    )
+    SELECT conv_id, turn, ta.j::INT AS token_index, token, CASE WHEN place IS NOT NULL THEN round(place * 0.4::DOUBLE, 6) END AS token_start, CASE WHEN place IS NOT NULL THEN round(place * 0.4::DOUBLE + 0.3::DOUBLE, 6) END AS token_end,
+      CASE WHEN place IS NULL THEN 'unmatched' ELSE status END AS alignment_status, CASE WHEN place IS NULL THEN 0.0 ELSE sure END::DOUBLE AS alignment_confidence FROM walk JOIN ta USING (conv_id, turn, j)""",
+)
 def token_alignment(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     words = rows.select("conv_id", "turn", F.posexplode(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("word_index", "word"))
-    words = words.withColumns({"start": F.col("word_index") * 0.4, "end": F.col("word_index") * 0.4 + 0.3})
+    words = words.withColumns({"start": F.col("word_index") * F.lit(0.4), "end": F.col("word_index") * F.lit(0.4) + F.lit(0.3)})
     tokens = rows.select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"), F.lit(0))).alias("token_index", "token"))
     return alignment.align_tokens(tokens, words, ["conv_id", "turn"])
+
+
+@register(
+    "core_texts",
+    rf"""WITH w AS (SELECT unnest(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS word FROM documents), d AS (SELECT word, {_RAW.format("word")} AS raw_key FROM w)
+    SELECT raw_key, trim(raw_key, {_MARKS}) AS core, count(DISTINCT word) AS spellings, count(*) AS uses FROM d GROUP BY ALL""",
+)
+def core_texts(spark, sf_dir):
+    """Spellings of words that are compared as one."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word"))
+    # Each spelling is folded once, however often it is used.
+    spelt = words.groupBy("word").agg(F.count("*").alias("n")).withColumn("raw_key", folding.raw_key(F.col("word")))
+    return spelt.groupBy("raw_key", folding.core_of(F.col("raw_key")).alias("core")).agg(F.count("*").alias("spellings"), F.sum("n").alias("uses"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronoloom.operators import acoustic, fusion, intervals, pose, runs, tracks
+from chronoloom.operators import acoustic, canonical, fusion, intervals, pose, runs, tracks
 from chronoloom.plans.registry import register
 from chronoloom.sources.tables import EVENTS_SQL, events, spans, spans_sql, table
 
@@ -200,11 +200,47 @@ def score_smoothing(spark, sf_dir):
     return runs.smooth(candidates(events(spark, sf_dir)), ["video_id", "scene", "track_id"], "frame", "score")
 
 
-@register("stable_selection")
+#: Runs between changes of scene and frames without a score, walked frame by frame.
+SELECTION_SQL = f"""{CANDIDATES_SQL},
+    sm AS (SELECT *, CASE WHEN score IS NOT NULL THEN round(avg(score) OVER (PARTITION BY video_id, scene, track_id ORDER BY frame RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING), 6) END AS s FROM cand),
+    fr AS (SELECT video_id, frame, scene, count(s) AS n, first(track_id ORDER BY s DESC, track_id) FILTER (s IS NOT NULL) AS best, max(s) AS top FROM sm GROUP BY ALL),
+    br AS (SELECT *, CASE WHEN n > 0 AND lag(n) OVER w > 0 AND lag(scene) OVER w = scene THEN 0 ELSE 1 END AS fresh FROM fr WINDOW w AS (PARTITION BY video_id ORDER BY frame)),
+    isl AS (SELECT *, sum(fresh) OVER (PARTITION BY video_id ORDER BY frame) AS island FROM br),
+    num AS (SELECT *, row_number() OVER (PARTITION BY video_id, island ORDER BY frame) AS i FROM isl),
+    walk AS (
+      SELECT video_id, island, i, frame, scene, best AS chosen, NULL::BIGINT AS challenger, 0 AS wins FROM num WHERE i = 1
+      UNION ALL
+      SELECT video_id, island, i, frame, scene, CASE WHEN own IS NULL OR (beaten AND run >= 3) THEN best ELSE chosen END, CASE WHEN beaten AND run < 3 THEN best END, CASE WHEN beaten AND run < 3 THEN run ELSE 0 END
+      FROM (SELECT k.*, w.chosen, o.s AS own, o.s IS NOT NULL AND k.best <> w.chosen AND k.top >= o.s + 0.5 AS beaten, CASE WHEN w.challenger = k.best THEN w.wins + 1 ELSE 1 END AS run
+        FROM walk w JOIN num k ON k.video_id = w.video_id AND k.island = w.island AND k.i = w.i + 1
+        LEFT JOIN sm o ON o.video_id = k.video_id AND o.frame = k.frame AND o.scene = k.scene AND o.track_id = w.chosen AND o.s IS NOT NULL)
+    )"""
+
+
+@register("stable_selection", f"""WITH RECURSIVE {EVENTS_SQL}, {SELECTION_SQL} SELECT video_id, scene, frame, chosen AS track_id FROM walk""")
 def stable_selection(spark, sf_dir):
     return tracks.stable_selection(candidates(events(spark, sf_dir)), VIDEO)
 
 
+@register(
+    "active_speaker_rows",
+    f"""WITH RECURSIVE {EVENTS_SQL}, {SELECTION_SQL},
+    low AS (SELECT video_id, frame, min(track_id) AS lowest FROM sm GROUP BY ALL),
+    pick AS (SELECT w.video_id, w.frame, w.chosen, coalesce(w.chosen, lowest) AS track_id FROM walk w JOIN low USING (video_id, frame))
+    SELECT p.video_id, p.frame, round(p.frame / 25.0, 6) AS timestamp, p.track_id, CASE WHEN chosen IS NOT NULL THEN 'tracked' ELSE 'tracked_unscored' END AS face_status, CASE WHEN score IS NULL THEN 'unknown' ELSE 'scored' END AS frame_reason,
+      CASE WHEN s IS NOT NULL THEN round(score + 1e-9, 4) END AS talknet_score_raw, round(s + 1e-9, 4) AS talknet_score, coalesce(chosen IS NOT NULL AND s >= 0.8, false) AS is_active_speaker
+    FROM pick p JOIN sm ON sm.video_id = p.video_id AND sm.frame = p.frame AND sm.track_id = p.track_id""",
+)
+def active_speaker_rows(spark, sf_dir):
+    """The faces chosen, as the dense rows of a recording; frames that no face was looked for in are left to the grid."""
+    seen = runs.smooth(candidates(events(spark, sf_dir)), ["video_id", "scene", "track_id"], "frame", "score")
+    chosen = tracks.stable_selection(candidates(events(spark, sf_dir)), VIDEO)
+    reason = F.when(F.col("score").isNotNull(), "scored")
+    visible = seen.select("video_id", "frame", "track_id", *[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2")], F.col("score").alias("raw"), "smoothed", F.lit(False).alias("imputed"), reason.alias("reason"))
+    rows = canonical.frame_document(seen.select("video_id", "frame").distinct(), chosen, visible, VIDEO, 0.8)
+    return rows.select("video_id", "frame", "timestamp", "track_id", "face_status", "frame_reason", "talknet_score_raw", "talknet_score", "is_active_speaker")
+
+
 @register(
     "sighting_runs",
     f"""WITH {EVENTS_SQL}, idx AS (SELECT video_id, t AS pts, row_number() OVER (PARTITION BY video_id ORDER BY t) - 1 AS frame_number, user_id, event_type FROM ev),
