@@ -2,18 +2,21 @@
 
 A page is cut into blocks at block-level tags. Pass one decides each block on its own: blocks inside navigation, headers,
 footers, asides, forms or containers whose class, id or role names an advert, sidebar, notice or comments are
-boilerplate, as are blocks of mostly linked text; long blocks are main text if their share of stop words (or, inside an
-article element, their length alone) speaks for it, and boilerplate if the share is low. Short blocks stay ambiguous.
+boilerplate, as are blocks of mostly linked text (in an article only those in lists); long blocks are main text if their share
+of stop words, or inside an article element their length alone, speaks for it. The others stay ambiguous.
 A name alone never rejects a container with most of the page's dense prose or of its article text; words of readers,
 notices and teasers do while dense prose stands outside. A page whose long blocks hold no stop word goes by length and
 links. Names count where every part of one speaks for it: "share-buttons" does, "related-work" does not.
 Omitted end tags follow the rules of HTML trees: a head ends at what cannot stand in it, a paragraph at the next block, an
 item, cell or option at its like, a button or select at a block; an end tag closes nothing across a block or a table cell.
 Tags are read in one pass, in linear time whatever the markup: each open element's place is known by name.
-Pass two labels those from the nearest decided neighbours on each side: both main text, or inside an article, makes main
-text; headings look at what follows them.
+Pass two labels the ambiguous from the nearest neighbours that density decided, whatever containers say of others: inside an
+article they are main text; a heading goes by what follows; a short block by the nearest neighbour, main text in a tie; a long
+block with few stop words is main text if no neighbour is boilerplate. Where density decided nothing, what no container or
+link spoke against is main text.
 
-Defined results: null and empty html have the empty text; broken markup ends at the page's end; repeated rows repeat.
+Defined results: null and empty html have the empty text; broken markup ends at the page's end; repeated rows repeat; whole
+pages of any length are read; an empty table gives no rows; other columns, of whatever name, are not looked at.
 """
 
 from __future__ import annotations
@@ -30,10 +33,6 @@ from chronoloom.llm.common import slices, small_batches
 
 #: Characters of a short block and of a long one; share of stop words that speaks for and against; share of linked text.
 SHORT, LONG, STOP_HIGH, STOP_LOW, LINKED = 70, 200, 0.30, 0.12, 0.5
-#: Characters within which a heading looks ahead for main text.
-HEADING_REACH = 400
-#: Named containers around a block that are looked at.
-NESTED = 32
 
 #: Elements that begin and end a block.
 BLOCK_TAGS = frozenset(
@@ -62,22 +61,22 @@ PHRASE_ONLY = frozenset("button select svg math".split())
 SILENT_TAGS = frozenset("script style noscript template svg math iframe object canvas textarea select button head title audio video".split())
 #: Elements that hold boilerplate.
 CHROME_TAGS = frozenset("nav header footer aside form menu dialog".split())
-#: Words in class, id or role that mark boilerplate.
+#: Words in class, id or role that mark boilerplate.
 CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary contentinfo consent cookie cookies "
     "copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification popup promo "
     "promoted recommended related replies reply respond search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar widget widgets".split()
 )
-#: Words that make a name tell the state of a page, not what the element is.
+#: Words that make a name tell the state of a page, not what the element is.
 STATE_WORDS = frozenset("has no with without".split())
-#: Words that may stand beside those in a name.
+#: Words that may stand beside those in a name.
 NEUTRAL_WORDS = frozenset(
     "area article articles bar block blocks body bottom box btn button buttons col column container content desktop div element elements entries entry fixed footer form group head heading "
     "holder icon icons inner inline item items js layout left lg link links list lists main md message mobile module news outer page panel plugin post posts primary region right row secondary section "
     "site slot sm small sticky stories story text title top unit view wrap wrapper zone".split()
 )
-#: Words of containers that may hold more prose than the main text.
+#: Words of containers that may hold more prose than the main text.
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments consent cookie cookies copyright disclaimer disqus gdpr newsletter notice notices promo "
     "promoted recommended related replies reply respond shoutbox sponsor sponsored".split()
@@ -86,7 +85,7 @@ ASIDE_WORDS = frozenset(
 HEAD_TAGS = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: Elements that never have content.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Frequent words of English, French, German and Spanish.
+#: Frequent words of English, French, German and Spanish.
 STOP_WORDS = frozenset(
     "a an and are as at be been but by for from had has have he her his i in is it its no not of on one only or our she so that the their there they this to "
     "was we were what when which who will with would you au aux avec ce ces cette dans de des du elle en est et eux il je la le les leur lui ma mais me meme mes "
@@ -107,13 +106,13 @@ _WORD = re.compile(r"\w+")
 
 
 class Block:
-    """Text of one block and where it stands."""
+    """Text of one block and where it stands: its innermost named container, and that around its article; -1 for none."""
 
-    __slots__ = ("parts", "linked", "heading", "chrome", "article", "named", "held", "text", "label")
+    __slots__ = ("parts", "linked", "heading", "item", "chrome", "article", "named", "held", "text", "label")
 
-    def __init__(self, heading: bool, chrome: bool, article: bool, named: tuple[int, ...], held: tuple[int, ...]):
+    def __init__(self, heading: bool, item: bool, chrome: bool, article: bool, named: int, held: int):
         self.parts: list[str] = []
-        self.linked, self.heading, self.chrome, self.article = 0, heading, chrome, article
+        self.linked, self.heading, self.item, self.chrome, self.article = 0, heading, item, chrome, article
         self.named, self.held = named, held
         self.text, self.label = "", ""
 
@@ -140,7 +139,15 @@ def weight(text: str) -> int:
     return len(text) + 2 * sum(x >= "\u2e80" for x in text)
 
 
-def acquit(found: list[Block], containers: list[tuple[set[str], bool]]) -> None:
+class Container(NamedTuple):
+    """A container whose names speak against it; the one around it, which stands before it in the list, or -1."""
+
+    names: set[str]
+    article: bool
+    around: int
+
+
+def acquit(found: list[Block], containers: list[Container]) -> None:
     """Marks the blocks of named containers, except of those that hold the page's prose or its article."""
     if not containers:
         return
@@ -151,31 +158,35 @@ def acquit(found: list[Block], containers: list[tuple[set[str], bool]]) -> None:
         stops, words = stop_words(b.text)
         dense = len(b.text) if len(b.text) >= SHORT and stops >= STOP_LOW * words else 0
         prose += dense
-        for c in b.named:
-            inside[c] += dense
+        if b.named >= 0:
+            inside[b.named] += dense
         if b.article:
             told += len(b.text)
-            for c in b.held:
-                holds[c] += len(b.text)
-    guilty = set()
-    for c, (names, within) in enumerate(containers):
+            if b.held >= 0:
+                holds[b.held] += len(b.text)
+    # What a container holds counts for those around it, from the innermost on.
+    for c in range(len(containers) - 1, -1, -1):
+        if (around := containers[c].around) >= 0:
+            inside[around] += inside[c]
+            holds[around] += holds[c]
+    guilty = [False] * len(containers)
+    for c, (names, within, around) in enumerate(containers):
         # Beside an article only what holds it is the main text.
         most = 2 * inside[c] > prose if within or not told else 2 * holds[c] >= told
         outside = prose - inside[c]
-        if not most or (outside and names & ASIDE_WORDS):
-            guilty.add(c)
+        guilty[c] = not most or bool(outside and names & ASIDE_WORDS) or (around >= 0 and guilty[around])
     for b in found:
-        b.chrome = b.chrome or not guilty.isdisjoint(b.named)
+        b.chrome = b.chrome or (b.named >= 0 and guilty[b.named])
 
 
 class Open(NamedTuple):
-    """An open element: inside boilerplate, inside an article, named containers around it, those around the article."""
+    """An open element: inside boilerplate, inside an article, the innermost named container, that around the article."""
 
     tag: str
     chrome: bool = False
     article: bool = False
-    named: tuple[int, ...] = ()
-    held: tuple[int, ...] = ()
+    named: int = -1
+    held: int = -1
 
 
 class Tree:
@@ -183,7 +194,7 @@ class Tree:
 
     def __init__(self) -> None:
         self.found: list[Block] = []
-        self.containers: list[tuple[set[str], bool]] = []  # words, inside an article
+        self.containers: list[Container] = []
         self.stack = [Open("")]
         self.places: dict[str, list[int]] = {}  # tag -> places in the stack
         self.blocks: list[int] = []  # places of block elements
@@ -212,7 +223,7 @@ class Tree:
         if self.current is None:
             if text.isspace():
                 return
-            self.current = Block(any(map(self.places.get, HEADINGS)), *self.stack[-1][1:])
+            self.current = Block(any(map(self.places.get, HEADINGS)), bool(self.places.get("li")), *self.stack[-1][1:])
             self.found.append(self.current)
         text = entities.unescape(text)
         self.current.parts.append(text)
@@ -270,8 +281,8 @@ class Tree:
             # A header inside an article is its own heading, not the page's.
             names = chrome_words(attributes) - ({"header"} if inside else set())
             if names:
-                named = (*named, len(self.containers)) if len(named) < NESTED else named
-                self.containers.append((names, inside))
+                self.containers.append(Container(names, inside, named))
+                named = len(self.containers) - 1
         self.places.setdefault(tag, []).append(len(self.stack))
         if tag in BLOCK_TAGS:
             self.blocks.append(len(self.stack))
@@ -325,50 +336,58 @@ def blocks(page: str) -> list[Block]:
 
 
 def classify(found: list[Block]) -> None:
-    """Pass one: good, bad or short (ambiguous)."""
+    """Pass one: good, bad (by its container), linked, or ambiguous: short, or long with few stop words."""
     counts = [stop_words(b.text) for b in found]
     long = [n for b, (n, _) in zip(found, counts, strict=True) if not b.chrome and b.linked <= LINKED * len(b.text) and weight(b.text) >= LONG]
     unknown = bool(long) and not any(long)
     for b, (n, words) in zip(found, counts, strict=True):
         stops = n / max(1, words)
-        if b.chrome or b.linked > LINKED * len(b.text):
+        if b.chrome:
             b.label = "bad"
+        elif b.linked > LINKED * len(b.text):
+            b.label = "short" if b.article and not b.item else "linked"
         elif unknown and not b.heading:
             b.label = "good" if weight(b.text) >= LONG else "short"
         elif len(b.text) < SHORT or b.heading:
             b.label = "short"
         elif stops >= STOP_HIGH or (stops >= STOP_LOW and len(b.text) >= LONG) or (b.article and len(b.text) >= LONG):
             b.label = "good"
-        elif stops < STOP_LOW and not b.article:
-            b.label = "bad"
         else:
-            b.label = "short"
+            b.label = "short" if stops >= STOP_LOW or b.article else "few"
+
+
+def neighbours(found: list[Block]) -> list[tuple[str | None, int]]:
+    """For each block the nearest label before it that density decided, and the characters between."""
+    out, last, between = [], None, 0
+    for b in found:
+        out.append((last, between))
+        if b.label in ("good", "linked"):
+            last, between = b.label, 0
+        else:
+            between += len(b.text)
+    return out
 
 
 def inherit(found: list[Block]) -> None:
     """Pass two: ambiguous blocks take the label of their nearest decided neighbours."""
-    decided = [b.label if b.label != "short" else None for b in found]
-    before, after = [None] * len(found), [None] * len(found)
-    last = None
-    for i, label in enumerate(decided):
-        before[i] = last
-        last = label or last
-    last, reach = None, 0
-    ahead = [0] * len(found)
-    for i in range(len(found) - 1, -1, -1):
-        after[i], ahead[i] = last, reach
-        reach = 0 if decided[i] else reach + len(found[i].text)
-        last = decided[i] or last
-    for i, b in enumerate(found):
-        if decided[i] is not None:
-            continue
-        if b.article:
+    sides = zip(neighbours(found), neighbours(found[::-1])[::-1], strict=True)
+    labels = []
+    for b, ((before, back), (after, ahead)) in zip(found, sides, strict=True):
+        if b.label not in ("short", "few"):
+            labels.append(b.label)
+        elif b.article:
             # Within an article only boilerplate that pass one decided is left out.
-            b.label = "good"
+            labels.append("good")
         elif b.heading:
-            b.label = "good" if after[i] == "good" and ahead[i] <= HEADING_REACH else "bad"
+            labels.append(after or before or "good")
+        elif b.label == "few":
+            labels.append("linked" if "linked" in (before, after) else "good")
+        elif None in (before, after) or before == after:
+            labels.append(before or after or "good")
         else:
-            b.label = "good" if before[i] == after[i] == "good" else "bad"
+            labels.append(before if (back, before != "good") < (ahead, after != "good") else after)
+    for b, label in zip(found, labels, strict=True):
+        b.label = label
 
 
 def main_text(page: str | None) -> str:
