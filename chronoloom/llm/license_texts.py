@@ -55,6 +55,17 @@ WARRANTY = (
     "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} for more details."
 )
 
+CC0 = "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."
+CC0_SOFTWARE = "the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"
+EPL = "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+#: Ways of naming a license in a sentence; a name and the words around it must come to five words, so the shortest names need the longest.
+SAID = ["distributed under the {} license", "released under the {} license", "licensed under the {} license", "available under the {} license", "is under the {} license", "under the terms of the {} license"]
+NAMES = [("Apache-2.0", "Apache 2.0"), ("BSD-2-Clause", "BSD 2-Clause"), ("BSD-3-Clause", "BSD 3-Clause"), ("ISC", "ISC"), ("MIT", "MIT"), ("Zlib", "zlib")]
+#: Identifiers of at least three words, which with the tag come to six; those of one or two words have no shingle.
+SPDX = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "MPL-2.0", "EPL-2.0", *[f"{k}-{v}" for k, v, _ in VERSIONS], *[f"CC-BY{k}-4.0" for k, _ in CC]]
+#: Years in which a license may have been claimed.
+YEARS = range(1990, 2041)
+
 #: (license, text): every text is looked for on its own.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -83,6 +94,17 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *[(name, form.format(said)) for name, said in NAMES for form in SAID],
+    *[(name, f"SPDX-License-Identifier: {name}") for name in SPDX],
+    *[(f"{k}-{v}", f"SPDX-License-Identifier: {k}-{v}-{way}") for k, v, _ in VERSIONS for way in ("only", "or-later")],
+    *[(f"CC-BY{k}-3.0", f"This work is licensed under a Creative Commons {name} 3.0 Unported License.") for k, name in CC],
+    *[("MIT", f"MIT License Copyright (c) {year}") for year in YEARS],
+    ("MIT", "The MIT License (MIT) Copyright (c)"),
+    ("CC0-1.0", CC0),
+    ("CC0-1.0", CC0_SOFTWARE),
+    ("CC0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication"),
+    ("EPL-2.0", f"{EPL} 2.0"),
+    ("EPL-2.0", f"{EPL} v2.0"),
     ("Unlicense", UNLICENSE),
     ("Zlib", ZLIB),
 ]

@@ -8,7 +8,7 @@ similarity is missed with probability (1 - 0.47 ** 2) ** 40 < 5e-5, and one that
 (1 - 0.67 ** 2) ** 40 < 1e-10. Only windows with a shingle of some template of their length get a signature: others agree
 with none in any band, so this loses nothing. Pairs that meet are verified on the shingles themselves: at least 0.8 of
 the template's must be in the window, and so must the words that tell its kind and version from others; clauses that
-come later decide between BSD licenses.
+come later, up to where the same notice begins again or the text ends, decide between BSD licenses.
 
 Only built-in functions. A text's windows never leave its row until a template is met; the templates are a parameter of
 the operator, bounded by MAX_TEMPLATES, and only their bands are broadcast.
@@ -21,6 +21,7 @@ reported together; other columns are left out.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,28 +31,37 @@ from chronoloom.llm.license_texts import BSD, TEMPLATES
 
 SHINGLE, LEAST, BANDS, ROWS, MAX_TEMPLATES = 5, 0.8, 40, 2, 1000
 
-#: Words after a window in which the clauses of its license are looked for.
-REACH = 250
-
 
 def clauses(license: str, body: str) -> tuple[list[str], list[str], list[str]]:
     """What tells a template from its neighbours: phrases that must be in the window, that must follow it, and that must not."""
     plain = " ".join(re.findall(r"\w+", body.lower()))
-    if license == "BSD-2-Clause" and body != BSD:
+    if license == "BSD-2-Clause" and body != BSD and body.startswith(BSD):
         return [], [], ["neither the name"]
-    if license == "BSD-3-Clause" and body != BSD:
+    if license == "BSD-3-Clause" and body != BSD and body.startswith(BSD):
         return ["neither the name"], [], []
     if body == BSD:
         holders = "provided by the copyright holders"
         return {"BSD": ([], [], [holders, "neither the name"]), "BSD-2-Clause": ([], [holders], ["neither the name"]), "BSD-3-Clause": ([], ["neither the name"], [])}[license]
     # What the template says of kind and version, word for word.
-    said = re.findall(r"gnu (?:lesser |affero )?general public license|(?:version|v) \d\b(?: \d\b)?|creative commons attribution(?: \w+)*? 4 0|cc by(?: \w\w)* 4 0", plain)
+    said = re.findall(r"gnu (?:lesser |affero )?general public license|(?:version|v) \d\b(?: \d\b)?|creative commons attribution(?: \w+)*? [34] 0|cc by(?: \w\w)* [34] 0", plain)
     if license == "GPL-3.0" and "version" not in plain:
         return said, [], ["version 2 of the license"]
     # A version of one number is not the start of a longer one.
     return said, [], ["version 2 1"] if license == "GPL-2.0" else []
 
 
+def first_words(body: str) -> str:
+    """The words by which a notice is known to begin again."""
+    return " ".join(re.findall(r"[^\W_]+", body.lower())[:SHINGLE])
+
+
+def places(found: Column, phrase: str) -> Column:
+    """Every place at which a phrase begins among words."""
+    own = phrase.split()
+    hits = lambda i: reduce(Column.__and__, [F.get(found, i + k) == x for k, x in enumerate(own)])
+    return F.filter(F.sequence(F.lit(0), F.size(found)), lambda i: F.coalesce(hits(i), F.lit(False)))
+
+
 def license_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
@@ -77,19 +87,28 @@ def band_keys(hashes: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(band), *[least(band * ROWS + k) for k in range(ROWS)]) for band in range(BANDS)])
 
 
+def far_phrases(templates: list[tuple[str, str]]) -> list[str]:
+    """Phrases whose places in a text decide between templates: later clauses, and the beginnings of what has such."""
+    out = [x for name, body in templates for _, after, never in [clauses(name, body)] if after or never for x in [first_words(body), *after, *never]]
+    return list(dict.fromkeys(out))
+
+
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """(template, license, hashes, shingles, length), of templates that have a shingle."""
+    """(template, license, within, head, after, never, hashes, shingles, length), of templates that have a shingle; head, after and
+    never count the phrases of far_phrases."""
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
+    number = {x: i for i, x in enumerate(far_phrases(templates))}
 
     def phrases(name: str, body: str) -> list[Column]:
-        parts = zip(("within", "after", "never"), clauses(name, body), strict=True)
-        return [F.array(*[F.lit(f" {x} ") for x in found]).cast("array<string>").alias(label) for label, found in parts]
+        within, after, never = clauses(name, body)
+        far = [F.array(*[F.lit(number[x]) for x in found]).cast("array<int>").alias(label) for label, found in (("after", after), ("never", never))]
+        return [F.array(*[F.lit(f" {x} ") for x in within]).cast("array<string>").alias("within"), F.lit(number.get(first_words(body))).cast("int").alias("head"), *far]
 
     listed = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(body).alias("body"), *phrases(name, body)) for i, (name, body) in enumerate(templates)]
-    listed = F.array(*listed) if listed else F.array().cast("array<struct<template:int,license:string,body:string,within:array<string>,after:array<string>,never:array<string>>>")
+    listed = F.array(*listed) if listed else F.array().cast("array<struct<template:int,license:string,body:string,within:array<string>,head:int,after:array<int>,never:array<int>>>")
     rows = spark.range(1).select(F.inline(listed)).withColumn("w", license_words(F.col("body")))
-    rows = rows.select("template", "license", "within", "after", "never", shingle_hashes(F.col("w")).alias("hashes"), shingles(F.col("w")).alias("shingles"))
+    rows = rows.select("template", "license", "within", "head", "after", "never", shingle_hashes(F.col("w")).alias("hashes"), shingles(F.col("w")).alias("shingles"))
     return rows.withColumn("length", F.size("shingles")).where("length > 0")
 
 
@@ -115,18 +134,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         return F.filter(cut, lambda x: F.arrays_overlap(x["hashes"], any_of(held[length])))
 
     spans = F.concat(*[windows(n) for n in sorted(held)]) if held else F.array().cast("array<struct<length:int,first_word:int,hashes:array<bigint>>>")
-    cut = rows.select(id_col, "_w", F.explode_outer(spans).alias("x")).where("x is not null")
+    far = F.array(*[places(F.col("_w"), x) for x in far_phrases(templates)]).cast("array<array<int>>")
+    rows = once(rows.select(id_col, "_w", "_h"), _far=far)
+    cut = rows.select(id_col, "_w", "_far", F.explode_outer(spans).alias("x")).where("x is not null")
     span = F.slice("_w", F.col("x.first_word") + 1, F.size("x.hashes") + SHINGLE - 1)
-    after = F.slice("_w", F.col("x.first_word") + 1, F.size("x.hashes") + SHINGLE - 1 + REACH)
-    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), after.alias("_after")), bands=band_keys(F.col("hashes")))
+    cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), "_far"), bands=band_keys(F.col("hashes")))
     # At most MAX_TEMPLATES rows of BANDS keys.
-    sketches = F.broadcast(known.select("length", "template", "license", "within", "after", "never", "shingles", band_keys(F.col("hashes")).alias("sketch")))
+    sketches = F.broadcast(known.select("length", "template", "license", "within", "head", "after", "never", "shingles", band_keys(F.col("hashes")).alias("sketch")))
     met = cut.join(sketches, "length").where(F.arrays_overlap("bands", "sketch"))
     share = let(shingles(F.col("span")), lambda s: F.size(F.array_intersect(s, F.col("shingles"))) / F.size(F.col("shingles")))
     verified = once(met, containment=share).where(F.col("containment") >= least)
-    near, far = (F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" ")) for x in ("span", "_after"))
-    verified = once(verified, _near=near, _far=far)
-    verified = verified.where(F.forall("within", lambda x: F.col("_near").contains(x)) & F.forall("after", lambda x: F.col("_far").contains(x)) & ~F.exists("never", lambda x: F.col("_far").contains(x)))
+    again = F.array_min(F.filter(F.get("_far", F.col("head")), lambda x: x >= F.col("first_word") + F.size("hashes")))
+    verified = once(verified, _near=F.concat(F.lit(" "), F.array_join("span", " "), F.lit(" ")), _until=F.coalesce(again, F.lit(2**31 - 1)))
+    follows = lambda n: F.exists(F.get("_far", n), lambda x: (x >= F.col("first_word")) & (x < F.col("_until")))
+    verified = verified.where(F.forall("within", lambda x: F.col("_near").contains(x)) & F.forall("after", follows) & ~F.exists("never", follows))
     return verified.groupBy(id_col, "license").agg(
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("first_word").cast("bigint").alias("first_word")
     )

@@ -358,8 +358,13 @@ def test_license_bodies_against_all_windows(spark):
             width = len(wanted) + -(-len(wanted) // 2)
             for start in range(0, max(1, len(have)), max(1, len(wanted) // 2)):
                 near = f" {' '.join(words[start : start + width + 4])} "
-                far = f" {' '.join(words[start : start + min(width, len(have) - start) + 4 + licenses.REACH])} "
-                if len(wanted & set(have[start : start + width])) >= 0.8 * len(wanted) and all(f" {x} " in near for x in within) and all(f" {x} " in far for x in after) and not any(f" {x} " in far for x in never):
+                if len(wanted & set(have[start : start + width])) < 0.8 * len(wanted):
+                    continue
+                # Later clauses are looked for up to where the notice begins again.
+                begins = [k for k in range(start + min(width, len(have) - start), len(words)) if words[k : k + 5] == plain(body)[:5]]
+                stop = begins[0] if begins else len(words)
+                follows = lambda x, at=start, stop=stop: any(words[k : k + len(x.split())] == x.split() for k in range(at, stop))
+                if all(f" {x} " in near for x in within) and all(map(follows, after)) and not any(map(follows, never)):
                     expected.add((i, name))
     got = {(r["doc_id"], r["license"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == expected and {i for i, _ in got} >= set(range(len(license_texts.TEMPLATES))) - {4, 5, 6} and (900, "MIT") in got
@@ -477,6 +482,16 @@ def test_licenses_are_told_apart(spark):
         ("Licensed under the MIT License.", {"MIT"}),
         (bsd + holders, {"BSD-2-Clause"}),
         (bsd + "Neither the name of the holder may be used. " + holders, {"BSD-3-Clause"}),
+        # However far the clause is; another notice's clause does not count.
+        (bsd + "much more to say " * 500 + "Neither the name of the holder may be used. " + holders, {"BSD-3-Clause"}),
+        (bsd + holders + " and so on " * 90 + bsd + "Neither the name of the holder may be used. " + holders, {"BSD-2-Clause", "BSD-3-Clause"}),
+        ("distributed under the MIT license", {"MIT"}),
+        ("MIT License Copyright (c) 2020 Somebody", {"MIT"}),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", {"CC-BY-3.0"}),
+        ("SPDX-License-Identifier: Apache-2.0", {"Apache-2.0"}),
+        ("SPDX-License-Identifier: GPL-3.0-only", {"GPL-3.0"}),
+        ("SPDX-License-Identifier: LGPL-2.1-or-later", {"LGPL-2.1"}),
+        ("CC0 1.0 Universal (CC0 1.0) Public Domain Dedication", {"CC0-1.0"}),
     ]
     frame = spark.createDataFrame([(i, "filler words come first here " + t + " and more after it") for i, (t, _) in enumerate(cases)], "doc_id long, text string")
     got = collections.defaultdict(set)
