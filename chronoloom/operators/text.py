@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def piece_ends(pieces: Column) -> Column:
+    """Where each piece of an array of texts ends in the whole, in characters: a running sum within the row, in Arrow."""
+
+    @F.arrow_udf("array<int>")
+    def run(lists: pa.Array) -> pa.Array:
+        bounds = np.asarray(lists.offsets).astype(np.int64)
+        sizes = np.asarray(pc.utf8_length(lists.flatten()).fill_null(0)).astype(np.int64)
+        sums = np.concatenate([[0], np.cumsum(sizes)])
+        first = bounds - bounds[0]
+        ends = sums[1:] - np.repeat(sums[first[:-1]], np.diff(bounds))
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ends, pa.int32()))
+
+    return run(pieces)
+
+
 def fallback_words(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id_col, word_id, word, character_start, character_end): one row for each run without blanks, by its segment's id."""
-    # A running sum over the text's pieces, words and blanks in turn, is linear in its length.
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    pieces = F.regexp_extract_all(text, F.lit(r"[^ \t\n\r]+|[ \t\n\r]+"), F.lit(0))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id()).select(id_col, "_row", F.posexplode(pieces).alias("i", "word"))
-    rows = rows.withColumn("_end", F.sum(F.length("word")).over(Window.partitionBy("_row").orderBy("i"))).where(~F.col("word").rlike(r"^[ \t\n\r]"))
-    return rows.select(id_col, F.format_string("%s-w%05d", F.col(id_col).cast("string"), F.expr("i div 2 + 1")).alias("word_id"), "word", (F.col("_end") - F.length("word")).cast("int").alias("character_start"), F.col("_end").cast("int").alias("character_end"))
+    # Words and blanks in turn; their lengths add up to places without leaving the row.
+    pieces = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^ \t\n\r]+|[ \t\n\r]+"), F.lit(0))
+    cut = rows.select(F.col(id_col), pieces.alias("_pieces")).withColumn("_ends", piece_ends(F.col("_pieces")))
+    cut = cut.select(id_col, F.posexplode(F.arrays_zip(F.col("_pieces").alias("word"), F.col("_ends").alias("end"))).alias("i", "x")).select(id_col, "i", "x.word", "x.end")
+    cut = cut.where(~F.col("word").rlike(r"^[ \t\n\r]"))
+    return cut.select(id_col, F.format_string("%s-w%05d", F.col(id_col).cast("string"), F.expr("i div 2 + 1")).alias("word_id"), "word", (F.col("end") - F.length("word")).cast("int").alias("character_start"), F.col("end").alias("character_end"))
 
 
 def token_rows(rows: DataFrame, id_col: str, text_col: str, longest: int = 100_000) -> DataFrame:
@@ -22,12 +40,12 @@ def token_rows(rows: DataFrame, id_col: str, text_col: str, longest: int = 100_0
     parts = F.split(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"([.!?\u3002\uFF01\uFF1F])[ \t\n\r]+", "$1\u0001"), "\u0001")
     chunk = lambda x: F.transform(F.sequence(F.lit(0), F.greatest(F.length(x) - 1, F.lit(0)), F.lit(longest)), lambda at: F.substring(x, at + 1, F.lit(longest)))
     pieces = F.filter(F.flatten(F.transform(parts, chunk)), lambda x: F.length(x) > 0)
-    cut = rows.withColumn("_row", F.monotonically_increasing_id()).select(id_col, "_row", F.posexplode(pieces).alias("_s", "_sentence"))
+    cut = rows.select(id_col, F.posexplode(pieces).alias("_s", "_sentence"))
     # Each token with the blanks before it, so that lengths add up to places.
     found = F.regexp_extract_all("_sentence", F.lit(r"[ \t\n\r]*(?:[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r])"), F.lit(0))
-    tokens = cut.select(id_col, "_row", "_s", F.posexplode(found).alias("_t", "_piece"))
-    end = F.sum(F.length("_piece")).over(Window.partitionBy("_row", "_s").orderBy("_t"))
-    tokens = tokens.withColumns({"end": end.cast("int"), "token": F.regexp_replace("_piece", r"^[ \t\n\r]+", "")})
+    tokens = cut.select(id_col, "_s", found.alias("_pieces")).withColumn("_ends", piece_ends(F.col("_pieces")))
+    tokens = tokens.select(id_col, "_s", F.posexplode(F.arrays_zip(F.col("_pieces").alias("p"), F.col("_ends").alias("e"))).alias("_t", "_x"))
+    tokens = tokens.withColumns({"end": F.col("_x.e"), "token": F.regexp_replace("_x.p", r"^[ \t\n\r]+", "")})
     sentence = F.format_string("%s-s%03d", F.col(id_col).cast("string"), F.col("_s") + 1)
     return tokens.select(
         id_col, sentence.alias("sentence_id"), F.concat(sentence, F.format_string("-t%04d", F.col("_t") + 1)).alias("token_id"), "token", (F.col("end") - F.length("token")).alias("start"), "end",

@@ -24,18 +24,23 @@ def face_tracks(frames: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def person_tracks(sightings: DataFrame, keys: list[str], frames_measured: DataFrame) -> DataFrame:
-    """Span, coverage of the frames measured, longest gap and order of appearance of each person."""
+    """Span, coverage of the frames measured, longest gap and order of appearance of each person; with boxes (x1, y1, x2, y2) their
+    mean and largest area."""
+    boxed = {"x1", "y1", "x2", "y2"} <= set(sightings.columns)
+    area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) if boxed else None
+    areas = [F.round(F.avg(area), 2).alias("mean_bbox_area"), F.round(F.max(area), 2).alias("max_bbox_area")] if boxed else []
     w = Window.partitionBy(*keys, "person_id").orderBy("t")
     gaps = sightings.withColumn("gap", F.col("t") - F.lag("t").over(w))
     people = gaps.groupBy(*keys, "person_id").agg(
         F.min("t").alias("first_timestamp"), F.max("t").alias("last_timestamp"), F.count("*").alias("frame_count"), F.round(F.coalesce(F.max("gap"), F.lit(0.0)), 6).alias("longest_gap_seconds"),
-        F.round(F.avg("confidence"), 6).alias("mean_confidence"), F.round(F.max("confidence"), 6).alias("max_confidence"),
+        F.round(F.avg("confidence"), 6).alias("mean_confidence"), F.round(F.max("confidence"), 6).alias("max_confidence"), *areas,
     )
     order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("first_timestamp"), "person_id")
     people = people.join(frames_measured, keys).withColumn("appearance_order", F.row_number().over(order) - 1)
     return people.select(
         *keys, "person_id", "first_timestamp", "last_timestamp", F.round(F.col("last_timestamp") - F.col("first_timestamp"), 6).alias("duration_seconds"), "frame_count",
         F.round(F.col("frame_count") / F.col("frames_measured"), 6).alias("frame_coverage"), "longest_gap_seconds", "mean_confidence", "max_confidence", F.col("appearance_order").cast("bigint").alias("appearance_order"),
+        *(["mean_bbox_area", "max_bbox_area"] if boxed else []),
     )
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FILE = "_metadata.file_name AS file"
+#: Tags of a container that are kept.
+KEPT_TAGS = "creation_time encoder major_brand minor_version compatible_brands title comment date time".split()
 #: Positions that a score array may lack at its end and still lend its last score.
 TAIL = 2
 
@@ -108,7 +110,7 @@ def _ratio(text: Column) -> Column:
 def media_metadata(spark: SparkSession, path: str) -> DataFrame:
     """One row a probe document: container, duration, codecs, sizes, rates and the frame count, measured or from duration and mean rate."""
     stream = "codec_type: string, codec_name: string, pix_fmt: string, width: int, height: int, r_frame_rate: string, avg_frame_rate: string, nb_frames: string, duration: string, time_base: string, sample_rate: string, channels: string"
-    docs = _json(spark, path, f"format struct<format_name: string, format_long_name: string, duration: string>, streams array<struct<{stream}>>").where("_bad is null")
+    docs = _json(spark, path, f"format struct<format_name: string, format_long_name: string, duration: string, tags: map<string,string>>, streams array<struct<{stream}>>").where("_bad is null")
 
     def first(kind: str) -> Column:
         """Of several streams the one with a width and a height, then the last."""
@@ -124,6 +126,7 @@ def media_metadata(spark: SparkSession, path: str) -> DataFrame:
         "file", F.col("format.format_name").alias("container"), duration.alias("duration_seconds"), F.col("v.codec_name").alias("video_codec"), F.col("v.pix_fmt").alias("pixel_format"), "v.width", "v.height",
         rate.alias("frame_rate"), mean.alias("average_frame_rate"), frames.alias("frame_count"), F.col("v.time_base").alias("time_base"), F.col("a.codec_name").alias("audio_codec"),
         F.col("a.sample_rate").try_cast("bigint").alias("audio_sample_rate"), F.col("a.channels").try_cast("bigint").alias("audio_channels"), "streams_present",
+        F.map_filter(F.coalesce("format.tags", F.create_map().cast("map<string,string>")), lambda k, v: F.lower(k).isin(*KEPT_TAGS)).alias("tags"),
     )
 
 
