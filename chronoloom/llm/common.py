@@ -45,6 +45,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return materialize_at(df, label)[0]
 
 
+#: Rows of a narrow table in one file, and files at least.
+NARROW_ROWS, NARROW_FILES = 500_000, 16
+
+
+def narrow(df: DataFrame, rows: int) -> DataFrame:
+    """A table of a few numbers a row, of at most so many rows, in few partitions: else each of many shuffle partitions would write a
+    file of a few kilobytes in every round. A large table keeps its partitions."""
+    return df.coalesce(max(NARROW_FILES, -(-rows // NARROW_ROWS)))
+
+
 def shared_fs(path: str) -> tuple[pa.fs.FileSystem, str]:
     """File system and path for reads and writes inside tasks: any scheme that Arrow knows, local paths without one."""
     return pa.fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else path.replace("file:", "file://", 1))

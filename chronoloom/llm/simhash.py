@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.common import integer_ids, materialize, slices, small_batches
+from chronoloom.llm.common import integer_ids, materialize, narrow, slices, small_batches
 
 SEED, SHINGLE, DISTANCE = 42, 3, 3
 #: Lowest bit and width of each of the six blocks.
@@ -148,6 +148,7 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the smallest one seen until the links are stars. Every step is an aggregation by key, combined before its shuffle, and
     a join; each round is written, so lineage stays short.
     """
+    rows = edges.count()  # a round never adds links
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -155,7 +156,7 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
+        edges = materialize(narrow(small.select("e.u", "e.v").where("u <> v").distinct(), 2 * rows), "links")
         if is_settled(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     raise RuntimeError(f"links still changed after {max_rounds} rounds")
