@@ -11,9 +11,9 @@ Omitted end tags follow the rules of HTML trees: a head ends at what cannot stan
 item, cell or option at its like, a button or select at a block; an end tag closes nothing across a block or a table cell.
 Tags are read in one pass, in linear time whatever the markup: each open element's place is known by name.
 Pass two labels the ambiguous from the nearest neighbours that density decided, whatever containers say of others: inside an
-article they are main text; a heading goes by what follows; a short block by the nearest neighbour, main text in a tie; a long
-block with few stop words is main text if no neighbour is boilerplate. Where density decided nothing, what no container or
-link spoke against is main text.
+article they are main text; a heading goes by what follows; a short block by the nearest neighbour, main text in a tie, but
+before the first and behind the last of them only what ends like a sentence; a long block with few stop words is main text
+if no neighbour is boilerplate. Where density decided nothing, what no container or link spoke against is main text.
 
 Defined results: null and empty html have the empty text; broken markup ends at the page's end; repeated rows repeat; whole
 pages of any length are read; an empty table gives no rows; other columns, of whatever name, are not looked at.
@@ -34,6 +34,9 @@ from chronoloom.llm.common import slices, small_batches
 #: Characters of a short block and of a long one; share of stop words that speaks for and against; share of linked text.
 SHORT, LONG, STOP_HIGH, STOP_LOW, LINKED = 70, 200, 0.30, 0.12, 0.5
 
+#: Marks that end a sentence, and those that may follow them.
+CLOSING, QUOTES = (".", "!", "?", ":", ";", "\u2026", "\u3002", "\uff01", "\uff1f"), "\"')]\u00bb\u201d\u2019"
+
 #: Elements that begin and end a block.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
@@ -382,8 +385,10 @@ def inherit(found: list[Block]) -> None:
             labels.append(after or before or "good")
         elif b.label == "few":
             labels.append("linked" if "linked" in (before, after) else "good")
-        elif None in (before, after) or before == after:
-            labels.append(before or after or "good")
+        elif before == after:
+            labels.append(before or "good")
+        elif None in (before, after):
+            labels.append(before or after if b.text.rstrip(QUOTES).endswith(CLOSING) else "linked")
         else:
             labels.append(before if (back, before != "good") < (ahead, after != "good") else after)
     for b, label in zip(found, labels, strict=True):

@@ -101,7 +101,7 @@ def test_generated_pages_with_paragraphs_of_any_length():
     common = "the of and in to was is for that with are on".split()
     prose = lambda n: " ".join(str(rng.choice(common)) if rng.random() < 0.5 else f"w{rng.integers(300)}" for _ in range(n))
     for _ in range(60):
-        said = [prose(int(rng.integers(1, 11) if rng.random() < 0.5 else rng.integers(40, 90))) for _ in range(rng.integers(1, 9))]
+        said = [prose(int(rng.integers(1, 11) if rng.random() < 0.5 else rng.integers(40, 90))) + "." for _ in range(rng.integers(1, 9))]
         wraps = int(rng.integers(0, 41))
         body = "".join(f"<div class='content c{i}'>" for i in range(wraps)) + "".join(f"<p>{x}</p>" for x in said) + "</div>" * wraps
         page = f"<body><nav><ul><li><a href=/>{prose(2)}</a></ul></nav>{body}<aside>{prose(20)}</aside><footer>{prose(9)}</footer>"
