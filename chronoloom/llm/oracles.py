@@ -70,3 +70,36 @@ ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r F
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= (SELECT count(*) FROM ranked) * 10 // 100 THEN r END AS rank
 FROM scores LEFT JOIN ranked USING (doc_id)
 """
+
+#: Bare base32 of a SHA-1 in hexadecimal digits h: five digits make four letters.
+_BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '')"
+
+OP4 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM p
+"""
+
+
+def _count(pattern: str) -> str:
+    return f"len(regexp_extract_all(t, '{pattern}'))"
+
+
+_UPPER, _LETTER, _LETTERED, _SYMBOL = r"\p{Lu}", r"\p{L}", r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*", "[#*$%&|<>]"
+_UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}]"
+
+OP7 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, s) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY rid),
+c AS (
+  SELECT doc_id, t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {_count(_SYMBOL)} AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (rid)
+),
+b AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND word_chars >= 2 * n_words AND word_chars - CASE WHEN word_chars > 12 * n_words THEN {_count(_UNSPACED)} ELSE 0 END <= 12 * n_words AND 10 * n_symbols <= n_words AND 2 * n_dup_lines <= len(lines)
+    AND 2 * {_count(_UPPER)} <= {_count(_LETTER)} AND 2 * {_count(_LETTERED)} >= n_words AS kept
+FROM b
+"""

@@ -112,4 +112,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_prefix_trie": oracles.OP12, "op13_importance": oracles.OP13}
+    return {"op4_warc_index": oracles.OP4, "op7_quality_rules": oracles.OP7, "op12_prefix_trie": oracles.OP12, "op13_importance": oracles.OP13}
