@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from chronoloom.operators.canonical import BODY_25
 from chronoloom.operators.pose import present
 from chronoloom.operators.quality import violations
+from chronoloom.operators.running import running
 
 #: The closed vocabularies of the tables.
 FRAME_REASONS = ["no_face", "scored", "imputed_tail", "score_not_finite", "track_has_no_scores", "tail_score_not_finite", "past_scored_tail", "unknown"]
@@ -52,6 +53,41 @@ def interval_rules(start: str, end: str, duration: str) -> dict[str, Column]:
     return {"ends_before_start": F.col(end) < F.col(start) - 1e-6, "starts_before_zero": F.col(start) < -1e-3, "starts_past_duration": F.col(start) > F.col(duration) + 1.0}
 
 
+def transcript_problems(recordings: DataFrame, segments: DataFrame, words: DataFrame, keys: list[str], stretch: int = 100_000) -> DataFrame:
+    """(rule, key) of a transcript: recordings (keys, language, duration) without a language; segments (keys, place, segment_id, start,
+    end) and words (keys, word_id, segment_id, start, end) with impossible times; segments that begin before the one stored
+    before them; words of segments that are not there. A segment without a start stands in nobody's way."""
+    held = recordings.select(*keys, "duration")
+    named = recordings.withColumn("_key", F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    found = [violations(named, "_key", {"no_language": ~F.coalesce(F.length(F.trim("language")) > 0, F.lit(False))})]
+    for name, rows in (("segment", segments), ("word", words)):
+        rules = {f"{name}_{rule}": bad for rule, bad in interval_rules("start", "end", "duration").items()}
+        found.append(violations(rows.join(held, keys, "left"), f"{name}_id", rules))
+    # The row stored just before counts, with a start or without one.
+    before = running(segments, keys, ["place"], F.floor(F.col("place") / stretch), strict=True, _before=("last", F.struct("start")))
+    found.append(violations(before, "segment_id", {"segment_out_of_order": F.col("start") < F.col("_before.start")}))
+    known = segments.select(*keys, "segment_id").distinct()
+    orphans = words.select(*keys, "segment_id").distinct().join(known, [*keys, "segment_id"], "left_anti")
+    found.append(orphans.select(F.lit("unknown_segment").alias("rule"), F.col("segment_id").cast("string").alias("key")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def person_document_problems(documents: DataFrame, summaries: DataFrame, frames: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rule, person_id) where the raw document's claims (keys, person_ids, max_persons_in_frame, frames_with_person) and the two
+    tables disagree: people declared and absent, present and undeclared, summarised twice, and the counts of frames."""
+    ids = frames.where("person_id is not null").select(*keys, F.col("person_id").cast("bigint").alias("person_id")).distinct().withColumn("_there", F.lit(True))
+    told = documents.select(*keys, F.explode(F.array_distinct("person_ids")).alias("person_id")).withColumn("_declared", F.lit(True))
+    both = told.join(ids, [*keys, "person_id"], "full")
+    rule = F.when(F.col("_there").isNull(), "declared_and_absent").when(F.col("_declared").isNull(), "never_declared")
+    twice = summaries.groupBy(*keys, F.col("person_id").cast("bigint").alias("person_id")).count().where("count > 1").select(*keys, F.lit("summarised_twice").alias("rule"), "person_id")
+    by_frame = frames.where("person_id is not null").groupBy(*keys, "frame_number").agg(F.count("*").alias("_n"))
+    counts = documents.join(by_frame.groupBy(*keys).agg(F.max("_n").alias("_most"), F.count("*").alias("_frames")), keys, "left")
+    wrong = {"max_persons_in_frame": F.col("max_persons_in_frame") != F.coalesce("_most", F.lit(0)), "frames_with_person": F.coalesce("frames_with_person", F.lit(0)) != F.coalesce("_frames", F.lit(0))}
+    broken = F.filter(F.array(*[F.when(bad, F.lit(name)) for name, bad in wrong.items()]), lambda x: x.isNotNull())
+    totals = counts.select(*keys, F.explode(broken).alias("rule"), F.lit(None).cast("bigint").alias("person_id"))
+    return both.withColumn("rule", rule).where("rule is not null").select(*keys, "rule", "person_id").unionByName(twice).unionByName(totals)
+
+
 def metadata_rules() -> dict[str, Column]:
     """A probed recording has a positive duration, a size and a rate, and a codec."""
     return {

@@ -185,3 +185,23 @@ def faces_of_turns(spark, sf_dir):
     fused = fusion.fuse(spans(ev, "click"), seen, VIDEO, "turn_id").where("face_track_id is not null")
     summary = seen.where("track_id is not null").groupBy("video_id", "track_id").agg(F.count("*").alias("frame_count"))
     return consumers.faces_of_turns(fused, summary, VIDEO).select("video_id", "turn_id", "face_track_id", "frame_count")
+
+
+@register(
+    "transcript_check",
+    """WITH s AS (SELECT o_custkey AS video_id, o_orderkey AS segment_id, o_totalprice AS start, o_totalprice + CASE WHEN o_orderkey % 7 = 0 THEN -1 ELSE 5 END AS "end" FROM orders),
+    w AS (SELECT o_custkey AS video_id, o_orderkey AS word_id, o_orderkey - CASE WHEN o_orderkey % 5 = 0 THEN 1000000000 ELSE 0 END AS segment_id, CASE WHEN o_orderkey % 11 = 0 THEN -2.0 ELSE 1.0 END AS start FROM orders),
+    o AS (SELECT segment_id, start, lag(start) OVER (PARTITION BY video_id ORDER BY segment_id) AS before FROM s)
+    SELECT 'no_language' AS rule, c_custkey::VARCHAR AS key FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT 'segment_ends_before_start', segment_id::VARCHAR FROM s WHERE "end" < start UNION ALL SELECT 'segment_starts_past_duration', segment_id::VARCHAR FROM s JOIN customer ON c_custkey = video_id WHERE start > 300000 + 1
+    UNION ALL SELECT 'word_starts_before_zero', word_id::VARCHAR FROM w WHERE start < 0 UNION ALL SELECT 'segment_out_of_order', segment_id::VARCHAR FROM o WHERE start < before
+    UNION ALL SELECT 'unknown_segment', segment_id::VARCHAR FROM w WHERE segment_id < 0""",
+)
+def transcript_check(spark, sf_dir):
+    """Orders as segments of their customers, each with one word; every rule is broken by some."""
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    start = F.col("o_totalprice").cast("double")
+    segments = orders.select(F.col("o_custkey").alias("video_id"), k.alias("place"), k.alias("segment_id"), start.alias("start"), (start + F.when(k % 7 == 0, -1.0).otherwise(5.0)).alias("end"))
+    words = orders.select(F.col("o_custkey").alias("video_id"), k.alias("word_id"), (k - F.when(k % 5 == 0, 1_000_000_000).otherwise(0)).alias("segment_id"), F.when(k % 11 == 0, -2.0).otherwise(1.0).alias("start"), F.lit(1.5).alias("end"))
+    recordings = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("video_id"), F.when(F.col("c_custkey") % 3 == 0, " ").otherwise("en").alias("language"), F.lit(300_000.0).alias("duration"))
+    return contracts.transcript_problems(recordings, segments, words, VIDEO)

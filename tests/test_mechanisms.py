@@ -245,3 +245,11 @@ def test_small_operators_that_queries_do_not_reach(spark, tmp_path):
     texts = spark.createDataFrame([(1, "  Ünï 日本  x\n"), (2, None), (3, "")], "id int, x string")
     got = [(r["word_id"], r["word"], r["character_start"], r["character_end"]) for r in text.fallback_words(texts, "id", "x").collect()]
     assert got == [("1-w00001", "Ünï", 2, 5), ("1-w00002", "日本", 6, 8), ("1-w00003", "x", 10, 11)]
+
+
+def test_claims_of_person_documents(spark):
+    docs = spark.createDataFrame([(1, [7, 8], 1, 2), (2, [], 0, 0)], "video_id int, person_ids array<bigint>, max_persons_in_frame int, frames_with_person int")
+    frames = spark.createDataFrame([(1, 7, 0), (1, 9, 0), (1, None, 5)], "video_id int, person_id int, frame_number int")
+    summary = spark.createDataFrame([(1, 7), (1, 7), (1, 9)], "video_id int, person_id int")
+    found = sorted((r["rule"], r["person_id"]) for r in contracts.person_document_problems(docs, summary, frames, V).collect())
+    assert found == [("declared_and_absent", 8), ("frames_with_person", None), ("max_persons_in_frame", None), ("never_declared", 9), ("summarised_twice", 7)]
