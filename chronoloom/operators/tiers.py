@@ -38,9 +38,26 @@ def one_line(text: Column) -> Column:
 
 
 def shown_number(value: Column, places: int) -> Column:
-    """A number with fixed decimals; unknown for null, NaN and infinities."""
+    """A number with up to five fixed decimals; unknown for null, NaN and infinities.
+
+    Rounded by the binary value itself, as printf does, and to even where that lies just between: the shortest decimal of a
+    double decides unless it is a tie, and then the fraction left after scaling by a power of two, which is exact, tells on which
+    side of the tie the double lies.
+    """
     x = value.cast("double")
-    return F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")), F.format_string(f"%.{places}f", x)).otherwise(UNKNOWN)
+    size = F.abs(x)
+    plain = F.format_string(f"%.{places}f", x)
+    shortest = F.when(size < 2.0**32, size).cast("decimal(24,12)")
+    steps = shortest * F.lit(2 * 10**places)
+    tie = (steps == F.floor(steps)) & (F.floor(steps) % 2 == 1)
+    scaled = F.when(size < 2.0**32, size * 2.0**30)
+    whole = F.floor(scaled)
+    over = (scaled - whole).cast("decimal(24,20)") - (shortest * F.lit(1 << 30) - whole.cast("decimal(20,0)"))
+    up = F.round(shortest, places)
+    settled = F.when(F.abs(over) < F.lit(1e-12).cast("decimal(14,13)"), F.bround(shortest, places)).when(over > 0, up).otherwise(up - F.lit(10**-places).cast(f"decimal(10,{places})"))
+    sign = F.when(x < 0, "-").otherwise("")
+    shown = F.when(tie, F.concat(sign, settled.cast(f"decimal(24,{places})").cast("string"))).otherwise(plain)
+    return F.when(x.isNotNull() & ~F.isnan(x) & (size != float("inf")), shown).otherwise(UNKNOWN)
 
 
 def shown_id(value: Column) -> Column:

@@ -253,3 +253,15 @@ def test_claims_of_person_documents(spark):
     summary = spark.createDataFrame([(1, 7), (1, 7), (1, 9)], "video_id int, person_id int")
     found = sorted((r["rule"], r["person_id"]) for r in contracts.person_document_problems(docs, summary, frames, V).collect())
     assert found == [("declared_and_absent", 8), ("frames_with_person", None), ("max_persons_in_frame", None), ("never_declared", 9), ("summarised_twice", 7)]
+
+
+def test_numbers_are_shown_as_printf_shows_them(spark):
+    rng = np.random.default_rng(0)
+    ties = [k / 2000 for k in range(-3000, 3000)] + [0.125, 2.675, 1.005, 0.285, 1e9 + 0.125, 4e9 + 0.5, 1e15 + 0.5, 1e-9, 123456.0005]
+    values = [*ties, *rng.normal(0, 100, 500).round(4).tolist(), float("nan"), float("inf"), None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double").coalesce(2)
+    got = {r["i"]: r for r in frame.select("i", *[tiers.shown_number(F.col("x"), p).alias(f"p{p}") for p in (1, 2, 3)]).collect()}
+    for i, v in enumerate(values):
+        for p in (1, 2, 3):
+            want = tiers.UNKNOWN if v is None or v != v or v == float("inf") else f"{v:.{p}f}"
+            assert got[i][f"p{p}"] == want, (v, p)
