@@ -120,6 +120,44 @@ def dense_sequence(rows: DataFrame, keys: list[str], number: str, place: str | N
     return facts.withColumn("_p", found).where("_p is not null").select(*keys, "_p.problem", "_p.at")
 
 
+def sequence_breaks(rows: DataFrame, keys: list[str], number: str, place: str | None = None) -> DataFrame:
+    """(keys, problem, rows, first, last): every way in which a key's numbers are not 0 to n - 1. Rows without a number, or else numbers
+    that come twice, stand alone; numbers that are missing and those outside are named together; where all are there, the
+    places (by place) that hold another number are out of order, the first of them being named."""
+    values = rows.groupBy(*keys, F.col(number).cast("bigint").alias("_x")).agg(F.count("*").alias("_c"))
+    facts = values.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.sum(F.when(F.col("_x").isNull(), F.col("_c")).otherwise(0)).alias("_nulls"), F.count_if(F.col("_x").isNotNull() & (F.col("_c") > 1)).alias("_twice"))
+    known = values.where("_x is not null").join(facts, keys).withColumn("_in", F.col("_x").between(0, F.col("_n") - 1))
+    own = Window.partitionBy(*keys, "_in")
+    up, down = F.row_number().over(own.orderBy("_x")) - 1, F.row_number().over(own.orderBy(F.desc("_x"))) - 1
+    placed = known.withColumns({"_up": up, "_down": down})
+    inside = F.col("_in")
+    seen = placed.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), F.max("_nulls").alias("_nulls"), F.max("_twice").alias("_twice"), F.count_if(inside).alias("_held"), F.min(F.when(F.col("_c") > 1, F.col("_x"))).alias("_dup"), F.max(F.when(F.col("_c") > 1, F.col("_x"))).alias("_dup_last"),
+        F.min(F.when(inside & (F.col("_up") < F.col("_x")), F.col("_up"))).alias("_gap"), F.max(F.when(inside & (F.col("_n") - 1 - F.col("_down") > F.col("_x")), F.col("_n") - 1 - F.col("_down"))).alias("_gap_last"),
+        F.count_if(~inside).alias("_out"), F.min(F.when(~inside, F.col("_x"))).alias("_out_first"), F.max(F.when(~inside, F.col("_x"))).alias("_out_last"),
+    )
+    seen = facts.select(*keys).join(seen, keys, "left").join(facts.select(*keys, F.col("_n").alias("_rows"), F.col("_nulls").alias("_lost")), keys)
+    if place:
+        stored = rows.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy(place)) - 1).where(F.col("_at") != F.col(number))
+        seen = seen.join(stored.groupBy(*keys).agg(F.count("*").alias("_moved"), F.min("_at").alias("_moved_first"), F.max("_at").alias("_moved_last")), keys, "left")
+    else:
+        seen = seen.withColumns({c: F.lit(None).cast("bigint") for c in ("_moved", "_moved_first", "_moved_last")})
+
+    def told(problem: str, n: Column, first: Column, last: Column) -> Column:
+        return F.struct(F.lit(problem).alias("problem"), n.cast("bigint").alias("rows"), first.cast("bigint").alias("first"), last.cast("bigint").alias("last"))
+
+    none = F.lit(None)
+    lost = F.col("_n") - F.col("_held")
+    missing = F.when(lost > 0, told("missing", lost, F.coalesce("_gap", "_held"), F.coalesce("_gap_last", F.col("_n") - 1 - F.col("_held"))))
+    outside = F.when(F.col("_out") > 0, told("out_of_range", F.col("_out"), F.col("_out_first"), F.col("_out_last")))
+    moved = F.when((lost == 0) & F.col("_moved").isNotNull(), told("out_of_order", F.col("_moved"), F.col("_moved_first"), F.col("_moved_last")))
+    problems = (
+        F.when(F.col("_lost") > 0, F.array(told("null", F.col("_lost"), none, none))).when(F.col("_twice") > 0, F.array(told("duplicate", F.col("_twice"), F.col("_dup"), F.col("_dup_last"))))
+        .otherwise(F.filter(F.array(missing, outside, moved), lambda x: x.isNotNull()))
+    )
+    return seen.select(*keys, F.explode(problems).alias("p")).select(*keys, "p.*")
+
+
 def face_frame_rules() -> dict[str, Column]:
     """Rows (track_id, face_status, frame_reason, talknet_score, talknet_score_raw, score_imputed, is_active_speaker, box)."""
     reason, status, scored = F.col("frame_reason"), F.col("face_status"), F.col("talknet_score").isNotNull()

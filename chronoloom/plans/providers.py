@@ -205,3 +205,22 @@ def transcript_check(spark, sf_dir):
     words = orders.select(F.col("o_custkey").alias("video_id"), k.alias("word_id"), (k - F.when(k % 5 == 0, 1_000_000_000).otherwise(0)).alias("segment_id"), F.when(k % 11 == 0, -2.0).otherwise(1.0).alias("start"), F.lit(1.5).alias("end"))
     recordings = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("video_id"), F.when(F.col("c_custkey") % 3 == 0, " ").otherwise("en").alias("language"), F.lit(300_000.0).alias("duration"))
     return contracts.transcript_problems(recordings, segments, words, VIDEO)
+
+
+@register(
+    "sequence_breaks",
+    f"""WITH {EVENTS_SQL}, n AS (SELECT user_id, event_id, CASE WHEN user_id % 5 = 0 AND value > 120 THEN NULL ELSE row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 + CASE WHEN event_type = 'error' AND value > 60 AND user_id % 2 = 0 THEN 100000 WHEN value > 150 THEN -1 ELSE 0 END END AS f FROM ev),
+    a AS (SELECT user_id, count(*) AS n, count(*) - count(f) AS lost FROM n GROUP BY 1), d AS (SELECT user_id, f, count(*) AS c FROM n WHERE f IS NOT NULL GROUP BY ALL),
+    tw AS (SELECT user_id, count(*) AS k, min(f) AS a, max(f) AS b FROM d WHERE c > 1 GROUP BY 1), free AS (SELECT user_id FROM a LEFT JOIN tw USING (user_id) WHERE lost = 0 AND k IS NULL),
+    ex AS (SELECT user_id, unnest(range(0, n)) AS f FROM a JOIN free USING (user_id)), mi AS (SELECT user_id, count(*) AS k, min(ex.f) AS a, max(ex.f) AS b FROM ex ANTI JOIN d ON d.user_id = ex.user_id AND d.f = ex.f GROUP BY 1),
+    ou AS (SELECT user_id, count(*) AS k, min(f) AS a, max(f) AS b FROM d JOIN free USING (user_id) JOIN a USING (user_id) WHERE f < 0 OR f >= n GROUP BY 1)
+    SELECT user_id, 'null' AS problem, lost::BIGINT AS rows, NULL::BIGINT AS first, NULL::BIGINT AS last FROM a WHERE lost > 0 UNION ALL SELECT user_id, 'duplicate', k, a, b FROM tw JOIN a USING (user_id) WHERE lost = 0
+    UNION ALL SELECT user_id, 'missing', k, a, b FROM mi UNION ALL SELECT user_id, 'out_of_range', k, a, b FROM ou""",
+)
+def sequence_breaks(spark, sf_dir):
+    """Numbers of a user's events with some lost, shifted far away, or moved onto the one before."""
+    own = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    user, v = F.col("user_id"), F.col("value")
+    shift = F.when((F.col("event_type") == "error") & (v > 60) & (user % 2 == 0), 100_000).when(v > 150, -1).otherwise(0)
+    rows = events(spark, sf_dir).withColumn("f", F.when((user % 5 == 0) & (v > 120), F.lit(None)).otherwise(own + shift).cast("bigint"))
+    return contracts.sequence_breaks(rows, ["user_id"], "f", "event_id")

@@ -265,3 +265,26 @@ def test_numbers_are_shown_as_printf_shows_them(spark):
         for p in (1, 2, 3):
             want = tiers.UNKNOWN if v is None or v != v or v == float("inf") else f"{v:.{p}f}"
             assert got[i][f"p{p}"] == want, (v, p)
+
+
+def test_every_break_of_a_sequence(spark):
+    cases = {"dense": [0, 1, 2], "gap": [0, 1, 3], "both": [-1, 0, 1], "twice": [0, 0, 2, 2], "null": [0, None], "order": [0, 2, 1], "far": [7, 8, 9, 1], "end": [0, 1, 2, 9, 5]}
+    rows = spark.createDataFrame([(k, i, x) for k, v in cases.items() for i, x in enumerate(v)], "k string, place int, x int")
+    got = {}
+    for r in contracts.sequence_breaks(rows, ["k"], "x", "place").collect():
+        got.setdefault(r["k"], []).append((r["problem"], r["rows"], r["first"], r["last"]))
+    want = {}
+    for k, v in cases.items():
+        n = len(v)
+        if None in v:
+            want[k] = [("null", v.count(None), None, None)]
+        elif len(set(v)) < n:
+            twice = sorted({x for x in v if v.count(x) > 1})
+            want[k] = [("duplicate", len(twice), twice[0], twice[-1])]
+        elif sorted(v) == list(range(n)):
+            bad = [i for i, x in enumerate(v) if x != i]
+            want |= {k: [("out_of_order", len(bad), bad[0], bad[-1])]} if bad else {}
+        else:
+            lost, extra = sorted(set(range(n)) - set(v)), sorted(set(v) - set(range(n)))
+            want[k] = [("missing", len(lost), lost[0], lost[-1]), ("out_of_range", len(extra), extra[0], extra[-1])]
+    assert got == want
