@@ -6,6 +6,7 @@ are compared with a handful of numbers afterwards.
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -73,7 +74,7 @@ def broken_claims(found: dict[str, Any], claims: dict[str, Any]) -> list[tuple[s
 
 def checked(spark: SparkSession, rows: DataFrame, label: str, measures: dict[str, Column], claims: dict[str, Any]) -> tuple[DataFrame, DataFrame]:
     """rows, written to the shared folder, and (rule, claimed, found) of the claims that they break."""
-    path = f"{shared_dir(spark)}/{label}-{spark.sparkContext.applicationId}-{id(rows)}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     found = write_observed(rows, path, measures, label)
     kept = [f for f in rows.schema.fields if f.name not in ("_before", "_until")]
     problems = spark.createDataFrame(broken_claims(found, claims), "rule string, claimed string, found string")
