@@ -96,7 +96,7 @@ _RAW = "trim(replace(lower(nfc_normalize({0})), 'ß', 'ss'), ' ' || chr(9) || ch
     "token_alignment",
     f"""WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations),
     wa AS (SELECT conv_id, turn, unnest(range(0, len(p))) AS i, unnest(p) AS word FROM (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS p FROM t)),
-    ta AS (SELECT conv_id, turn, unnest(range(0, len(p))) AS j, unnest(p) AS token FROM (SELECT conv_id, turn, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}} \t\n\x0B\f\r]') AS p FROM t)),
+    ta AS (SELECT conv_id, turn, unnest(range(0, len(p))) AS j, unnest(p) AS token FROM (SELECT conv_id, turn, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}} \t\n\x0B\f\r]') AS p FROM t)),
     w AS (SELECT *, {_RAW.format("word")} AS raw, trim({_RAW.format("word")}, {_MARKS}) AS core FROM wa),
     k AS (SELECT *, {_RAW.format("token")} AS raw, trim({_RAW.format("token")}, {_MARKS}) AS core FROM ta),
     lists AS (SELECT conv_id, turn, list(raw ORDER BY i) AS raws, list(core ORDER BY i) AS cores FROM w GROUP BY ALL),
