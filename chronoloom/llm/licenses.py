@@ -121,21 +121,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     for row in known.select("length", "hashes").collect():
         held.setdefault(row["length"], set()).update(row["hashes"])
 
-    def any_of(found: set[int]) -> Column:
-        return F.lit(sorted(found)).cast("array<bigint>") if found else F.array().cast("array<bigint>")
-
     rows = once(docs.select(F.col(id_col), F.col(text_col)), _w=license_words(F.col(text_col)))
-    rows = once(rows.select(id_col, "_w"), _h=shingle_hashes(F.col("_w"))).where(F.arrays_overlap("_h", any_of(set().union(*held.values()))))
+    rows = once(rows.select(id_col, "_w"), _h=shingle_hashes(F.col("_w")))
+    # The few places whose shingle any template has: windows are cut around those alone.
+    every = sorted(set().union(*held.values()))
+    hits = F.filter(F.sequence(F.lit(0), F.size("_h")), lambda i: F.coalesce(F.get("_h", i).isin(every), F.lit(False)))
+    rows = once(rows, _hits=hits).where(F.size("_hits") > 0)
 
     def windows(length: int) -> Column:
         step, width = max(1, length // 2), length + -(-length // 2)
-        starts = F.sequence(F.lit(0), F.greatest(F.size("_h") - 1, F.lit(0)), F.lit(step))
-        cut = F.transform(starts, lambda s: F.struct(F.lit(length).alias("length"), s.alias("first_word"), F.slice("_h", s + 1, width).alias("hashes")))
-        return F.filter(cut, lambda x: F.arrays_overlap(x["hashes"], any_of(held[length])))
+        own = F.filter("_hits", lambda i: F.get("_h", i).isin(sorted(held[length])))
+        around = F.transform(own, lambda i: F.sequence(F.greatest(F.lit(0), F.ceil((i - width + 1) / step)), F.floor(i / step)))
+        starts = F.array_distinct(F.flatten(around))
+        return F.transform(starts, lambda k: F.struct(F.lit(length).alias("length"), (k * step).cast("int").alias("first_word"), F.slice("_h", (k * step).cast("int") + 1, width).alias("hashes")))
 
     spans = F.concat(*[windows(n) for n in sorted(held)]) if held else F.array().cast("array<struct<length:int,first_word:int,hashes:array<bigint>>>")
     far = F.array(*[places(F.col("_w"), x) for x in far_phrases(templates)]).cast("array<array<int>>")
-    rows = once(rows.select(id_col, "_w", "_h"), _far=far)
+    rows = once(rows.select(id_col, "_w", "_h", "_hits"), _far=far)
     cut = rows.select(id_col, "_w", "_far", F.explode_outer(spans).alias("x")).where("x is not null")
     span = F.slice("_w", F.col("x.first_word") + 1, F.size("x.hashes") + SHINGLE - 1)
     cut = once(cut.select(id_col, "x.length", "x.first_word", "x.hashes", span.alias("span"), "_far"), bands=band_keys(F.col("hashes")))
