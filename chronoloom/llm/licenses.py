@@ -20,6 +20,7 @@ reported together; other columns are left out.
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 
@@ -100,13 +101,13 @@ def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
     number = {x: i for i, x in enumerate(far_phrases(templates))}
 
-    def phrases(name: str, body: str) -> list[Column]:
+    def facts(template: int, name: str, body: str) -> dict:
         within, after, never = clauses(name, body)
-        far = [F.array(*[F.lit(number[x]) for x in found]).cast("array<int>").alias(label) for label, found in (("after", after), ("never", never))]
-        return [F.array(*[F.lit(f" {x} ") for x in within]).cast("array<string>").alias("within"), F.lit(number.get(first_words(body))).cast("int").alias("head"), *far]
+        return {"template": template, "license": name, "body": body, "within": [f" {x} " for x in within], "head": number.get(first_words(body)), "after": [number[x] for x in after], "never": [number[x] for x in never]}
 
-    listed = [F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(body).alias("body"), *phrases(name, body)) for i, (name, body) in enumerate(templates)]
-    listed = F.array(*listed) if listed else F.array().cast("array<struct<template:int,license:string,body:string,within:array<string>,head:int,after:array<int>,never:array<int>>>")
+    # One literal, whatever the number of templates.
+    kind = "array<struct<template:int,license:string,body:string,within:array<string>,head:int,after:array<int>,never:array<int>>>"
+    listed = F.from_json(F.lit(json.dumps([facts(i, name, body) for i, (name, body) in enumerate(templates)])), kind)
     rows = spark.range(1).select(F.inline(listed)).withColumn("w", license_words(F.col("body")))
     rows = rows.select("template", "license", "within", "head", "after", "never", shingle_hashes(F.col("w")).alias("hashes"), shingles(F.col("w")).alias("shingles"))
     return rows.withColumn("length", F.size("shingles")).where("length > 0")
@@ -124,13 +125,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     rows = once(docs.select(F.col(id_col), F.col(text_col)), _w=license_words(F.col(text_col)))
     rows = once(rows.select(id_col, "_w"), _h=shingle_hashes(F.col("_w")))
     # The few places whose shingle any template has: windows are cut around those alone.
-    every = sorted(set().union(*held.values()))
-    hits = F.filter(F.sequence(F.lit(0), F.size("_h")), lambda i: F.coalesce(F.get("_h", i).isin(every), F.lit(False)))
+    def one_of(hashes: set[int]) -> str:
+        """As text: a list of thousands of literals is one call."""
+        return f"coalesce(get(_h, i) IN ({', '.join(f'{h}L' if h > -(2**63) else 'null' for h in sorted(hashes)) or 'null'}), false)"
+
+    hits = F.expr(f"filter(sequence(0, size(_h)), i -> {one_of(set().union(*held.values()))})")
     rows = once(rows, _hits=hits).where(F.size("_hits") > 0)
 
     def windows(length: int) -> Column:
         step, width = max(1, length // 2), length + -(-length // 2)
-        own = F.filter("_hits", lambda i: F.get("_h", i).isin(sorted(held[length])))
+        own = F.expr(f"filter(_hits, i -> {one_of(held[length])})")
         around = F.transform(own, lambda i: F.sequence(F.greatest(F.lit(0), F.ceil((i - width + 1) / step)), F.floor(i / step)))
         starts = F.array_distinct(F.flatten(around))
         return F.transform(starts, lambda k: F.struct(F.lit(length).alias("length"), (k * step).cast("int").alias("first_word"), F.slice("_h", (k * step).cast("int") + 1, width).alias("hashes")))
