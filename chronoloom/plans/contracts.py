@@ -254,9 +254,11 @@ def body_points(spark, sf_dir):
 def frame_document(spark, sf_dir):
     ev = events(spark, sf_dir)
     score = F.max(F.when(F.col("event_type") != "error", F.col("value") / 100)).alias("smoothed")
-    seen = ev.groupBy("video_id", F.col("user_id").alias("track_id"), F.floor((F.col("t") - 1704067200) / 3600).alias("frame")).agg(F.max("value").alias("x1"), score)
+    seen = ev.groupBy("video_id", F.col("user_id").alias("track_id"), F.floor((F.col("t") - 1704067200) / 3600).alias("frame")).agg(F.max("value").alias("x1"), score, F.min("event_id").alias("first_seen"))
     seen = seen.withColumns({"y1": F.col("x1"), "x2": F.col("x1"), "y2": F.col("x1"), "raw": F.col("smoothed"), "imputed": F.lit(False), "reason": F.lit("scored")})
-    chosen = seen.where("smoothed > 0.9").groupBy("video_id", "frame").agg(F.max_by("track_id", "smoothed").alias("track_id"))
+    # Of equal scores SQL's arg_max keeps the one that it meets first: in the order of events, the track seen first in the frame.
+    best = F.max_by("track_id", F.struct("smoothed", -F.col("first_seen")))
+    chosen = seen.where("smoothed > 0.9").groupBy("video_id", "frame").agg(best.alias("track_id"))
     grid = canonical.uniform_grid(ev.select("video_id").distinct().withColumn("n", F.lit(720)), VIDEO, "n").select("video_id", "frame")
     return canonical.frame_document(grid, chosen, seen, VIDEO, 1.0).select("video_id", "frame", "timestamp", "track_id", "face_status", "x1", "talknet_score", "is_active_speaker")
 

@@ -109,3 +109,42 @@ def test_words_shapes_and_names(spark):
     names = spark.createDataFrame([("a/My clip.mp4",), ("b/my_clip.mov",), ("c/日本.mp4",)], "path string")
     ids = {r["path"]: r["video_id"] for r in text.unique_slugs(names, "path").collect()}
     assert ids["c/日本.mp4"] == "video" and ids["a/My clip.mp4"].startswith("My_clip-") and ids["b/my_clip.mov"].startswith("my_clip-")
+
+
+def made_events(spark, rows, folder):
+    """Event rows (user, type, seconds, value), in their order, as a table that both Spark and SQL read."""
+    frame = spark.createDataFrame([(i, *r, '{"k": 1}') for i, r in enumerate(rows)], "event_id long, user_id long, event_type string, at double, value double, props string")
+    frame = frame.select("event_id", F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(at AS DECIMAL(18, 6)))").alias("ts"), "user_id", "event_type", "value", "props")
+    frame.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def against_sql(spark, name, folder):
+    import duckdb
+
+    from chronoloom.plans import contracts, registry, timeline  # noqa: F401
+
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute("SET threads = 1")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
+    found = registry.queries()[name](spark, folder)
+    want = con.execute(registry.oracle_sql()[name])
+    assert found.columns == [d[0] for d in want.description]
+    order = lambda rows: sorted((tuple(r) for r in rows), key=repr)
+    got = order(found.collect())
+    assert got == order(want.fetchall())
+    return got
+
+
+def test_equal_scores_choose_as_sql_does(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 24)), str(rng.choice(["click", "error", "view"])), float(t), float(rng.integers(8, 14) * 10)) for t in np.sort(rng.uniform(0, 400_000, 1500)).round(3)]
+    got = against_sql(spark, "frame_document", made_events(spark, rows, tmp_path))
+    assert sum(r[4] == "tracked" for r in got) > 100
+
+
+def test_a_span_of_no_length_overlaps_nobody_as_in_sql(spark, tmp_path):
+    rows = [(1, "view", 0.0, 1.0), (2, "view", 10.0, 1.0), (1, "click", 50.0, 0.0), (1, "purchase", 50.0, 0.0), (1, "click", 50.0, 0.3), (1, "click", 500.0, 0.0)]
+    got = against_sql(spark, "speaker_assignment", made_events(spark, rows, tmp_path))
+    assert {r[1]: r[7] for r in got} == {2: "no_overlap", 3: "point_containment", 4: "max_overlap", 5: "no_overlap"}
