@@ -65,17 +65,17 @@ def clean_turns(turns: DataFrame) -> DataFrame:
     return turns.where(F.col("start").isNotNull() & F.col("end").isNotNull() & (F.col("end") + EPS >= F.col("start")))
 
 
-def assign_speakers(segments: DataFrame, turns: DataFrame, keys: list[str], id_col: str, width: float = FINEST) -> DataFrame:
+def assign_speakers(segments: DataFrame, turns: DataFrame, keys: list[str], id_col: str, width: float = FINEST, point: Column | None = None) -> DataFrame:
     """The speaker who covers most of each segment.
 
-    Overlaps are summed for each speaker; the largest sum wins, then the earliest first turn, then the label. A segment
-    without an end, or without length, takes a turn that contains its start. What nothing covers gets no_overlap, as does a
-    segment that ends before it starts.
+    Overlaps are summed for each speaker; the largest sum wins, then the earliest first turn, then the label. A point takes a
+    turn that contains its start: a segment without an end, or without length, unless point says which are. What nothing covers
+    gets no_overlap, as does a segment that ends before it starts.
     """
     turns = clean_turns(turns)
     first = turns.groupBy(*keys, "speaker").agg(F.min("start").alias("first_start"))
     right = turns.select(*keys, "speaker", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
-    point = F.col("end").isNull() | (F.abs(F.col("end") - F.col("start")) <= EPS)
+    point = F.col("end").isNull() | (F.abs(F.col("end") - F.col("start")) <= EPS) if point is None else point
     marked = segments.withColumn("_point", point)
     spans = marked.withColumn("end", F.when(F.col("_point"), F.col("start")).otherwise(F.col("end")))
     pairs = range_join(spans.where("start is not null and end >= start").select(*keys, id_col, "start", "end", "_point"), right, keys, width, EPS)
