@@ -2,7 +2,9 @@
 
 A pure range predicate plans as a nested loop. Here an interval is stored in buckets of a width that fits its length: levels
 grow by a factor of RADIX, and an interval lies at the finest level where it meets a handful of buckets. Two intervals meet at
-the coarser of their levels, so each is stored at its own level and at the coarser ones that the other side has; a pair that
+the coarser of their levels, so each is stored at its own level and at the coarser ones that the other side has. How many rows
+that makes is known from the counts of each level: rare short intervals are lifted, and long ones cut, to levels that store
+the fewest. A pair that
 shares several buckets is kept in the bucket of the later start alone. One very long interval thus costs a few rows, short
 ones share a bucket with their neighbours only, and buckets also break up one long video.
 """
@@ -26,27 +28,64 @@ def _level(length: Column, width: float) -> Column:
     return F.when(steps > 1, F.ceil(F.log(float(RADIX), steps))).otherwise(0).cast("int")
 
 
-def _cells(rows: DataFrame, start: Column, end: Column, others: DataFrame, width: float) -> DataFrame:
-    """rows in each of their buckets: own level _own, level _l and bucket _b of its width. others: the other side's levels, in one row."""
+def _histogram(rows: DataFrame, start: Column, end: Column, width: float) -> DataFrame:
+    """(level, n, seconds): how many intervals each level has, and their length; a few dozen rows at most."""
+    length = F.greatest(end - start, F.lit(0.0))
+    return rows.groupBy(_level(length, width).alias("level")).agg(F.count("*").alias("n"), F.sum(length).alias("seconds"))
+
+
+def fitting_levels(sides: list[dict[int, tuple[int, float]]], width: float) -> tuple[int, int]:
+    """The finest and the coarsest level that store the fewest rows. sides: rows and seconds of each level, left and right.
+
+    Shorter intervals are lifted to the finest one where on one side these are a third of the rows at most, so that the buckets
+    in which the others compare stay what they are; longer ones are cut into more buckets, 65 at most."""
+    levels = sorted({x for side in sides for x in side})
+    if not levels or not all(sides):
+        return 0, 0
+    own = lambda x, low, high: max(low, min(x, high))
+
+    def stored(low: int, high: int) -> float:
+        kept = [{own(x, low, high) for x in side} for side in sides]
+        rows = 0.0
+        for side, others in zip(sides, reversed(kept), strict=True):
+            for x, (n, seconds) in side.items():
+                rows += sum(seconds / (width * RADIX**k) + n for k in {own(x, low, high)} | {k for k in others if k > own(x, low, high)})
+        return rows
+
+    share = lambda side, low: sum(n for x, (n, _) in side.items() if x < low) / sum(n for n, _ in side.values())
+    # The meeting of two intervals that are shorter on both sides is what lifting widens.
+    low = max(x for x in range(max(levels[-1], 0) + 1) if x == 0 or min(share(side, x) for side in sides) <= 1 / 3)
+    return min(((stored(a, b), a, b) for a in range(low + 1) for b in range(max(a, levels[-1] - 2), levels[-1] + 1)), key=lambda x: (x[0], x[1], -x[2]))[1:]
+
+
+def _cells(rows: DataFrame, start: Column, end: Column, bounds: tuple[int, int], others: set[int], width: float) -> DataFrame:
+    """rows in each of their buckets: own level _own, level _l and bucket _b of its width. others: the other side's levels."""
     at = lambda x, level: F.floor(x / (width * F.pow(F.lit(float(RADIX)), level)))
-    placed = rows.withColumns({"_own": _level(end - start, width), "_levels": others.scalar()})
-    levels = F.concat(F.array("_own"), F.filter("_levels", lambda x: x > F.col("_own")))
+    placed = rows.withColumn("_own", F.greatest(F.lit(bounds[0]), F.least(_level(end - start, width), F.lit(bounds[1]))))
+    known = F.array(*[F.lit(x) for x in sorted(others)]).cast("array<int>")
+    # Without an other side at its level or a finer one, a row meets others at theirs only.
+    levels = F.concat(F.filter(F.array("_own"), lambda x: F.coalesce(x >= F.array_min(known), F.lit(False))), F.filter(known, lambda x: x > F.col("_own")))
     buckets = F.flatten(F.transform(levels, lambda level: F.transform(F.sequence(at(start, level), at(F.greatest(start, end), level)), lambda b: F.struct(level.alias("l"), b.alias("b")))))
-    return placed.withColumn("_cell", F.explode(buckets)).withColumns({"_l": F.col("_cell.l"), "_b": F.col("_cell.b")}).drop("_cell", "_levels")
+    return placed.withColumn("_cell", F.explode(buckets)).withColumns({"_l": F.col("_cell.l"), "_b": F.col("_cell.b")}).drop("_cell")
 
 
-def _levels(rows: DataFrame, start: Column, end: Column, width: float) -> DataFrame:
-    """One row: the levels that occur, a few dozen at most."""
-    return rows.agg(F.coalesce(F.collect_set(_level(end - start, width)), F.array().cast("array<int>")).alias("_levels"))
+def bucket_rows(left: DataFrame, right: DataFrame, width: float = FINEST, slack: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Both sides in their buckets, as they are shuffled. The histograms of levels are counted at once, in one job."""
+    spans = [(left, F.col("start") - slack, F.col("end") + slack), (right, F.col("r_start"), F.col("r_end"))]
+    spans = [(rows.where(s.isNotNull() & e.isNotNull()), s, e) for rows, s, e in spans]
+    counted = [_histogram(rows, s, e, width).withColumn("side", F.lit(k)) for k, (rows, s, e) in enumerate(spans)]
+    sides: list[dict[int, tuple[int, float]]] = [{}, {}]
+    for r in counted[0].unionByName(counted[1]).collect():
+        sides[r["side"]][r["level"]] = (r["n"], r["seconds"])
+    low, high = fitting_levels(sides, width)
+    kept = [{max(low, min(x, high)) for x in side} for side in sides]
+    a, b = (_cells(rows, s, e, (low, high), other, width) for (rows, s, e), other in zip(spans, reversed(kept), strict=True))
+    return a, b.withColumnRenamed("_own", "_r_own")
 
 
 def bucket_pairs(left: DataFrame, right: DataFrame, keys: list[str], width: float = FINEST, slack: float = 0.0) -> DataFrame:
     """Pairs that share a bucket at the level where they would meet: the candidates of range_join, some of them several times."""
-    spans = [(left, F.col("start") - slack, F.col("end") + slack), (right, F.col("r_start"), F.col("r_end"))]
-    spans = [(rows.where(s.isNotNull() & e.isNotNull()), s, e) for rows, s, e in spans]
-    found = [_levels(rows, s, e, width) for rows, s, e in spans]
-    a, b = (_cells(rows, s, e, other, width) for (rows, s, e), other in zip(spans, reversed(found), strict=True))
-    b = b.withColumnRenamed("_own", "_r_own")
+    a, b = bucket_rows(left, right, width, slack)
     return a.join(b, [*keys, "_l", "_b"]).where(F.col("_l") == F.greatest("_own", "_r_own"))
 
 

@@ -39,6 +39,19 @@ def test_one_long_span_does_not_widen_the_buckets_of_short_ones(spark):
     assert intervals.bucket_pairs(both, short, V).count() <= 2 * pairs
 
 
+def test_points_are_not_stored_at_every_level_of_the_spans(spark):
+    rng = np.random.default_rng(8)
+    a = [(float(s), float(s + d)) for s, d in zip(rng.uniform(0, 2e6, 600), rng.exponential(5000, 600), strict=True)]
+    left = spark.createDataFrame([(1, i, *x) for i, x in enumerate(a)], "k int, i int, start double, end double")
+    points = [float(t) for t in rng.uniform(0, 2e6, 3000)]
+    right = spark.createDataFrame([(1, j, t, t) for j, t in enumerate(points)], "k int, j int, r_start double, r_end double")
+    stored = [rows.count() for rows in intervals.bucket_rows(left, right)]
+    assert stored[1] <= 2 * 3000 and sum(stored) <= 4 * 3600
+    got = sorted((r["i"], r["j"]) for r in intervals.range_join(left, right, ["k"]).collect())
+    assert got == sorted((i, j) for i, x in enumerate(a) for j, t in enumerate(points) if x[0] <= t <= x[1])
+    assert intervals.range_join(left.where("i < 0"), right, ["k"]).count() == 0
+
+
 def test_range_join_of_any_lengths_against_all_pairs(spark):
     rng = np.random.default_rng(12)
     make = lambda n: [(float(s), float(s + d)) for s, d in zip(rng.uniform(-1e4, 1e4, n), 10 ** rng.uniform(-3, 4, n), strict=True)]
