@@ -1,4 +1,7 @@
-"""Near-duplicates by similarity: MinHash bands find candidates, exact Jaccard of five-word shingles verifies them.
+"""Near-duplicates by similarity: SimHash, then MinHash bands find candidates, exact Jaccard of five-word shingles verifies them.
+
+SimHash fingerprints of the sets that differ in at most three bits (simhash.links) are the first candidates; at a similarity of
+0.8 most pairs differ in more, so bands go on from the groups that the verified ones make.
 
 Words are lower-cased as in simhash; a text's set holds the XXH64 hashes of its shingles. Equal sets are one node. A node
 has ROWS * BANDS minima; nodes that agree on a band of ROWS minima meet under its key (at a similarity of 0.8 all bands
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.llm.common import integer_ids, materialize, narrow, slices, small_batches
-from chronoloom.llm.simhash import _LOWER, SEED, connected
+from chronoloom.llm.simhash import _LOWER, SEED, connected, fold, links
 
 SHINGLE, ROWS, BANDS = 5, 4, 20
 #: Bytes of a sketch, and how many standard deviations below LEAST it may fall.
@@ -71,7 +74,7 @@ def bins(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, text_hash, node, n, sketch, marks, keys) for every row; texts without words have no keys; marks are 32 bits of each."""
+    """(_id, text_hash, node, n, fp, sketch, marks, keys) for every row; texts without words have no keys; marks are 32 bits of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -84,14 +87,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     keys = [xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in least.reshape(BANDS, ROWS)] if len(hashes) else []
                     node = xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
                     keys = np.array(keys, np.uint64)
-                    rows.append((xxhash.xxh64_intdigest(text, SEED), node, len(hashes), bins(hashes).tobytes(), keys.astype("<u4").tobytes(), keys.view(np.int64)))
-                whole_hash, node, n, sketch, marks, keys = zip(*rows, strict=True)
+                    rows.append((xxhash.xxh64_intdigest(text, SEED), node, len(hashes), fold(hashes) if len(hashes) else 0, bins(hashes).tobytes(), keys.astype("<u4").tobytes(), keys.view(np.int64)))
+                whole_hash, node, n, fp, sketch, marks, keys = zip(*rows, strict=True)
                 signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-                columns = [batch.column(0), signed(whole_hash), signed(node), pa.array(n, pa.int64()), pa.array(sketch, pa.binary()), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["_id", "text_hash", "node", "n", "sketch", "marks", "keys"])
+                columns = [batch.column(0), signed(whole_hash), signed(node), pa.array(n, pa.int64()), signed(fp), pa.array(sketch, pa.binary()), pa.array(marks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["_id", "text_hash", "node", "n", "fp", "sketch", "marks", "keys"])
 
     last = F.coalesce(F.col(id_col), F.lit(2**63 - 1)).cast("bigint")
-    return docs.select(last.alias("_id"), text_col).mapInArrow(run, "_id bigint, text_hash bigint, node bigint, n bigint, sketch binary, marks binary, keys array<bigint>")
+    return docs.select(last.alias("_id"), text_col).mapInArrow(run, "_id bigint, text_hash bigint, node bigint, n bigint, fp bigint, sketch binary, marks binary, keys array<bigint>")
 
 
 def meetings(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -178,9 +181,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(run, "u bigint, v bigint")
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame, units: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, hashes) of the nodes in units, from the text of one document each."""
-    wanted = units.select("node").distinct().join(nodes.select("node", "_id", "_hash"), "node")
+def candidate_sets(docs: DataFrame, nodes: DataFrame, met: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, hashes) of the nodes in met, from the text of one document each."""
+    wanted = met.select("node").distinct().join(nodes.select("node", "_id", "_hash"), "node")
     rows = docs.select(F.coalesce(F.col(id_col), F.lit(2**63 - 1)).cast("bigint").alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_hash"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,19 +202,20 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chun
     small_batches(docs.sparkSession)
     marked = materialize(sketches(docs, id_col, text_col), "sketches")
     # Equal sets have equal sketches: those of the first row stand for the node.
-    first_row = F.min(F.struct("_id", F.col("text_hash").alias("_hash"), "n", "sketch", "marks", "keys")).alias("first_row")
+    first_row = F.min(F.struct("_id", F.col("text_hash").alias("_hash"), "n", "fp", "sketch", "marks", "keys")).alias("first_row")
     nodes = materialize(marked.groupBy("node").agg(first_row).select("node", "first_row.*"), "nodes")
-    units = materialize(narrow(meetings(nodes, chunk), nodes.count() * BANDS), "meetings")
-    sets = materialize(candidate_sets(docs, nodes, units, id_col, text_col), "candidate-sets")
-    joined, low, high = None, 0, first
+    size = nodes.count()
+    close = materialize(narrow(links(nodes.select(F.col("node").alias("rep"), "fp"), direct=True), size * BANDS), "links")
+    units = materialize(narrow(meetings(nodes, chunk), size * BANDS), "meetings")
+    met = units.select("node").unionByName(close.select(F.explode(F.array("u", "v")).alias("node")))
+    sets = materialize(candidate_sets(docs, nodes, met, id_col, text_col), "candidate-sets")
+    joined = connected(materialize(narrow(verified(close, sets), size * BANDS), "verified"))
+    low, high = 0, first
     while True:
-        named = units.join(nodes.select("node", "n", "sketch", "marks"), "node")
-        named = named.withColumn("label", F.col("node")) if joined is None else named.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        named = units.join(nodes.select("node", "n", "sketch", "marks"), "node").join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
         round_ = materialize(proposed(named, low, high), "proposed")
         new = materialize(narrow(verified(round_.where("u is not null"), sets), round_.count()), "verified")
-        if joined is None:
-            joined = connected(new)
-        elif not new.isEmpty():
+        if not new.isEmpty():
             joined = connected(new.unionByName(joined.select(F.col("node").alias("u"), F.col("component").alias("v"))))
         if round_.where("u is null").isEmpty():
             break

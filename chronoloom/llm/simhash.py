@@ -33,6 +33,15 @@ CHUNK = 16_384
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def fold(hashes: list[int] | np.ndarray) -> np.uint64:
+    """The fingerprint of hashes: a bit is set if over half of them set it."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), 8192):
+        part = np.array(hashes[start : start + 8192], "<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+
+
 def fingerprint_bits(texts: list[bytes]) -> np.ndarray:
     """Unsigned 64-bit fingerprints."""
     digest, out = xxhash.xxh64_intdigest, np.zeros(len(texts), np.uint64)
@@ -44,11 +53,7 @@ def fingerprint_bits(texts: list[bytes]) -> np.ndarray:
             hashes = [digest(b" ".join(found), SEED)]
         else:
             hashes = [digest(b"%b %b %b" % x, SEED) for x in zip(found, found[1:], found[2:], strict=False)]
-        ones = np.zeros(64, np.int64)
-        for start in range(0, len(hashes), 8192):
-            part = np.array(hashes[start : start + 8192], "<u8").view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-        out[row] = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+        out[row] = fold(hashes)
     return out
 
 
@@ -76,8 +81,9 @@ def block_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-def spanning_links(bits: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """Links (larger id, smaller id) that join the fingerprints within DISTANCE of each other: a spanning forest."""
+def spanning_links(bits: np.ndarray, ids: np.ndarray, direct: bool = False) -> list[tuple[int, int]]:
+    """Links (larger id, smaller id) that join the fingerprints within DISTANCE of each other: a spanning forest. direct links
+    are themselves within DISTANCE, each to the last such id, so that none becomes the centre of all."""
     order = np.argsort(ids, kind="stable")
     bits, ids = bits[order], ids[order]
     label, out = np.arange(len(ids)), []
@@ -86,15 +92,17 @@ def spanning_links(bits: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
         met = np.unique(label[:i][near])
         if len(met):
             # Labels are places in order of id, so the smallest label is the smallest id.
+            if direct:
+                out += [(int(ids[i]), int(ids[np.flatnonzero(near & (label[:i] == x))[-1]])) for x in met]
+            else:
+                out += [(int(ids[x]), int(ids[met[0]])) for x in (i, *met[1:])]
             label[i] = met[0]
-            out.append((int(ids[i]), int(ids[met[0]])))
             for other in met[1:]:
                 label[: i + 1][label[: i + 1] == other] = met[0]
-                out.append((int(ids[other]), int(ids[met[0]])))
     return out
 
 
-def links(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def links(nodes: DataFrame, chunk: int = CHUNK, direct: bool = False) -> DataFrame:
     """(u, v) with u > v: links that connect every two nodes (rep, fp) within DISTANCE, through others or directly."""
     keyed = nodes.select("rep", "fp", F.explode(block_keys(F.col("fp"))).alias("key")).select("rep", "fp", "key.choice", "key.bits")
     hot = keyed.groupBy("choice", "bits").count().where(F.col("count") > chunk)
@@ -111,7 +119,7 @@ def links(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(groups: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
-            found = [x for bits, ids in groups for x in spanning_links(bits, ids)]
+            found = [x for bits, ids in groups for x in spanning_links(bits, ids, direct)]
             if found:
                 u, v = zip(*found, strict=True)
                 return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])

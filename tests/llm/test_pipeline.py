@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from chronoloom.llm import bpe, pipeline
+from chronoloom.llm import bpe, jaccard, pipeline
 from chronoloom.llm.common import materialize
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -115,3 +115,13 @@ def test_pipeline_of_an_empty_table(spark):
     for name, stage in pipeline.STAGES:
         frame = materialize(stage(spark, frame, ""), name)
         assert frame.count() == 0
+
+
+def test_near_copies_within_three_bits_are_joined_by_their_fingerprints(spark, monkeypatch):
+    """SimHash is a step of its own: with no band that meets, it still joins what it can see, and the exact test still refuses."""
+    words = [f"w{i}" for i in range(4000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, " ".join(reversed(words)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "meetings", lambda nodes, chunk: nodes.limit(0).selectExpr("0 AS band", "0L AS key", "0 AS c", "0 AS d", "node"))
+    group = {r["doc_id"]: r["component_id"] for r in jaccard.groups(frame).collect()}
+    assert group[1] == group[2] != group[3]
